@@ -352,7 +352,10 @@ def _nn(spark, d, m=None):
 @query("neighbour_ratings_join")
 def q_j5(spark, d):
     nn, m = _nn(spark, d)
-    return NB.neighbour_ratings(nn, m).select(USER, PRODUCT, r6("sum_sim_rating"), r6("sum_sim"), "n_neighbours")
+    # sim has 6 decimals and a half-integer mean rating adds one: round the
+    # weighted sum to 8 so no value sits on a rounding tie
+    return NB.neighbour_ratings(nn, m).select(USER, PRODUCT, F.round("sum_sim_rating", 8).alias("sum_sim_rating"),
+                                              r6("sum_sim"), "n_neighbours")
 
 
 # ---------------------------------------------------------------- N*: normalisation and similarity

@@ -141,7 +141,7 @@ ORACLE["title_lookup"] = w(R, P) + ("SELECT c.product_id, c.n_raters, P.title FR
 ORACLE["unseen_candidates"] = w(PROFILE) + ("SELECT DISTINCT p_partkey AS product_id FROM part WHERE p_partkey NOT IN "
                                             "(SELECT product_id FROM PROFILE)")
 ORACLE["neighbour_ratings_join"] = w(R, M, CP, NN) + (
-    "SELECT nn.u1 AS user_id, m.p AS product_id, round(sum(nn.sim * m.r), 6) AS sum_sim_rating, "
+    "SELECT nn.u1 AS user_id, m.p AS product_id, round(sum(nn.sim * m.r), 8) AS sum_sim_rating, "
     "round(sum(nn.sim), 6) AS sum_sim, count(*) AS n_neighbours FROM nn JOIN m ON m.u = nn.u2 GROUP BY nn.u1, m.p")
 _covered = ("SELECT count(*) AS n_test, count(CASE WHEN u.user_id IS NOT NULL AND p.product_id IS NOT NULL THEN 1 END) "
             "AS n_covered FROM TEST t LEFT JOIN (SELECT DISTINCT user_id FROM TRAIN) u ON u.user_id = t.user_id "
