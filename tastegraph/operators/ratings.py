@@ -104,6 +104,17 @@ def split_train(r: DataFrame, extra: DataFrame | None = None, train_below: int =
     return t if extra is None else t.unionByName(extra.select(USER, PRODUCT, RATING, TS))
 
 
+def add_profile(r: DataFrame, profile: DataFrame) -> DataFrame:
+    """The served user's ratings added to a ratings table (UNION ALL).  The
+    profile's user id must not already occur in ``r`` — otherwise two people
+    would merge into one (the reference serves id 0, which is also the first
+    encoded id).  The check is a semi-join counted to at most one row."""
+    clash = r.select(USER).join(profile.select(USER).distinct(), USER, "left_semi").limit(1).count()
+    if clash:
+        raise ValueError("profile user id already present in the ratings")
+    return r.unionByName(profile.select(USER, PRODUCT, RATING, TS))
+
+
 def split_validation(r: DataFrame, train_below: int = 6, validation_below: int = 8) -> DataFrame:
     """6 <= digit < 8."""
     d = with_split_digit(r)

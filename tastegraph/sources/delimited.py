@@ -23,8 +23,12 @@ def read_ratings_delimited(spark: SparkSession, path: str, sep: str = "|", id_ty
     cols = parse_delimited("value", sep, _RATING_NAMES, [id_type, id_type, "double", "long"])
     out = lines.filter(F.length(F.trim("value")) > 0).select(*cols)
     if mode.upper() == "FAILFAST":
-        bad = F.greatest(*[F.col(c).isNull().cast("int") for c in _RATING_NAMES])
-        return out.withColumn("_bad", F.assert_true(bad == 0, "malformed rating line")).drop("_bad")
+        ok = ~F.greatest(*[F.col(c).isNull() for c in _RATING_NAMES])
+        # assert_true yields NULL when it passes; folding it into an output
+        # column keeps it from being pruned
+        check = F.assert_true(ok, F.concat(F.lit("malformed rating line: "), F.col("_line")))
+        return (lines.filter(F.length(F.trim("value")) > 0).select(F.col("value").alias("_line"), *cols)
+                .select(F.coalesce(check.cast(id_type), F.col(USER)).alias(USER), PRODUCT, RATING, TS))
     return out.dropna(subset=_RATING_NAMES)
 
 
