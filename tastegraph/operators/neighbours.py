@@ -58,10 +58,14 @@ def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_n
     """Σ(sim·r) / Σ sim over the user's ``max_neighbours`` most similar
     users that rated the product, counting only sim > ``min_similarity``.
 
-    ``targets`` holds the (user, product) pairs to predict.  Neighbour lists
-    are ranked once (window limited per user), joined to the neighbours'
-    ratings on the neighbour id, and restricted to the target pairs with an
-    equi-join on (user, product) before the final aggregation.
+    ``targets`` holds the (user, product) pairs to predict.  Join order is
+    chosen for size: each target first meets the *other raters of its
+    product* (an equi-join on product: Σ raters per target rows), and only
+    then the neighbour list on (user, neighbour).  Starting from the
+    neighbour lists instead would expand every neighbour into all of their
+    ratings (999 × ratings-per-user rows per user) before the targets prune
+    them.  The neighbour ranking is a window limited per user (partial
+    WindowGroupLimit before the shuffle).
     """
     e = both_directions(user_sims, "user_id1", "user_id2")
     nn = (top_k_per(e, "user_id1", [F.desc("sim"), F.asc("user_id2")], max_neighbours)
@@ -69,7 +73,8 @@ def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_n
           .select(F.col("user_id1").alias(USER), F.col("user_id2").alias(NEIGHBOUR), "sim"))
     nr = m.select(F.col(USER).alias(NEIGHBOUR), PRODUCT, F.col(RATING).alias("_r"))
     t = targets.select(USER, PRODUCT).distinct()
-    joined = nn.join(nr, NEIGHBOUR).join(t, [USER, PRODUCT])
+    cand = t.join(nr, PRODUCT).filter(F.col(USER) != F.col(NEIGHBOUR))
+    joined = cand.join(nn, [USER, NEIGHBOUR])
     return (joined.groupBy(USER, PRODUCT)
             .agg(F.try_divide(F.sum(F.col("sim") * F.col("_r")), F.sum("sim")).alias("prediction"),
                  F.count(F.lit(1)).alias("n_neighbours"))

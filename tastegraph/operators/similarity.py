@@ -177,11 +177,14 @@ def user_cosine(z: DataFrame, digits: int | None = 6,
 # ---------------------------------------------------------------- helpers
 
 def both_directions(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b, …) with a < b → both (a, b, …) and (b, a, …).  The half result
-    is computed once; with an exchange under it Spark reuses it for the
-    second branch."""
+    """(a, b, …) with a < b → both (a, b, …) and (b, a, …).  One pass: each
+    row emits itself and its mirror through ``explode`` — a UNION would
+    evaluate (and finally aggregate) the half result twice."""
     rest = [c for c in edges.columns if c not in (a, b)]
-    return edges.unionByName(edges.select(F.col(b).alias(a), F.col(a).alias(b), *rest))
+    pair = F.explode(F.array(F.struct(F.col(a).alias("_x"), F.col(b).alias("_y")),
+                             F.struct(F.col(b).alias("_x"), F.col(a).alias("_y")))).alias("_e")
+    return (edges.select(pair, *rest)
+            .select(F.col("_e._x").alias(a), F.col("_e._y").alias(b), *rest))
 
 
 def top_k_per(df: DataFrame, by: str, order: list, k: int, rank_col: str = "k") -> DataFrame:

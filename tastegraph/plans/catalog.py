@@ -21,7 +21,7 @@ from tastegraph.operators import ratings as RT
 from tastegraph.operators import similarity as SIM
 from tastegraph.plans.oracle import BRANDS, PIVOT_PRODUCTS, PROFILE_ROWS, PROFILE_USER, SERVED_USER
 from tastegraph.schema import PRODUCT, RATING, TITLE, TS, USER
-from tastegraph.session import scratch_path
+from tastegraph.session import materialize, scratch_path
 from tastegraph.sources import delimited as D
 from tastegraph.sources import metadata as MD
 from tastegraph.sources import tables as TB
@@ -55,13 +55,19 @@ def profile(spark) -> DataFrame:
     return spark.createDataFrame(PROFILE_ROWS, f"{USER} long, {PRODUCT} long, {RATING} double, {TS} long")
 
 
+def Mm(spark, d):
+    """M3 written once for plans that read it in several branches."""
+    return materialize(M(spark, d), "user_item_mean")
+
+
 def splits(spark, d):
-    r = R(spark, d)
+    # one scan + join of the ratings feeds all three splits
+    r = materialize(R(spark, d), "ratings")
     return RT.split_train(r, profile(spark)), RT.split_validation(r), RT.split_test(r)
 
 
 def Z(spark, d):
-    return SIM.user_center_scale(M(spark, d))
+    return SIM.user_center_scale(Mm(spark, d))
 
 
 def r6(c):
@@ -318,7 +324,7 @@ def q_t6(spark, d):
 # ---------------------------------------------------------------- J*: joins
 
 def _predictions(spark, d):
-    m = M(spark, d)
+    m = Mm(spark, d)
     sims = SIM.user_cosine(SIM.user_center_scale(m))
     return NB.predict_rating(m, sims, m), m
 
@@ -345,7 +351,7 @@ def q_j4(spark, d):
 
 
 def _nn(spark, d, m=None):
-    m = M(spark, d) if m is None else m
+    m = Mm(spark, d) if m is None else m
     return NB.nearest_neighbours(m, k=100, cap=500, seed=42), m
 
 

@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # let AQE pick a shuffled hash join (no sort) when every post-shuffle
+    # partition of the build side is small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -69,3 +72,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
     base = shared_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write an intermediate that several branches of a plan reuse to a
+    parquet table in the shared folder and read it back.  Later stages scan
+    it with column pruning and predicate pushdown, the lineage is cut (a lost
+    executor re-reads the table instead of recomputing the joins), and each
+    branch no longer re-runs the upstream scans and shuffles."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming path — every program is one batch run over a
+ratings file.  Nothing here on purpose; see README ("Not built").
+"""
