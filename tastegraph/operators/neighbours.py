@@ -14,6 +14,7 @@ from tastegraph.operators.similarity import (
     both_directions,
     cap_raters,
     corated_cosine,
+    split_join,
     top_k_per,
 )
 from tastegraph.schema import PRODUCT, RATING, TITLE, USER
@@ -54,7 +55,7 @@ def similar_user_recs(top_users: DataFrame, z: DataFrame, k: int = 5) -> DataFra
 
 
 def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_neighbours: int = 999,
-                   min_similarity: float = 0.0) -> DataFrame:
+                   min_similarity: float = 0.0, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Σ(sim·r) / Σ sim over the user's ``max_neighbours`` most similar
     users that rated the product, counting only sim > ``min_similarity``.
 
@@ -65,7 +66,8 @@ def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_n
     neighbour lists instead would expand every neighbour into all of their
     ratings (999 × ratings-per-user rows per user) before the targets prune
     them.  The neighbour ranking is a window limited per user (partial
-    WindowGroupLimit before the shuffle).
+    WindowGroupLimit before the shuffle).  A product with many raters is
+    split into blocks for the candidate join (:func:`split_join`).
     """
     e = both_directions(user_sims, "user_id1", "user_id2")
     nn = (top_k_per(e, "user_id1", [F.desc("sim"), F.asc("user_id2")], max_neighbours)
@@ -73,7 +75,7 @@ def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_n
           .select(F.col("user_id1").alias(USER), F.col("user_id2").alias(NEIGHBOUR), "sim"))
     nr = m.select(F.col(USER).alias(NEIGHBOUR), PRODUCT, F.col(RATING).alias("_r"))
     t = targets.select(USER, PRODUCT).distinct()
-    cand = t.join(nr, PRODUCT).filter(F.col(USER) != F.col(NEIGHBOUR))
+    cand = split_join(t, nr, PRODUCT, USER, NEIGHBOUR, hot_threshold).filter(F.col(USER) != F.col(NEIGHBOUR))
     joined = cand.join(nn, [USER, NEIGHBOUR])
     return (joined.groupBy(USER, PRODUCT)
             .agg(F.try_divide(F.sum(F.col("sim") * F.col("_r")), F.sum("sim")).alias("prediction"),
@@ -131,12 +133,14 @@ def _corated_for(m: DataFrame, only_users: DataFrame | None, min_overlap: int, s
     return mo.select("user1", "user2", F.round(safe_ratio(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")), 6).alias("sim"), "n")
 
 
-def neighbour_ratings(nn: DataFrame, m: DataFrame) -> DataFrame:
+def neighbour_ratings(nn: DataFrame, m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Attach every neighbour's ratings and pre-aggregate per (user,
     product): Σ sim·r, Σ sim and the number of contributing neighbours.  An
-    equi-join on the neighbour id — no broadcast of the ratings."""
+    equi-join on the neighbour id — no broadcast of the ratings; a neighbour
+    who is both popular and a heavy rater is split into blocks
+    (:func:`split_join`)."""
     nr = m.select(F.col(USER).alias(NEIGHBOUR), PRODUCT, F.col(RATING).alias("_r"))
-    return (nn.select(USER, NEIGHBOUR, "sim").join(nr, NEIGHBOUR)
+    return (split_join(nn.select(USER, NEIGHBOUR, "sim"), nr, NEIGHBOUR, USER, PRODUCT, hot_threshold)
             .groupBy(USER, PRODUCT)
             .agg(F.sum(F.col("sim") * F.col("_r")).alias("sum_sim_rating"), F.sum("sim").alias("sum_sim"),
                  F.count(F.lit(1)).alias("n_neighbours")))

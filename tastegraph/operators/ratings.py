@@ -86,14 +86,10 @@ def mean_rating(r: DataFrame) -> DataFrame:
     return r.agg(F.avg(RATING).alias("mean_rating"))
 
 
-def raters_per_product(r: DataFrame, with_list: bool = False) -> DataFrame:
-    """M7: number of ratings per product; ``with_list`` also returns the
-    (user, rating) list sorted by user — for display only, as it is
-    unbounded per product."""
-    aggs = [F.count(F.lit(1)).alias("n_raters")]
-    if with_list:
-        aggs.append(F.sort_array(F.collect_list(F.struct(USER, RATING))).alias("raters"))
-    return r.groupBy(PRODUCT).agg(*aggs)
+def raters_per_product(r: DataFrame) -> DataFrame:
+    """M7: number of ratings per product (the reference groups the raters per
+    product; the pairs themselves come from the self-join, J2)."""
+    return r.groupBy(PRODUCT).agg(F.count(F.lit(1)).alias("n_raters"))
 
 
 # ---------------------------------------------------------------- splits (T*)
@@ -150,8 +146,12 @@ def distinct_ids(r: DataFrame, col: str = USER) -> DataFrame:
     return r.select(col).distinct()
 
 
-def rank_ordinal(df: DataFrame, partition_by, order_by, name: str = "rank") -> DataFrame:
-    """1-based gap-free ordinal per group (``row_number``)."""
+def rank_ordinal(df: DataFrame, partition_by, order_by, k: int, name: str = "rank") -> DataFrame:
+    """1-based gap-free ordinal of the first k rows per group
+    (``row_number() ≤ k``).  k bounds the list — as in every ranked list of
+    the reference — and lets Spark limit each group map-side
+    (WindowGroupLimit) before the shuffle, so a huge group never lands whole
+    in one task."""
     from pyspark.sql import Window
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(w))
+    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)

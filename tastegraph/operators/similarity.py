@@ -123,6 +123,42 @@ def co_rater_pairs(m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHO
                     F.col(f"{RATING}_1").alias("rating1"), F.col(f"{RATING}_2").alias("rating2"))
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str, left_salt: str, right_salt: str,
+               hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+    """Inner equi-join on ``key`` that splits keys which are large on both
+    sides.  A key with ``nl`` left and ``nr`` right rows and
+    ``nl·nr > threshold²`` gets ``sl = ⌈nl/threshold⌉`` left and
+    ``sr = ⌈nr/threshold⌉`` right hash buckets (by ``left_salt`` /
+    ``right_salt``); left bucket i goes to cells (i, 0…sr−1), right bucket j
+    to cells (0…sl−1, j), and each cell joins on its own key, so no task
+    meets more than threshold² candidate pairs.  Other keys take one cell.
+    ``hot_threshold=None`` is the plain join."""
+    if hot_threshold is None:
+        return left.join(right, key)
+    t = hot_threshold
+    ln = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
+    rn = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
+    hot = (ln.join(rn, key).filter(F.col("_nl") * F.col("_nr") > F.lit(t) * F.lit(t))
+           .select(key, F.ceil(F.col("_nl") / t).cast("int").alias("_sl"),
+                   F.ceil(F.col("_nr") / t).cast("int").alias("_sr")))
+    def prep(df):
+        return (df.join(hot, key, "left")
+                .withColumn("_sl", F.coalesce("_sl", F.lit(1))).withColumn("_sr", F.coalesce("_sr", F.lit(1))))
+    lx = prep(left)
+    lx = (lx.withColumn("_i", F.pmod(F.xxhash64(F.col(left_salt)), F.col("_sl")).cast("int"))
+          .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))).drop("_sl", "_sr"))
+    rx = prep(right)
+    rx = (rx.withColumn("_j", F.pmod(F.xxhash64(F.col(right_salt)), F.col("_sr")).cast("int"))
+          .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))).drop("_sl", "_sr"))
+    # the join typically expands its inputs many times over, so both sides
+    # are shuffled to the full shuffle-partition count (not coalesced by
+    # input size, and kept even if AQE turns the join into a broadcast)
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lx = lx.repartition(n, key, "_i", "_j")
+    rx = rx.repartition(n, key, "_i", "_j")
+    return lx.join(rx, [key, "_i", "_j"]).drop("_i", "_j")
+
+
 # ---------------------------------------------------------------- M8, N5
 
 def pair_moments(m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:

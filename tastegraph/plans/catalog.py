@@ -350,9 +350,12 @@ def q_j4(spark, d):
     return NB.unseen_candidates(P(spark, d), profile(spark))
 
 
-def _nn(spark, d, m=None):
+def _nn(spark, d, m=None, write: bool = True):
+    """R5 neighbour lists; written once when a plan reads them in several
+    branches (J5 / R6 / R7 count their keys and join them)."""
     m = Mm(spark, d) if m is None else m
-    return NB.nearest_neighbours(m, k=100, cap=500, seed=42), m
+    nn = NB.nearest_neighbours(m, k=100, cap=500, seed=42)
+    return (materialize(nn, "neighbours") if write else nn), m
 
 
 @query("neighbour_ratings_join")
@@ -423,7 +426,7 @@ def q_r4(spark, d):
 
 @query("nearest_neighbours")
 def q_r5(spark, d):
-    return _nn(spark, d)[0]
+    return _nn(spark, d, write=False)[0]
 
 
 @query("weighted_sum_recs")
@@ -446,7 +449,7 @@ def q_r8(spark, d):
 
 @query("rank_ordinal")
 def q_r10(spark, d):
-    return RT.rank_ordinal(M(spark, d), [USER], [F.desc(RATING), F.asc(PRODUCT)])
+    return RT.rank_ordinal(M(spark, d), [USER], [F.desc(RATING), F.asc(PRODUCT)], k=10)
 
 
 # ---------------------------------------------------------------- A*, E*: models and evaluation

@@ -186,8 +186,8 @@ ORACLE["als_recs_for_user"] = w(PROFILE) + (
     "SELECT least(50, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_rank_gaps FROM "
     "(SELECT DISTINCT p_partkey FROM part WHERE p_partkey NOT IN (SELECT product_id FROM PROFILE))")
 ORACLE["rank_ordinal"] = w(R, M) + (
-    "SELECT u AS user_id, p AS product_id, r AS rating, " + rank("PARTITION BY u ORDER BY r DESC, p")
-    + " AS rank FROM m")
+    "SELECT * FROM (SELECT u AS user_id, p AS product_id, r AS rating, " + rank("PARTITION BY u ORDER BY r DESC, p")
+    + " AS rank FROM m) WHERE rank <= 10")
 
 ORACLE["als_train"] = w(R, RD, PROFILE, TRAIN) + (
     "SELECT count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_violations FROM TRAIN")

@@ -36,7 +36,7 @@ def corated_recommendations(ratings: DataFrame, products: DataFrame, user_ids: D
     m = materialize(RT.user_item_mean(ratings), "user_item_mean")
     if user_ids is not None:
         return NB.recs_for_user(m, products, user_ids, k_neighbours, k, cap, seed, unseen)
-    nn = NB.nearest_neighbours(m, k_neighbours, cap, seed)
+    nn = materialize(NB.nearest_neighbours(m, k_neighbours, cap, seed), "neighbours")
     recs = NB.weighted_sum_recs(nn, m, k, unseen)
     return NB.title_lookup(recs, products)
 

@@ -247,3 +247,26 @@ def test_failfast_rejects_bad_line(spark):
     assert D.read_ratings_delimited(spark, p).count() == 1
     with pytest.raises(Exception):
         D.read_ratings_delimited(spark, p, mode="FAILFAST").collect()
+
+
+def test_split_join_equals_plain_join(ratings):
+    import random
+    rnd = random.Random(11)
+    data = {(u, 1): rnd.randint(1, 5) for u in range(50)}
+    data.update({(u, p): rnd.randint(1, 5) for u in range(50) for p in range(2, 8) if rnd.random() < 0.25})
+    m = RT.user_item_mean(ratings([(u, p, r) for (u, p), r in data.items()], 3))
+    left = m.select("user_id", "product_id")
+    right = m.select(F.col("user_id").alias("v"), "product_id", "rating")
+    cols = ["user_id", "product_id", "v", "rating"]
+    plain = rows(SIM.split_join(left, right, "product_id", "user_id", "v", None), *cols)
+    split = rows(SIM.split_join(left, right, "product_id", "user_id", "v", 7), *cols)
+    assert plain == split and len(plain) == sum(1 for _ in plain)
+    z = SIM.user_center_scale(m)
+    sims = SIM.user_cosine(z)
+    p1 = rows(NB.predict_rating(m, sims, m, hot_threshold=None), "user_id", "product_id", "prediction")
+    p2 = rows(NB.predict_rating(m, sims, m, hot_threshold=5), "user_id", "product_id", "prediction")
+    assert [(a, b, round(c, 9)) for a, b, c in p1] == [(a, b, round(c, 9)) for a, b, c in p2]
+    nn = NB.nearest_neighbours(m, k=5, cap=None)
+    j1 = rows(NB.neighbour_ratings(nn, m, hot_threshold=None), "user_id", "product_id", "n_neighbours")
+    j2 = rows(NB.neighbour_ratings(nn, m, hot_threshold=3), "user_id", "product_id", "n_neighbours")
+    assert j1 == j2
