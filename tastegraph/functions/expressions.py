@@ -6,6 +6,8 @@ whole-stage codegen; none needs a Python UDF.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,5 +51,10 @@ def parse_delimited(line, sep: str, names: list[str], types: list[str]) -> list[
     """strip → split → cast of a delimited text line (extra trailing fields are
     ignored).  ``try_cast`` turns a malformed field into NULL instead of failing
     the whole job under ANSI mode."""
-    parts = F.split(F.trim(_c(line)), "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep)
+    parts = F.split(F.trim(_c(line)), sep_pattern(sep))
     return [F.trim(parts.getItem(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
+
+
+def sep_pattern(sep: str) -> str:
+    """A literal separator as a (Java) regular expression for ``split``."""
+    return re.escape(sep)

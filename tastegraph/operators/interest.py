@@ -12,7 +12,9 @@ from tastegraph.schema import RATING, USER
 
 
 def _label(v: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in v.lower()).replace("brand_", "brand_")
+    """Column-name-safe form of a category value: ``Brand#13`` → ``13``."""
+    tail = v.split("#")[-1]
+    return "".join(ch if ch.isalnum() else "_" for ch in tail.lower())
 
 
 def user_interest_vector(r: DataFrame, category: str, values: list[str], digits: int | None = None,
@@ -26,7 +28,7 @@ def user_interest_vector(r: DataFrame, category: str, values: list[str], digits:
         c = F.col(f"`{v}`")
         if digits is not None:
             c = F.round(c, digits)
-        cols.append(c.alias(prefix + v.split("#")[-1] if "#" in v else prefix + _label(v)))
+        cols.append(c.alias(prefix + _label(v)))
     return wide.select(USER, *cols)
 
 

@@ -17,6 +17,7 @@ from tastegraph.operators.similarity import (
     split_join,
     top_k_per,
 )
+from tastegraph.functions import safe_ratio
 from tastegraph.schema import PRODUCT, RATING, TITLE, USER
 
 NEIGHBOUR = "neighbour_id"
@@ -110,27 +111,24 @@ def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = 500, seed:
 
 
 def _corated_for(m: DataFrame, only_users: DataFrame | None, min_overlap: int, same_group: str | None) -> DataFrame:
-    """Directed co-rated cosine where the first user is restricted (served
-    users) and/or both users share ``same_group``."""
-    vals = [PRODUCT, RATING] + ([same_group] if same_group else [])
-    a = m.select(F.col(USER).alias("user1"), *[F.col(v).alias(v if v == PRODUCT else v + "_1") for v in vals[1:]],
-                 F.col(PRODUCT))
+    """Directed co-rated cosine ``(user1, user2, sim, n)`` where the first
+    user is restricted to ``only_users`` (semi-join before the pair join) and/or
+    both users share the value of ``same_group``."""
+    extra = [same_group] if same_group else []
+    a = m.select(F.col(USER).alias("user1"), PRODUCT, F.col(RATING).alias("r1"),
+                 *[F.col(g).alias("g1") for g in extra])
     if only_users is not None:
         a = a.join(only_users.select(F.col(USER).alias("user1")).distinct(), "user1", "left_semi")
-    b = m.select(F.col(USER).alias("user2"), F.col(PRODUCT), F.col(RATING).alias(RATING + "_2"),
-                 *([F.col(same_group).alias(same_group + "_2")] if same_group else []))
-    cond = [PRODUCT]
-    j = a.join(b, cond).filter(F.col("user1") != F.col("user2"))
-    if same_group:
-        j = j.filter(F.col(same_group + "_1") == F.col(same_group + "_2"))
+    b = m.select(F.col(USER).alias("user2"), PRODUCT, F.col(RATING).alias("r2"),
+                 *[F.col(g).alias("g2") for g in extra])
+    keys = [a[PRODUCT] == b[PRODUCT]] + ([a["g1"] == b["g2"]] if same_group else [])
+    j = a.join(b, keys).filter(F.col("user1") != F.col("user2"))
     mo = (j.groupBy("user1", "user2")
-          .agg(F.sum(F.col("rating_1") * F.col("rating_2")).alias("xy"),
-               F.sum(F.col("rating_1") * F.col("rating_1")).alias("xx"),
-               F.sum(F.col("rating_2") * F.col("rating_2")).alias("yy"),
-               F.count(F.lit(1)).alias("n"))
+          .agg(F.sum(F.col("r1") * F.col("r2")).alias("xy"), F.sum(F.col("r1") * F.col("r1")).alias("xx"),
+               F.sum(F.col("r2") * F.col("r2")).alias("yy"), F.count(F.lit(1)).alias("n"))
           .filter(F.col("n") >= min_overlap))
-    from tastegraph.functions import safe_ratio
-    return mo.select("user1", "user2", F.round(safe_ratio(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")), 6).alias("sim"), "n")
+    sim = F.round(safe_ratio(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")), 6)
+    return mo.select("user1", "user2", sim.alias("sim"), "n")
 
 
 def neighbour_ratings(nn: DataFrame, m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.functions import ascii_only, safe_ratio
+from tastegraph.functions import ascii_only, parse_delimited, safe_ratio
 from tastegraph.operators import als as A
 from tastegraph.operators import encode as L
 from tastegraph.operators import evaluate as E
@@ -197,7 +197,6 @@ def q_f7(spark, d):
     lines = r.select(F.concat(F.lit("  "), F.col(USER).cast("string"), F.lit(" | "), F.col(PRODUCT).cast("string"),
                               F.lit("|"), F.col(RATING).cast("string"), F.lit("|"), F.col(TS).cast("string"),
                               F.lit("| extra field  ")).alias("value"))
-    from tastegraph.functions import parse_delimited
     return lines.select(*parse_delimited("value", "|", [USER, PRODUCT, RATING, TS], ["long", "long", "double", "long"]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.functions import parse_delimited
+from tastegraph.functions.expressions import parse_delimited, sep_pattern
 from tastegraph.schema import PRODUCT, RATING, TITLE, TS, USER
 
 _RATING_NAMES = [USER, PRODUCT, RATING, TS]
@@ -50,10 +50,10 @@ def read_product_titles(spark: SparkSession, path: str, sep: str = "#", truncate
     text files have no line order across partitions, so "last line wins" is
     not a distributed notion.
     """
-    parts = F.split(F.trim("value"), sep if sep not in "|.^$*+?()[]{}\\" else "\\" + sep, 2)
+    parts = F.split(F.trim("value"), sep_pattern(sep), 2)
     title = parts.getItem(1)
     if truncate_at_sep:
-        title = F.split(title, sep if sep not in "|.^$*+?()[]{}\\" else "\\" + sep).getItem(0)
+        title = F.split(title, sep_pattern(sep)).getItem(0)
     out = (spark.read.text(path)
            .select(F.trim(parts.getItem(0)).try_cast("long").alias(PRODUCT), title.alias(TITLE))
            .filter(F.col(PRODUCT).isNotNull()))
