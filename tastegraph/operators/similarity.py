@@ -106,6 +106,11 @@ def self_pairs(df: DataFrame, key: str, member: str, values: list[str],
                     *side(x, "1", member))
     right = x.select(key, F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_i"), F.col("_b").alias("_j"),
                      *side(x, "2", member))
+    # the pair join expands its input, so keep the full shuffle-partition
+    # count on both sides rather than a size-based coalescing of the input
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(n, key, "_i", "_j")
+    right = right.repartition(n, key, "_i", "_j")
     j = left.join(right, [key, "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("m1") < F.col("m2")))
     swap = F.col("m1") > F.col("m2")
     cols = [F.col(key), F.least("m1", "m2").alias("m1"), F.greatest("m1", "m2").alias("m2")]

@@ -45,6 +45,10 @@ def _norm(v):
     return (2, str(v))
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 def _rows(records, cols):
     return sorted(tuple(_norm(r[c]) for c in cols) for r in records)
 
@@ -70,6 +74,12 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if scols != dcols:
         out["status"] = f"columns differ: spark={scols} duck={dcols}"
         return out
+    stypes = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    if stypes != dtypes:
+        out["status"] = f"types differ: spark={stypes} duck={dtypes}"
+        return out
     if len(srows) != len(drows):
         out["status"] = "row count differs"
         return out
