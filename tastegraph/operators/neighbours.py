@@ -164,16 +164,25 @@ def recs_for_user(m: DataFrame, products: DataFrame, user_ids: DataFrame, k_neig
     pairs are ever formed.  An empty result means not enough data."""
     nn = nearest_neighbours(m, k_neighbours, cap, seed, only_users=user_ids)
     recs = weighted_sum_recs(nn, m, k, unseen)
-    return title_lookup(recs, products).select(USER, "rank", PRODUCT, "score", TITLE)
+    return title_lookup(recs, products, small_result=True).select(USER, "rank", PRODUCT, "score", TITLE)
 
 
 # ---------------------------------------------------------------- J3, J4
 
-def title_lookup(df: DataFrame, products: DataFrame) -> DataFrame:
+def title_lookup(df: DataFrame, products: DataFrame, small_result: bool = False) -> DataFrame:
     """Attach the title (NULL when unknown).  A plain left equi-join: the
-    catalogue grows with the data, so no broadcast hint — AQE broadcasts it
-    only if it measures it small."""
-    return df.join(products.select(PRODUCT, TITLE), PRODUCT, "left")
+    catalogue grows with the data, so there is no broadcast hint — AQE
+    broadcasts it only after measuring it small.
+
+    ``small_result=True`` is for short lists (top-k of served users): the
+    catalogue is first semi-joined with the list's product ids.  AQE measures
+    that id list tiny and broadcasts it, so the catalogue is scanned and
+    filtered in place instead of being shuffled to meet a handful of rows.
+    """
+    titles = products.select(PRODUCT, TITLE)
+    if small_result:
+        titles = titles.join(df.select(PRODUCT).distinct(), PRODUCT, "left_semi")
+    return df.join(titles, PRODUCT, "left")
 
 
 def unseen_candidates(products: DataFrame, rated: DataFrame) -> DataFrame:

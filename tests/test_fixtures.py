@@ -270,3 +270,16 @@ def test_split_join_equals_plain_join(ratings):
     j1 = rows(NB.neighbour_ratings(nn, m, hot_threshold=None), "user_id", "product_id", "n_neighbours")
     j2 = rows(NB.neighbour_ratings(nn, m, hot_threshold=3), "user_id", "product_id", "n_neighbours")
     assert j1 == j2
+
+
+def test_gzip_metadata(spark):
+    import gzip
+    d = tempfile.mkdtemp(prefix="tg-gz-")
+    p = os.path.join(d, "meta.json.gz")
+    with gzip.open(p, "wt", encoding="utf-8") as f:
+        f.write("{'asin': 'B1', 'title': 'Café', 'related': {'also_bought': ('B2', 'B3')}, 'price': None}\n")
+        f.write("{'asin': 'B2', 'title': 'Two', 'salesRank': {'Toys': 12}}\n")
+    df = MD.metadata_records(MD.read_metadata_json(spark, p))
+    got = {r.asin: r for r in df.collect()}
+    assert got["B1"].title == "Café" and got["B1"].related == {"also_bought": ["B2", "B3"]}
+    assert got["B2"].salesRank == {"Toys": 12}

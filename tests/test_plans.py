@@ -46,3 +46,13 @@ def test_only_bounded_explicit_broadcasts(spark):
     for name in ["weighted_sum_recs_unseen", "predict_rating", "title_lookup", "recs_for_user", "item_cosine"]:
         lp = entry.queries()[name](spark, SF)._jdf.queryExecution().logical().toString()
         assert "broadcast" not in lp.lower(), name
+
+
+def test_short_list_titles_do_not_shuffle_the_catalogue(spark):
+    df = entry.queries()["recs_for_user"](spark, SF)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    part_scans = [l for l in final.split("\n") if "FileScan parquet" in l and "p_name" in l]
+    assert part_scans
+    # the catalogue side meets the served user's product ids in a broadcast semi-join
+    assert re.search(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], LeftSemi", final), final
