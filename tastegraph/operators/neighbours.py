@@ -93,8 +93,9 @@ def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = 500, seed:
     """Top-k neighbours per user by co-rated cosine (sim desc, co-rater
     count desc, id asc).  ``m`` is the (user, product)-unique rating table
     (M3).  ``cap`` applies N6 first (default 500, as the reference).
-    ``only_users`` (a DataFrame of user ids) restricts the *first* user of
-    each pair before the pair join; ``same_group`` adds an extra equi-key (a
+    ``only_users`` (a list of ids — pushed into the scan as a predicate — or
+    a DataFrame of ids, semi-joined) restricts the *first* user of each pair
+    before the pair join; ``same_group`` adds an extra equi-key (a
     column of ``m``) that both users must share.
     """
     if cap is not None:
@@ -117,7 +118,10 @@ def _corated_for(m: DataFrame, only_users: DataFrame | None, min_overlap: int, s
     extra = [same_group] if same_group else []
     a = m.select(F.col(USER).alias("user1"), PRODUCT, F.col(RATING).alias("r1"),
                  *[F.col(g).alias("g1") for g in extra])
-    if only_users is not None:
+    if isinstance(only_users, (list, tuple, set)):
+        # explicit ids: a plain predicate, pushed into the ratings scan
+        a = a.filter(F.col("user1").isin(list(only_users)))
+    elif only_users is not None:
         a = a.join(only_users.select(F.col(USER).alias("user1")).distinct(), "user1", "left_semi")
     b = m.select(F.col(USER).alias("user2"), PRODUCT, F.col(RATING).alias("r2"),
                  *[F.col(g).alias("g2") for g in extra])
@@ -157,11 +161,12 @@ def weighted_sum_recs(nn: DataFrame, m: DataFrame, k: int = 100, unseen: bool =
     return top_k_per(s, USER, [F.desc("score"), F.desc(PRODUCT)], k).withColumnRenamed("k", "rank")
 
 
-def recs_for_user(m: DataFrame, products: DataFrame, user_ids: DataFrame, k_neighbours: int = 100, k: int = 100,
+def recs_for_user(m: DataFrame, products: DataFrame, user_ids, k_neighbours: int = 100, k: int = 100,
                   cap: int | None = 500, seed: int = 42, unseen: bool = True) -> DataFrame:
-    """R6/R7 for the served users only, with rank and title.  The user
-    filter is applied to the first side of the pair join, so only that user's
-    pairs are ever formed.  An empty result means not enough data."""
+    """R6/R7 for the served users only (a list of ids or a DataFrame),
+    with rank and title.  The user filter is applied to the first side of
+    the pair join, so only those users' pairs are ever formed.  An empty
+    result means not enough data."""
     nn = nearest_neighbours(m, k_neighbours, cap, seed, only_users=user_ids)
     recs = weighted_sum_recs(nn, m, k, unseen)
     return title_lookup(recs, products, small_result=True).select(USER, "rank", PRODUCT, "score", TITLE)

@@ -445,8 +445,7 @@ def q_r7(spark, d):
 
 @query("recs_for_user")
 def q_r8(spark, d):
-    users = spark.range(1).select(F.lit(SERVED_USER).cast("long").alias(USER))
-    return NB.recs_for_user(M(spark, d), P(spark, d), users, 100, 100, cap=500, seed=42, unseen=True)
+    return NB.recs_for_user(Mm(spark, d), P(spark, d), [SERVED_USER], 100, 100, cap=500, seed=42, unseen=True)
 
 
 @query("rank_ordinal")

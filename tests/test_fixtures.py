@@ -283,3 +283,17 @@ def test_gzip_metadata(spark):
     got = {r.asin: r for r in df.collect()}
     assert got["B1"].title == "Café" and got["B1"].related == {"also_bought": ["B2", "B3"]}
     assert got["B2"].salesRank == {"Toys": 12}
+
+
+def test_string_ids_corated(spark):
+    import random
+    rnd = random.Random(2)
+    rows_ = [("u%d" % u, "p%d" % p, float(rnd.randint(1, 5)), 0) for u in range(8) for p in range(6)
+             if rnd.random() < 0.5]
+    r = spark.createDataFrame(rows_, "user_id string, product_id string, rating double, ts long")
+    m = RT.user_item_mean(r)
+    nn = NB.nearest_neighbours(m, k=3)
+    recs = NB.weighted_sum_recs(nn, m, 5, unseen=True)
+    assert recs.count() > 0
+    one = NB.recs_for_user(m, spark.createDataFrame([("p1", "t")], "product_id string, title string"), ["u1"], 3, 5)
+    assert {x.user_id for x in one.collect()} <= {"u1"}

@@ -31,8 +31,15 @@ def test_mirroring_does_not_union(spark):
 
 
 def test_served_user_restricts_the_pair_join(spark):
+    from tastegraph.operators import neighbours as NB
+    from tastegraph.plans.catalog import Mm
     p = plan(entry.queries()["recs_for_user"](spark, SF))
-    assert "LeftSemi" in p
+    # the served id reaches the scan of the ratings table as a pushed predicate
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(user_id,1\)", p) or \
+        re.search(r"PushedFilters: \[[^\]]*In\(user_id, \[1\]", p), p
+    users = spark.createDataFrame([(1,)], "user_id long")
+    p2 = plan(NB.nearest_neighbours(Mm(spark, SF), only_users=users))
+    assert "LeftSemi" in p2
 
 
 def test_hot_groups_are_split(spark):
