@@ -135,7 +135,8 @@ def _corated_for(m: DataFrame, only_users: DataFrame | None, min_overlap: int, s
     return mo.select("user1", "user2", sim.alias("sim"), "n")
 
 
-def neighbour_ratings(nn: DataFrame, m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+def neighbour_ratings(nn: DataFrame, m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
+                      with_count: bool = True) -> DataFrame:
     """Attach every neighbour's ratings and pre-aggregate per (user,
     product): Σ sim·r, Σ sim and the number of contributing neighbours.  An
     equi-join on the neighbour id — no broadcast of the ratings; a neighbour
@@ -145,7 +146,7 @@ def neighbour_ratings(nn: DataFrame, m: DataFrame, hot_threshold: int | None = D
     return (split_join(nn.select(USER, NEIGHBOUR, "sim"), nr, NEIGHBOUR, USER, PRODUCT, hot_threshold)
             .groupBy(USER, PRODUCT)
             .agg(F.sum(F.col("sim") * F.col("_r")).alias("sum_sim_rating"), F.sum("sim").alias("sum_sim"),
-                 F.count(F.lit(1)).alias("n_neighbours")))
+                 *([F.count(F.lit(1)).alias("n_neighbours")] if with_count else [])))
 
 
 def weighted_sum_recs(nn: DataFrame, m: DataFrame, k: int = 100, unseen: bool = False,
@@ -153,7 +154,7 @@ def weighted_sum_recs(nn: DataFrame, m: DataFrame, k: int = 100, unseen: bool =
     """score(product) = Σ sim·r / Σ sim over the neighbours who rated
     it (Σ sim = 0 → no score); top k per user by (score desc, product desc).
     ``unseen=True`` (R7) first removes products the user rated (anti-join)."""
-    s = neighbour_ratings(nn, m)
+    s = neighbour_ratings(nn, m, with_count=False)
     if unseen:
         s = s.join(m.select(USER, PRODUCT), [USER, PRODUCT], "left_anti")
     s = (s.select(USER, PRODUCT, F.round(F.try_divide("sum_sim_rating", "sum_sim"), digits).alias("score"))
