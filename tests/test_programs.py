@@ -45,3 +45,15 @@ def test_encode_program(spark):
     enc = {(r.user_id, r.product_id) for r in out["ratings"].collect()}
     assert enc == {(1, 1), (0, 0)}  # 'u10' < 'u9'; products a=0, b=1, c=2
     assert {(r.product_id, r.title) for r in out["titles"].collect()} == {(2, "C"), (0, "A")}
+
+
+def test_grid_search_parallel_same_choice(spark):
+    from tastegraph.operators import als as A
+    from tastegraph.plans.catalog import splits
+    tr, va, _ = splits(spark, SF)
+    seq, _, best1 = A.als_grid_search(tr, va, (3,), (0.05, 0.5), (3,), seed=5)
+    par, _, best2 = A.als_grid_search(tr, va, (3,), (0.05, 0.5), (3,), seed=5, parallelism=2)
+    assert best1 == best2
+    a = sorted((r.reg_param, round(r.validation_rmse, 9)) for r in seq.collect())
+    b = sorted((r.reg_param, round(r.validation_rmse, 9)) for r in par.collect())
+    assert a == b
