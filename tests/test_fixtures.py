@@ -297,3 +297,12 @@ def test_string_ids_corated(spark):
     assert recs.count() > 0
     one = NB.recs_for_user(m, spark.createDataFrame([("p1", "t")], "product_id string, title string"), ["u1"], 3, 5)
     assert {x.user_id for x in one.collect()} <= {"u1"}
+
+
+def test_rating_summary_approx_close_to_exact(ratings):
+    r = ratings([(u, p, 3) for u in range(300) for p in range(u % 7, 40, 7)])
+    exact = RT.rating_summary(r).first()
+    approx = RT.rating_summary(r, approx=True).first()
+    assert exact.n_ratings == approx.n_ratings
+    assert abs(approx.n_users - exact.n_users) <= 0.05 * exact.n_users
+    assert abs(approx.n_products - exact.n_products) <= 0.05 * exact.n_products
