@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,24 +108,28 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_id
                                                 ("ids_crc32", T.LongType()), ("part", T.LongType()), ("rank", T.LongType()))]
     fields += [T.StructField("ids", T.BinaryType())] * keep_ids
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = T.StructType(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = Encoder(vocabulary, end_id), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
+            whose, out = [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
                 ids = encoder.encode(text)
                 n = len(ids) // 4
-                start, end = 0, n % capacity or capacity
-                k = 0
+                start, end, k = 0, n % capacity or capacity, 0
                 while start < n:
-                    length, raw = min(end, n) - start, ids[4 * start:4 * end]
-                    out.append((doc_id, k, start, length, zlib.crc32(raw), part, seen[length], *([raw] * keep_ids)))
+                    length, raw = end - start, ids[4 * start:4 * end]
+                    whose.append(row)
+                    out.append((k, start, length, zlib.crc32(raw), part, seen[length], *([raw] * keep_ids)))
                     seen[length] += 1
-                    start, end, k = start + length, end + capacity, k + 1
-            yield pd.DataFrame(out, columns=[f.name for f in fields]).astype({"doc_id": "Int64"} if is_long else {})
+                    start, end, k = end, end + capacity, k + 1
+            if out:
+                kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()]
+                columns = [pa.array(v, t) for v, t in zip(zip(*out), kinds)]
+                yield pa.record_batch([batch.column(0).take(pa.array(whose)), *columns], names=schema.names)
 
-    is_long = isinstance(fields[0].dataType, (T.LongType, T.IntegerType))
-    return docs.select("doc_id", "text").mapInPandas(run, T.StructType(fields))
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
@@ -150,13 +154,13 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPA
     schema = T.StructType([*(f for f in cut.schema.fields if f.name not in ("part", "rank")),
                            T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            k = (b["before"] + b["rank"]).to_numpy(np.int64)
-            length = b["length"].to_numpy(np.int64)
+            k, length = (b.column(n).to_numpy() for n in ("index", "length"))
             row = rows[np.searchsorted(keys, length * width + k, "right") - 1]
             k = k - row[:, 1]
-            b = b.assign(sequence_id=row[:, 2] + k // row[:, 3], offset=row[:, 4] + k % row[:, 3] * length)
-            yield b[schema.names].astype({"doc_id": "Int64"} if b["doc_id"].dtype.kind in "fiu" else {})
+            found = [pa.array(row[:, 2] + k // row[:, 3]), pa.array(row[:, 4] + k % row[:, 3] * length)]
+            yield pa.record_batch([*b.columns[:-1], *found], names=schema.names)
 
-    return cut.join(offsets, ["length", "part"]).mapInPandas(place, schema)
+    placed = cut.join(offsets, ["length", "part"]).withColumn("index", F.col("before") + F.col("rank"))
+    return placed.select(*schema.names[:-2], "index").mapInArrow(place, schema)

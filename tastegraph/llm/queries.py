@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tastegraph.llm.common import documents
 
@@ -24,6 +25,34 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), vocabulary(), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_token_files)}
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.suffix import remove_repeats
+    found = remove_repeats(documents(spark, sf_dir), length=400)
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]), F.lit(0))
+    return found.select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.cast("long").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
-ORACLE: dict[str, str] = {}
+
+def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.neardup import near_duplicates
+    found = near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_suffix_dedup, op6_token_files, op9_minhash_neardup)}
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEARDUP_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.replace('text', _LOWER)} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.d WHERE r.m < e.b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id, doc_id = m AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(m) AS m FROM r GROUP BY d) g ON g.d = doc_id"""
+
+ORACLE: dict[str, str] = {"op9_minhash_neardup": _NEARDUP_SQL}
