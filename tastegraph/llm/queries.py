@@ -33,13 +33,26 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.mixing import length_quality, mix, n_words
+    mixed = mix(documents(spark, sf_dir), n_words(F.col("text")), length_quality(F.col("size")))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.quality import judge
+    return judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                                  "base_failed", "kept", "probability")
+
+
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tastegraph.llm.neardup import near_duplicates
     found = near_duplicates(documents(spark, sf_dir), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_suffix_dedup, op6_token_files, op9_minhash_neardup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_suffix_dedup, op6_token_files, op7_source_mix, op8_quality_rules,
+                                   op9_minhash_neardup)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -55,4 +68,24 @@ r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT e.b, r.m FROM
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id, doc_id = m AS kept
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(m) AS m FROM r GROUP BY d) g ON g.d = doc_id"""
 
-ORACLE: dict[str, str] = {"op9_minhash_neardup": _NEARDUP_SQL}
+_MIX_SQL = f"""
+WITH b AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+             -ln((('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) AS x
+           FROM documents),
+k AS (SELECT *, CASE WHEN size > 0 THEN x / (size / (size + 50.0::DOUBLE)) END AS key FROM b),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight, source_size * 3 AS cap FROM s),
+r AS (SELECT *, cap::DOUBLE / weight AS ratio FROM w),
+u AS (SELECT *, (sum(source_size) OVER () - (sum(cap) OVER o - cap))::DOUBLE / sum(weight) OVER (ORDER BY ratio, source NULLS LAST
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unit FROM r
+      WINDOW o AS (ORDER BY ratio, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT arg_min(unit, ratio) AS unit FROM u WHERE ratio >= unit),
+t AS (SELECT source, source_size, CASE WHEN ratio < l.unit THEN cap::DOUBLE ELSE l.unit * weight END AS target FROM u, l),
+e AS (SELECT k.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
+      FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source),
+p AS (SELECT *, target - epochs * source_size AS rest, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key NULLS LAST, doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e)
+SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE size * (epochs + CASE WHEN before + size <= rest
+         OR (before < rest AND before + size - rest < rest - before) THEN 1 ELSE 0 END) END::BIGINT AS taken FROM p"""
+
+ORACLE: dict[str, str] = {"op7_source_mix": _MIX_SQL, "op9_minhash_neardup": _NEARDUP_SQL}
