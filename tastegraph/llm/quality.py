@@ -4,8 +4,8 @@ Every rule looks at one ratio of a document and votes good (1), bad (-1) or
 abstains (0).  Expectation-maximisation over the votes of all documents finds
 how often each rule gives each vote on good and on bad documents (the model
 of Dawid and Skene, with abstaining as a third answer), without labels.  A
-document is kept if its posterior probability of being good is at least a
-half, whichever single rules it fails.
+document is kept unless its posterior probability of being good is low,
+whichever single rules it fails.
 
 The votes of all documents reduce to a count per vote pattern, at most
 3^rules rows, and each round of the algorithm is one aggregate over them.
@@ -42,6 +42,8 @@ _WORDLESS = r"(?<![^\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])"
 #: The first guess, (1, 0, -1): passing a rule says little, failing one says much.
 _GUESS = {GOOD: (0.80, 0.17, 0.03), BAD: (0.60, 0.10, 0.30)}
 ROUNDS, PRIOR = 25, 0.8
+#: Posterior of being good from which a document is kept.
+LEAST = 0.2
 
 
 def repeated_words(words: str) -> tuple[Column, Column, Column]:
@@ -121,7 +123,7 @@ def fit(voted: DataFrame, rules: dict = RULES, rounds: int = ROUNDS) -> dict:
     return model
 
 
-def judge(docs: DataFrame, rules: dict = RULES) -> DataFrame:
+def judge(docs: DataFrame, rules: dict = RULES, least: float = LEAST) -> DataFrame:
     """One row per input row: doc_id, the counts, every rule's vote,
     base_failed, probability (of being good) and kept.
 
@@ -133,4 +135,4 @@ def judge(docs: DataFrame, rules: dict = RULES) -> DataFrame:
     voted = counted.select("*", *votes(rules))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     judged = voted.withColumn("base_failed", failed).withColumn("probability", posterior(fit(voted, rules), rules))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= 0.5))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= least))
