@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import documents
+from tastegraph.llm.common import documents, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -25,6 +25,22 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), vocabulary(), end_id=2)
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.spotsigs import edited_likeness
+    return edited_likeness(documents(spark, sf_dir))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.langid import identify
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.licenses import scan
+    return scan(documents(spark, sf_dir))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tastegraph.llm.suffix import remove_repeats
     found = remove_repeats(documents(spark, sf_dir), length=400)
@@ -51,8 +67,18 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_suffix_dedup, op6_token_files, op7_source_mix, op8_quality_rules,
-                                   op9_minhash_neardup)}
+#: The rules of op10 (verdict, host, path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+             ("block", "net", "/fr/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.urls import judge
+    return judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_spotsigs, op3_language_id, op4_license_scan, op5_suffix_dedup, op6_token_files,
+                                   op7_source_mix, op8_quality_rules, op9_minhash_neardup, op10_url_filter)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -88,4 +114,28 @@ p AS (SELECT *, target - epochs * source_size AS rest, coalesce(sum(size) OVER (
 SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE size * (epochs + CASE WHEN before + size <= rest
          OR (before < rest AND before + size - rest < rest - before) THEN 1 ELSE 0 END) END::BIGINT AS taken FROM p"""
 
-ORACLE: dict[str, str] = {"op7_source_mix": _MIX_SQL, "op9_minhash_neardup": _NEARDUP_SQL}
+
+
+def _license_sql() -> str:
+    from tastegraph.llm.licenses import LEAST, NOTICES, bigrams_of, size_bounds
+    rows = []
+    for name, text in NOTICES:
+        grams = bigrams_of(text)
+        rows.append(f"('{name}', {grams}, {', '.join(f'{x!r}::DOUBLE' for x in size_bounds(len(grams), LEAST))})")
+    return f"""
+WITH t(license, g, lo, hi) AS (VALUES {', '.join(rows)}),
+d AS (SELECT doc_id, unnest(list_concat(list_transform(string_split(text, chr(10)), lambda x: {{'line': true, 'part': x}}),
+        [{{'line': false, 'part': text}}])) AS p FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, p.line AS line, string_split(trim(regexp_replace(translate(p.part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM d),
+g AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w),
+s AS (SELECT doc_id, line, license, (2 * len(list_intersect(g.g, t.g)))::DOUBLE / (len(g.g) + len(t.g)) AS dice FROM g JOIN t ON len(g.g) BETWEEN lo AND hi),
+m AS (SELECT doc_id, arg_max(license, (dice, -ascii(license))) AS license, max(dice) AS dice FROM s WHERE dice >= {LEAST} GROUP BY doc_id),
+h AS (SELECT doc_id, greatest(1, sum(n)) AS n FROM (SELECT g.doc_id, 1 AS n FROM (SELECT *, row_number() OVER () AS k FROM g WHERE line) g
+        WHERE EXISTS (SELECT 1 FROM t WHERE len(g.g) BETWEEN lo AND hi AND (2 * len(list_intersect(g.g, t.g)))::DOUBLE / (len(g.g) + len(t.g)) >= {LEAST}))
+        GROUP BY doc_id)
+SELECT doc_id, license, coalesce(dice, 0.0)::DOUBLE AS dice, CASE WHEN license IS NULL THEN 0 ELSE coalesce(n, 1) END::BIGINT AS n_notices
+FROM documents LEFT JOIN m USING (doc_id) LEFT JOIN h USING (doc_id)"""
+
+
+ORACLE: dict[str, str] = {"op4_license_scan": _license_sql(), "op7_source_mix": _MIX_SQL, "op9_minhash_neardup": _NEARDUP_SQL}
