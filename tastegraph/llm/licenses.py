@@ -65,23 +65,21 @@ def scan(docs: DataFrame, notices=NOTICES, least: float = LEAST) -> DataFrame:
     lowest, highest = min(s[2] for s in sets), max(s[3] for s in sets)
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
     parts = base.select("doc_id", "digest", F.explode(F.concat(
-        F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(True).alias("line"), x.alias("part"))),
-        F.array(F.struct(F.lit(False).alias("line"), F.col("text").alias("part"))))).alias("p")).select("doc_id", "digest", "p.line", "p.part")
+        F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.lit(True).alias("line"), i.alias("at"), x.alias("part"))),
+        F.array(F.struct(F.lit(False).alias("line"), F.lit(0).alias("at"), F.col("text").alias("part"))))).alias("p")).select("doc_id", "digest", "p.*")
     parts = parts.withColumn("words", F.split(normalised(F.col("part")), " ")).drop("part")
     w = F.col("words")
     # n words have n - 1 bigrams at most, and n different ones have n - 1 different bigrams at least
     parts = parts.filter((F.size(w) - 1 >= lowest) & (F.size(F.array_distinct(w)) - 1 <= highest))
     parts = parts.withColumn("grams", F.array_distinct(F.transform(F.slice(w, F.lit(1), F.size(w) - 1), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1)))))
     n = F.size("grams")
-    parts = parts.filter(n.between(lowest, highest))
     scores = [F.when(n.between(lo, hi), F.struct((2 * F.size(F.array_intersect("grams", F.array(*map(F.lit, grams)))) / (n + len(grams))).alias("dice"),
                                                  F.lit(name).alias("license"))) for name, grams, lo, hi in sets]
-    best = F.aggregate(F.array(*scores), F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("license")),
-                       lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a))
-    hits = parts.withColumn("best", best).filter(F.col("best.dice") >= least)
+    # a row per notice of fitting size, then only the matches
+    hits = parts.select("doc_id", "digest", "line", "at", F.explode(F.array_compact(F.array(*scores))).alias("best")).filter(F.col("best.dice") >= least)
     hits = hits.groupBy("doc_id", "digest").agg(
         F.min(F.struct((-F.col("best.dice")).alias("d"), F.col("best.license").alias("license"))).alias("best"),
-        F.greatest(F.count_if("line"), F.lit(1)).alias("n_notices")).toDF("_id", "_digest", "best", "n_notices")
+        F.greatest(F.count_distinct(F.when(F.col("line"), F.col("at"))), F.lit(1)).alias("n_notices")).toDF("_id", "_digest", "best", "n_notices")
     rows = docs.select("doc_id", F.xxhash64("text").alias("digest"))
     return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").select(
         "doc_id", "best.license", F.coalesce(-F.col("best.d"), F.lit(0.0)).alias("dice"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))

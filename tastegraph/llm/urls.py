@@ -4,7 +4,8 @@ Explicit rules come first.  Other URLs are judged by a multinomial naive
 Bayes model over the words of their host and path.  Host labels are written
 together ("cheapflights"), so a unigram model, counted on the text of all
 pages, splits them by Viterbi's algorithm.  The model learns from the URLs
-that rules decide and from seed words.
+that rules decide and from seed words; the rules' own words are left out, as
+they would only teach it the rules again.
 
 Work is done once per distinct label and host; a host with a third of all
 pages is one row until its score is joined to its pages.
@@ -13,6 +14,7 @@ pages is one row until its score is joined to its pages.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,6 +31,8 @@ SEEDS = ("ads", "adult", "bet", "bets", "casino", "gambling", "loan", "lottery",
          "tracker", "viagra", "warez", "xxx")
 SEED_ODDS = math.log(1000)
 LONGEST_WORD = 20
+#: Log odds above which the model blocks: nine to one.
+LEAST_ODDS = math.log(9)
 
 
 def parts(url: str = "url") -> tuple[Column, Column]:
@@ -105,6 +109,10 @@ def _path_words(path: str) -> Column:
     return F.regexp_extract_all(F.lower(path), F.lit("[a-z]{1,63}"), 0)
 
 
+def rule_words(rules: list[tuple[str, str, str]]) -> list[str]:
+    return sorted({w for _, host, path in rules for w in re.findall("[a-z]+", (host + path).lower())})
+
+
 def weights(counts: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """(word, weight): the log-likelihood ratio of block to allow of every
     word, with add-one smoothing, from (word, verdict, n)."""
@@ -121,12 +129,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], seeds: tuple[str,
     verdict, words (of the host) and score (the log odds of block; null where
     a rule decided).
 
-    A URL is blocked by the model if its log odds are above 0; the prior is
-    the share of blocked URLs among those that rules decide.  A URL that is
-    null or has no ``://`` has an empty host and path, no words, and is
-    allowed unless the prior alone blocks it.  Pages without html still
-    count; null page_ids and repeated rows are kept; an empty table gives no
-    rows.
+    The model gives both verdicts even odds before it sees a word (rules are
+    no sample of the web) and blocks from nine to one.  A URL that is null or
+    has no ``://`` has an empty host and path, no words, and is allowed.
+    Pages without html still count; null page_ids and repeated rows are kept;
+    an empty table gives no rows.
     """
     host, path = parts()
     base = pages.select("page_id", host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
@@ -142,18 +149,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], seeds: tuple[str,
     by_host = [each.select("word", F.lit(v).alias("verdict"), F.col(v).alias("n")) for v in (ALLOW, BLOCK)]
     by_path = (base.filter(F.col("ruled").isNotNull()).select(F.explode(_path_words("path")).alias("word"), F.col("ruled").alias("verdict"))
                .groupBy("word", "verdict").agg(F.count(F.lit(1)).alias("n")))
-    model = materialize(weights(by_host[0].unionByName(by_host[1]).unionByName(by_path).groupBy("word", "verdict").agg(F.sum("n").alias("n")), seeds),
-                        "url-weights")
-    decided = base.groupBy().agg(*[F.count_if(F.col("ruled") == v).alias(v) for v in (ALLOW, BLOCK)]).first()
-    prior = math.log(decided[BLOCK] + 1) - math.log(decided[ALLOW] + 1)
+    counts = by_host[0].unionByName(by_host[1]).unionByName(by_path).filter(~F.col("word").isin(*rule_words(rules)))
+    model = materialize(weights(counts.groupBy("word", "verdict").agg(F.sum("n").alias("n")), seeds), "url-weights")
     host_score = (hosts.select("host", F.explode("words").alias("word")).join(model, "word").groupBy("host").agg(F.sum("weight").alias("host_score")))
     open_ = base.filter(F.col("ruled").isNull())
     path_score = (open_.select("row", F.explode(_path_words("path")).alias("word")).join(model, "word").groupBy("row").agg(F.sum("weight").alias("path_score")))
     # one row per distinct host, so each page meets one row
     known = hosts.select("host", "words").join(host_score, "host", "left")
     judged = base.join(path_score, "row", "left").join(known, "host", "left")
-    score = F.round(prior + F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0)), 6)
+    score = F.round(F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0)), 6)
     judged = judged.withColumn("score", F.when(F.col("ruled").isNull(), score))
-    verdict = F.coalesce("ruled", F.when(F.col("score") > 0, BLOCK).otherwise(ALLOW))
+    verdict = F.coalesce("ruled", F.when(F.col("score") >= LEAST_ODDS, BLOCK).otherwise(ALLOW))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("words", F.array().cast("array<string>")).alias("words"),
                          "score")
