@@ -23,8 +23,12 @@ _LOW_BITS = 33
 def build_dictionary(values: DataFrame, col: str) -> DataFrame:
     """Dictionary ``(col, code)`` with codes in ascending value order
     (binary / UTF-8 order for strings, numeric order for numbers)."""
-    ordered = (values.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
-               .withColumn("_mid", F.monotonically_increasing_id()))
+    return positions(values.select(col).filter(F.col(col).isNotNull()).distinct(), [F.col(col)], CODE)
+
+
+def positions(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` plus ``name``: the 0-based position of each row in the order."""
+    ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.checkpoint(eager=True)
     ordered = (ordered.withColumn("_part", F.shiftright("_mid", _LOW_BITS))
                .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
@@ -32,7 +36,7 @@ def build_dictionary(values: DataFrame, col: str) -> DataFrame:
     # one row per partition: a window over it is tiny by construction
     offsets = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off"))
     return (ordered.join(F.broadcast(offsets), "_part")
-            .select(col, (F.col("_off") + F.col("_pos")).alias(CODE)))
+            .select(*df.columns, (F.col("_off") + F.col("_pos")).alias(name)))
 
 
 def encode_column(df: DataFrame, col: str, dictionary: DataFrame) -> DataFrame:

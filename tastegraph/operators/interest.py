@@ -35,9 +35,26 @@ def user_interest_vector(r: DataFrame, category: str, values: list[str], digits:
 def user_clusters(vectors: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20) -> DataFrame:
     """K-means over the interest vectors (missing categories count as 0).
     Returns ``(user_id, cluster)``."""
+    return fit_clusters(vectors, k, seed, max_iter)[0]
+
+
+def fit_clusters(vectors: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20) -> tuple[DataFrame, list[list[float]]]:
+    """X1 with its k centres."""
     feats = [c for c in vectors.columns if c != USER]
     filled = vectors.fillna(0.0, subset=feats)
     va = VectorAssembler(inputCols=feats, outputCol="_features")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cluster").fit(
         va.transform(filled))
-    return model.transform(va.transform(filled)).select(USER, "cluster")
+    return model.transform(va.transform(filled)).select(USER, "cluster"), [[float(x) for x in c] for c in model.clusterCenters()]
+
+
+def clusters_check(vectors: DataFrame, clusters: DataFrame, centres: list[list[float]]) -> DataFrame:
+    """X1 certificate: ``(n_users, n_clusters, n_misplaced)`` — the users with
+    a cluster, the centres, and the users that another centre is nearer to."""
+    feats = [c for c in vectors.columns if c != USER]
+    filled = vectors.fillna(0.0, subset=feats)
+    distance = F.array(*[sum((F.pow(F.col(f) - v, 2) for f, v in zip(feats, c)), F.lit(0.0)) for c in centres])
+    j = filled.select(USER, distance.alias("_d")).join(clusters, USER)
+    away = F.get("_d", F.col("cluster")) > F.array_min("_d") + 1e-9
+    return j.agg(F.count(F.lit(1)).alias("n_users"), F.lit(len(centres)).cast("long").alias("n_clusters"),
+                 F.count(F.when(away, 1)).alias("n_misplaced"))

@@ -6,7 +6,7 @@ the result does not depend on summation order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.operators.similarity import (
@@ -19,65 +19,63 @@ from tastegraph.operators.similarity import (
 )
 from tastegraph.functions import safe_ratio
 from tastegraph.schema import PRODUCT, RATING, TITLE, USER
+from tastegraph.session import materialize
 
 NEIGHBOUR = "neighbour_id"
 
 
 # ---------------------------------------------------------------- R1, R2 (centred cosine)
 
-def top_similar_products(item_sims: DataFrame, k: int = 10) -> DataFrame:
-    """The k most similar other products of every product."""
-    e = both_directions(item_sims, "product_id1", "product_id2")
+def top_similar_products(item_sims: DataFrame, k: int = 10, directed: bool = False) -> DataFrame:
+    """The k most similar other products of every product (``directed``:
+    of every first product of ``item_sims``)."""
+    e = item_sims if directed else both_directions(item_sims, "product_id1", "product_id2")
     return (top_k_per(e, "product_id1", [F.desc("sim"), F.asc("product_id2")], k)
             .select(F.col("product_id1").alias(PRODUCT), F.col("product_id2").alias("similar_product_id"),
                     "sim", F.col("k").alias("rank")))
 
 
-def top_similar_users(user_sims: DataFrame, k: int = 10) -> DataFrame:
+def top_similar_users(user_sims: DataFrame, k: int = 10, directed: bool = False) -> DataFrame:
     """R2: the k most similar other users of every user (self excluded by id,
     so ties at 1.0 are harmless).  A user without data has no rows."""
-    e = both_directions(user_sims, "user_id1", "user_id2")
+    e = user_sims if directed else both_directions(user_sims, "user_id1", "user_id2")
     return (top_k_per(e, "user_id1", [F.desc("sim"), F.asc("user_id2")], k)
             .select(F.col("user_id1").alias(USER), F.col("user_id2").alias(NEIGHBOUR), "sim",
                     F.col("k").alias("rank")))
 
 
-def similar_user_recs(top_users: DataFrame, z: DataFrame, k: int = 5) -> DataFrame:
+def similar_user_recs(top_users: DataFrame, z: DataFrame, k: int = 5,
+                      hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """For each of a user's neighbours take the products at that
     neighbour's maximum centred rating (all ties), count how many neighbours
     name each product, keep the top k by (count desc, product asc).  Products
     the user rated are not removed (reference behaviour)."""
     best = (z.groupBy(USER).agg(F.max("z").alias("_mz"))
             .join(z, USER).filter(F.col("z") == F.col("_mz")).select(F.col(USER).alias(NEIGHBOUR), PRODUCT))
-    cnt = (top_users.select(USER, NEIGHBOUR).join(best, NEIGHBOUR)
+    cnt = (split_join(top_users.select(USER, NEIGHBOUR), best, NEIGHBOUR, USER, PRODUCT, hot_threshold)
            .groupBy(USER, PRODUCT).agg(F.count(F.lit(1)).alias("n_neighbours")))
     return (top_k_per(cnt, USER, [F.desc("n_neighbours"), F.asc(PRODUCT)], k)
             .withColumnRenamed("k", "rank"))
 
 
-def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_neighbours: int = 999,
-                   min_similarity: float = 0.0, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
-    """Σ(sim·r) / Σ sim over the user's ``max_neighbours`` most similar
-    users that rated the product, counting only sim > ``min_similarity``.
-
-    ``targets`` holds the (user, product) pairs to predict.  Join order is
-    chosen for size: each target first meets the *other raters of its
-    product* (an equi-join on product: Σ raters per target rows), and only
-    then the neighbour list on (user, neighbour).  Starting from the
-    neighbour lists instead would expand every neighbour into all of their
-    ratings (999 × ratings-per-user rows per user) before the targets prune
-    them.  The neighbour ranking is a window limited per user (partial
-    WindowGroupLimit before the shuffle).  A product with many raters is
-    split into blocks for the candidate join (:func:`split_join`).
+def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, min_similarity: float = 0.0,
+                   hot_threshold: int | None = DEFAULT_HOT_THRESHOLD, directed: bool = False) -> DataFrame:
+    """Σ(sim·r) / Σ sim over all users that rated the product and have
+    sim > ``min_similarity`` with the user.
+
+    ``targets`` holds the distinct (user, product) pairs to predict.  Each
+    target first meets the *other raters of its product* (an equi-join on
+    product: Σ raters per target rows; a product with many raters is split
+    into blocks by :func:`split_join`), and the pair then its similarity.
+    ``user_sims`` has one row per unordered pair (N4), so the pair is put in
+    order first, or is ``directed`` from the target's user.
     """
-    e = both_directions(user_sims, "user_id1", "user_id2")
-    nn = (top_k_per(e, "user_id1", [F.desc("sim"), F.asc("user_id2")], max_neighbours)
-          .filter(F.col("sim") > min_similarity)
-          .select(F.col("user_id1").alias(USER), F.col("user_id2").alias(NEIGHBOUR), "sim"))
     nr = m.select(F.col(USER).alias(NEIGHBOUR), PRODUCT, F.col(RATING).alias("_r"))
-    t = targets.select(USER, PRODUCT).distinct()
-    cand = split_join(t, nr, PRODUCT, USER, NEIGHBOUR, hot_threshold).filter(F.col(USER) != F.col(NEIGHBOUR))
-    joined = cand.join(nn, [USER, NEIGHBOUR])
+    cand = (split_join(targets.select(USER, PRODUCT), nr, PRODUCT, USER, NEIGHBOUR, hot_threshold)
+            .filter(F.col(USER) != F.col(NEIGHBOUR)))
+    one, two = (F.col(USER), F.col(NEIGHBOUR)) if directed else (F.least(USER, NEIGHBOUR), F.greatest(USER, NEIGHBOUR))
+    near = user_sims.filter(F.col("sim") > min_similarity).select("user_id1", "user_id2", "sim")
+    joined = cand.withColumn("user_id1", one).withColumn("user_id2", two).join(near, ["user_id1", "user_id2"])
     return (joined.groupBy(USER, PRODUCT)
             .agg(F.try_divide(F.sum(F.col("sim") * F.col("_r")), F.sum("sim")).alias("prediction"),
                  F.count(F.lit(1)).alias("n_neighbours"))
@@ -86,13 +84,14 @@ def predict_rating(targets: DataFrame, user_sims: DataFrame, m: DataFrame, max_n
 
 # ---------------------------------------------------------------- R5–R8 (co-rated cosine)
 
-def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = 500, seed: int = 42,
+def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = None, seed: int = 42,
                        min_overlap: int = 1, only_users: DataFrame | None = None,
                        hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
                        same_group: str | None = None) -> DataFrame:
     """Top-k neighbours per user by co-rated cosine (sim desc, co-rater
     count desc, id asc).  ``m`` is the (user, product)-unique rating table
-    (M3).  ``cap`` applies N6 first (default 500, as the reference).
+    (M3).  ``cap`` samples at most so many raters per product first (N6);
+    without it every rating counts.
     ``only_users`` (a list of ids — pushed into the scan as a predicate — or
     a DataFrame of ids, semi-joined) restricts the *first* user of each pair
     before the pair join; ``same_group`` adds an extra equi-key (a
@@ -100,10 +99,8 @@ def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = 500, seed:
     """
     if cap is not None:
         m = cap_raters(m, cap, seed)
-        if hot_threshold is not None and cap <= hot_threshold:
-            hot_threshold = None  # the cap already bounds every product group
     if only_users is not None or same_group is not None:
-        sims = _corated_for(m, only_users, min_overlap, same_group)
+        sims = _corated_for(m, only_users, min_overlap, same_group, hot_threshold)
     else:
         sims = both_directions(corated_cosine(m, min_overlap, 6, hot_threshold), "user1", "user2")
     return (top_k_per(sims, "user1", [F.desc("sim"), F.desc("n"), F.asc("user2")], k)
@@ -111,22 +108,26 @@ def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = 500, seed:
                     F.col("k").alias("rank")))
 
 
-def _corated_for(m: DataFrame, only_users: DataFrame | None, min_overlap: int, same_group: str | None) -> DataFrame:
+def _corated_for(m: DataFrame, only_users, min_overlap: int, same_group: str | None,
+                 hot_threshold: int | None) -> DataFrame:
     """Directed co-rated cosine ``(user1, user2, sim, n)`` where the first
     user is restricted to ``only_users`` (semi-join before the pair join) and/or
-    both users share the value of ``same_group``."""
+    both users share the value of ``same_group``.  A listed user has one row
+    per product, so that join has no key which is large on both sides; any
+    other is split."""
     extra = [same_group] if same_group else []
     a = m.select(F.col(USER).alias("user1"), PRODUCT, F.col(RATING).alias("r1"),
-                 *[F.col(g).alias("g1") for g in extra])
-    if isinstance(only_users, (list, tuple, set)):
+                 *extra)
+    listed = isinstance(only_users, (list, tuple, set))
+    if listed:
         # explicit ids: a plain predicate, pushed into the ratings scan
         a = a.filter(F.col("user1").isin(list(only_users)))
     elif only_users is not None:
         a = a.join(only_users.select(F.col(USER).alias("user1")).distinct(), "user1", "left_semi")
     b = m.select(F.col(USER).alias("user2"), PRODUCT, F.col(RATING).alias("r2"),
-                 *[F.col(g).alias("g2") for g in extra])
-    keys = [a[PRODUCT] == b[PRODUCT]] + ([a["g1"] == b["g2"]] if same_group else [])
-    j = a.join(b, keys).filter(F.col("user1") != F.col("user2"))
+                 *extra)
+    j = split_join(a, b, [PRODUCT, *extra], "user1", "user2", None if listed else hot_threshold)
+    j = j.filter(F.col("user1") != F.col("user2"))
     mo = (j.groupBy("user1", "user2")
           .agg(F.sum(F.col("r1") * F.col("r2")).alias("xy"), F.sum(F.col("r1") * F.col("r1")).alias("xx"),
                F.sum(F.col("r2") * F.col("r2")).alias("yy"), F.count(F.lit(1)).alias("n"))
@@ -163,13 +164,14 @@ def weighted_sum_recs(nn: DataFrame, m: DataFrame, k: int = 100, unseen: bool =
 
 
 def recs_for_user(m: DataFrame, products: DataFrame, user_ids, k_neighbours: int = 100, k: int = 100,
-                  cap: int | None = 500, seed: int = 42, unseen: bool = True) -> DataFrame:
+                  cap: int | None = None, seed: int = 42, unseen: bool = True) -> DataFrame:
     """R6/R7 for the served users only (a list of ids or a DataFrame),
     with rank and title.  The user filter is applied to the first side of
     the pair join, so only those users' pairs are ever formed.  An empty
     result means not enough data."""
     nn = nearest_neighbours(m, k_neighbours, cap, seed, only_users=user_ids)
     recs = weighted_sum_recs(nn, m, k, unseen)
+    recs = materialize(recs, "served-recs")  # k rows a user, read by the title lookup twice
     return title_lookup(recs, products, small_result=True).select(USER, "rank", PRODUCT, "score", TITLE)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions import hash_unit, split_digit
+from tastegraph.operators.encode import positions
 from tastegraph.schema import PRODUCT, RATING, TS, USER
 
 SPLIT = "split"
@@ -67,12 +68,14 @@ def user_item_mean(r: DataFrame) -> DataFrame:
     return r.groupBy(USER, PRODUCT).agg(F.avg(RATING).alias(RATING))
 
 
-def user_item_pivot(r: DataFrame, products: list[int], prefix: str = "p_") -> DataFrame:
-    """M4: wide user × product matrix for an explicit, bounded product list
-    (mean rating, NULL = not rated).  The list is given, so Spark needs no
-    extra job to discover pivot values and the width is known up front."""
-    wide = r.groupBy(USER).pivot(PRODUCT, list(products)).agg(F.avg(RATING))
-    return wide.select(USER, *[F.col(f"`{p}`").alias(f"{prefix}{p}") for p in products])
+def user_item_pivot(r: DataFrame, width: int = 16, prefix: str = "p_") -> DataFrame:
+    """M4: the user × product matrix of mean ratings, all products, cut into
+    blocks of ``width`` neighbouring product ids: one row per user and block
+    with a rating in it, column j of block b is product b·width + j (NULL =
+    not rated).  The width of a row does not grow with the catalogue."""
+    at = F.pmod(F.col(PRODUCT), F.lit(width))
+    block = F.floor(F.col(PRODUCT) / F.lit(width)).alias("product_block")
+    return r.groupBy(USER, block).agg(*[F.avg(F.when(at == j, F.col(RATING))).alias(f"{prefix}{j}") for j in range(width)])
 
 
 def user_rating_stats(m: DataFrame) -> DataFrame:
@@ -146,12 +149,19 @@ def distinct_ids(r: DataFrame, col: str = USER) -> DataFrame:
     return r.select(col).distinct()
 
 
-def rank_ordinal(df: DataFrame, partition_by, order_by, k: int, name: str = "rank") -> DataFrame:
-    """1-based gap-free ordinal of the first k rows per group
-    (``row_number() ≤ k``).  k bounds the list — as in every ranked list of
-    the reference — and lets Spark limit each group map-side
-    (WindowGroupLimit) before the shuffle, so a huge group never lands whole
-    in one task."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+def rank_ordinal(df: DataFrame, partition_by: list[str], order_by: list, k: int | None = None,
+                 name: str = "rank") -> DataFrame:
+    """1-based gap-free ordinal of the rows of each group.
+
+    With ``k`` the list ends there, which Spark limits map-side
+    (WindowGroupLimit).  Without, every row is ranked by its position in one
+    range-partitioned sort minus that of its group's first row, so a huge
+    group is spread over many tasks instead of sorted in one window."""
+    if k is not None:
+        from pyspark.sql import Window
+        w = Window.partitionBy(*partition_by).orderBy(*order_by)
+        return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+    placed = positions(df, [F.col(c) for c in partition_by] + list(order_by), "_at")
+    first = placed.groupBy(*partition_by).agg(F.min("_at").alias("_first"))
+    ranked = placed.join(first, partition_by)
+    return ranked.select(*df.columns, (F.col("_at") - F.col("_first") + 1).cast("int").alias(name))

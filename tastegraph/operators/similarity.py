@@ -5,17 +5,14 @@ share at least one co-rated item; nothing dense is built.
 
 The quadratic step is the self-join of ratings on the shared key (product for
 user-user measures, user for item-item).  Its cost is the sum over groups of
-(group size)².  Two things keep it distributed at any skew:
-
-* ``cap_raters`` (N6) — the reference's own bound: at most *n* raters per
-  product, chosen by a seeded hash, so the pair count per product is ≤ n²/2.
-* ``hot_threshold`` in :func:`self_pairs` — a group larger than the threshold
-  is split into ``ceil(size / threshold)`` hash buckets and the pairs are
-  produced block by block: cell (i, j), i ≤ j, joins bucket i with bucket j.
-  Every cell is its own join key, so no task sees more than threshold²
-  candidate pairs, whatever the size of the group.  Only the (small) set of
-  hot groups is joined back to the rows; AQE broadcasts it when it measures
-  it small and falls back to a shuffle join otherwise.
+(group size)².  ``hot_threshold`` keeps it distributed at any skew: the keys
+of groups above the threshold are listed once.  Without any, the join is a
+plain one, whose shuffle AQE may still coalesce or split.  With some, only
+their rows are dealt into blocks: a group of n rows gets ⌈n / threshold⌉ hash
+buckets, and every pair of buckets is a join key of its own, so no task sees
+more than threshold² candidate pairs; the other keys keep the plain join.
+``cap_raters`` (N6) bounds the groups by sampling; no other operator uses it
+unless asked to.
 """
 
 from __future__ import annotations
@@ -25,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.functions import safe_ratio
 from tastegraph.schema import PRODUCT, RATING, USER
+from tastegraph.session import materialize
 
 DEFAULT_HOT_THRESHOLD = 2000
 
@@ -94,30 +92,28 @@ def self_pairs(df: DataFrame, key: str, member: str, values: list[str],
         b = base.select(key, *side(base, "2", member))
         return a.join(b, [key]).filter(F.col("m1") < F.col("m2"))
 
-    hot = (base.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_threshold)
-           .select(key, F.ceil(F.col("_n") / F.lit(hot_threshold)).cast("int").alias("_s")))
-    x = (base.join(hot, key, "left")
-         .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
-         .withColumn("_b", F.pmod(F.xxhash64(F.col(member)), F.col("_s")).cast("int")))
+    hot = materialize(base.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_threshold)
+                      .select(key, F.ceil(F.col("_n") / F.lit(hot_threshold)).cast("int").alias("_s")), "hot-keys")
+    none_hot = hot.limit(1).count() == 0
+    rest = base if none_hot else base.join(hot, key, "left_anti")
+    plain = (rest.select(key, *side(rest, "1", member)).join(rest.select(key, *side(rest, "2", member)), [key])
+             .filter(F.col("m1") < F.col("m2")))
+    if none_hot:
+        return plain
+    x = base.join(hot, key).withColumn("_b", F.pmod(F.xxhash64(F.col(member)), F.col("_s")).cast("int"))
     # bucket b sends its rows to the cells (b, j), j ≥ b, as the left side and
     # to the cells (i, b), i ≤ b, as the right side
     left = x.select(key, F.col("_b").alias("_i"), F.explode(F.sequence(F.col("_b"), F.col("_s") - 1)).alias("_j"),
                     *side(x, "1", member))
     right = x.select(key, F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_i"), F.col("_b").alias("_j"),
                      *side(x, "2", member))
-    # the pair join expands its input, so keep the full shuffle-partition
-    # count on both sides rather than a size-based coalescing of the input
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = left.repartition(n, key, "_i", "_j")
-    right = right.repartition(n, key, "_i", "_j")
     j = left.join(right, [key, "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("m1") < F.col("m2")))
     swap = F.col("m1") > F.col("m2")
     cols = [F.col(key), F.least("m1", "m2").alias("m1"), F.greatest("m1", "m2").alias("m2")]
     for v in values:
         cols += [F.when(swap, F.col(f"{v}_2")).otherwise(F.col(f"{v}_1")).alias(f"{v}_1"),
                  F.when(swap, F.col(f"{v}_1")).otherwise(F.col(f"{v}_2")).alias(f"{v}_2")]
-    return j.select(*cols)
+    return plain.select(*[F.col(c) for c in plain.columns]).unionByName(j.select(*cols))
 
 
 def co_rater_pairs(m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
@@ -128,40 +124,34 @@ def co_rater_pairs(m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHO
                     F.col(f"{RATING}_1").alias("rating1"), F.col(f"{RATING}_2").alias("rating2"))
 
 
-def split_join(left: DataFrame, right: DataFrame, key: str, left_salt: str, right_salt: str,
+def split_join(left: DataFrame, right: DataFrame, key, left_salt: str, right_salt: str,
                hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
-    """Inner equi-join on ``key`` that splits keys which are large on both
-    sides.  A key with ``nl`` left and ``nr`` right rows and
+    """Inner equi-join on ``key`` (a column or several) that splits keys which
+    are large on both sides.  A key with ``nl`` left and ``nr`` right rows and
     ``nl·nr > threshold²`` gets ``sl = ⌈nl/threshold⌉`` left and
     ``sr = ⌈nr/threshold⌉`` right hash buckets (by ``left_salt`` /
     ``right_salt``); left bucket i goes to cells (i, 0…sr−1), right bucket j
     to cells (0…sl−1, j), and each cell joins on its own key, so no task
-    meets more than threshold² candidate pairs.  Other keys take one cell.
-    ``hot_threshold=None`` is the plain join."""
+    meets more than threshold² candidate pairs.  Other keys, and all of them
+    if none is that large, join plainly.  ``hot_threshold=None`` is the plain
+    join."""
+    keys = [key] if isinstance(key, str) else list(key)
     if hot_threshold is None:
-        return left.join(right, key)
+        return left.join(right, keys)
     t = hot_threshold
-    ln = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
-    rn = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
-    hot = (ln.join(rn, key).filter(F.col("_nl") * F.col("_nr") > F.lit(t) * F.lit(t))
-           .select(key, F.ceil(F.col("_nl") / t).cast("int").alias("_sl"),
-                   F.ceil(F.col("_nr") / t).cast("int").alias("_sr")))
-    def prep(df):
-        return (df.join(hot, key, "left")
-                .withColumn("_sl", F.coalesce("_sl", F.lit(1))).withColumn("_sr", F.coalesce("_sr", F.lit(1))))
-    lx = prep(left)
-    lx = (lx.withColumn("_i", F.pmod(F.xxhash64(F.col(left_salt)), F.col("_sl")).cast("int"))
+    ln = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+    rn = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+    hot = materialize(ln.join(rn, keys).filter(F.col("_nl") * F.col("_nr") > F.lit(t) * F.lit(t))
+                      .select(*keys, F.ceil(F.col("_nl") / t).cast("int").alias("_sl"),
+                              F.ceil(F.col("_nr") / t).cast("int").alias("_sr")), "hot-keys")
+    if hot.limit(1).count() == 0:
+        return left.join(right, keys)
+    plain = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys)
+    lx = (left.join(hot, keys).withColumn("_i", F.pmod(F.xxhash64(F.col(left_salt)), F.col("_sl")).cast("int"))
           .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))).drop("_sl", "_sr"))
-    rx = prep(right)
-    rx = (rx.withColumn("_j", F.pmod(F.xxhash64(F.col(right_salt)), F.col("_sr")).cast("int"))
+    rx = (right.join(hot, keys).withColumn("_j", F.pmod(F.xxhash64(F.col(right_salt)), F.col("_sr")).cast("int"))
           .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))).drop("_sl", "_sr"))
-    # the join typically expands its inputs many times over, so both sides
-    # are shuffled to the full shuffle-partition count (not coalesced by
-    # input size, and kept even if AQE turns the join into a broadcast)
-    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lx = lx.repartition(n, key, "_i", "_j")
-    rx = rx.repartition(n, key, "_i", "_j")
-    return lx.join(rx, [key, "_i", "_j"]).drop("_i", "_j")
+    return plain.unionByName(lx.join(rx, [*keys, "_i", "_j"]).drop("_i", "_j"))
 
 
 # ---------------------------------------------------------------- M8, N5
@@ -195,6 +185,8 @@ def corated_cosine(m: DataFrame, min_overlap: int = 1, digits: int | None = 6,
 def _centred_cosine(z: DataFrame, owner: str, shared: str, digits: int | None,
                     hot_threshold: int | None) -> DataFrame:
     w = unit_rows(z, owner).select(owner, shared, "w")
+    if hot_threshold is not None:
+        w = materialize(w, "unit-rows")  # read for the group sizes and by both sides of the join
     p = self_pairs(w, shared, owner, ["w"], hot_threshold)
     s = F.sum(F.col("w_1") * F.col("w_2"))
     agg = p.groupBy("m1", "m2").agg((F.round(s, digits) if digits is not None else s).alias("sim"))
@@ -215,6 +207,18 @@ def user_cosine(z: DataFrame, digits: int | None = 6,
     return _centred_cosine(z, USER, PRODUCT, digits, hot_threshold)
 
 
+def cosine_for(z: DataFrame, owner: str, shared: str, ids, digits: int | None = 6) -> DataFrame:
+    """N3 / N4 for the listed owners only: directed ``(<owner>1, <owner>2,
+    sim)`` with the first one in ``ids``.  The ids filter the first side of the
+    pair join (norms are those of whole vectors), so no other pair is formed."""
+    w = unit_rows(z, owner).select(owner, shared, "w")
+    a = w.filter(F.col(owner).isin(list(ids))).select(F.col(owner).alias(owner + "1"), shared, F.col("w").alias("w_1"))
+    b = w.select(F.col(owner).alias(owner + "2"), shared, F.col("w").alias("w_2"))
+    s = F.sum(F.col("w_1") * F.col("w_2"))
+    return (a.join(b, shared).filter(F.col(owner + "1") != F.col(owner + "2")).groupBy(owner + "1", owner + "2")
+            .agg((F.round(s, digits) if digits is not None else s).alias("sim")))
+
+
 # ---------------------------------------------------------------- helpers
 
 def both_directions(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -15,7 +15,7 @@ PROFILE_USER = 2147483647
 PROFILE_ROWS = [(PROFILE_USER, 525, 5.0, 1400000000), (PROFILE_USER, 625, 3.0, 1400000000),
                 (PROFILE_USER, 744, 2.5, 1400000000), (PROFILE_USER, 1219, 4.5, 1400000000)]
 SERVED_USER = 1
-PIVOT_PRODUCTS = list(range(1, 11))
+PIVOT_WIDTH = 16
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 R = """R AS (SELECT o_custkey AS user_id, l_partkey AS product_id,
@@ -43,7 +43,7 @@ ps AS (SELECT a.p AS p1, b.p AS p2, round(sum(a.z * b.z) / (max(x.n) * max(y.n))
        FROM z a JOIN z b ON a.u = b.u AND a.p <> b.p JOIN np x ON x.p = a.p JOIN np y ON y.p = b.p
        GROUP BY a.p, b.p)"""
 PRED = """pr AS (SELECT t.u, t.p, sum(un.sim * n.r) / sum(un.sim) AS prediction, count(*) AS n_neighbours
-       FROM m t JOIN un ON un.u1 = t.u AND un.sim > 0 AND un.k <= 999
+       FROM m t JOIN un ON un.u1 = t.u AND un.sim > 0
        JOIN m n ON n.u = un.u2 AND n.p = t.p GROUP BY t.u, t.p)"""
 CP = """cp AS (SELECT a.u AS u1, b.u AS u2, sum(a.r * b.r) AS xy, sum(a.r * a.r) AS xx, sum(b.r * b.r) AS yy,
               count(*) AS n
@@ -111,8 +111,9 @@ ORACLE["split_counts"] = w(R, RD) + ("SELECT CASE WHEN split_digit < 6 THEN 'tra
                                      "ELSE 'test' END AS split, count(*) AS n FROM RD GROUP BY 1")
 ORACLE["user_item_mean"] = w(R) + ("SELECT user_id, product_id, avg(rating) AS rating FROM R "
                                    "GROUP BY user_id, product_id")
-ORACLE["user_item_pivot"] = w(R) + ("SELECT user_id, " + ", ".join(
-    f"avg(CASE WHEN product_id = {p} THEN rating END) AS p_{p}" for p in PIVOT_PRODUCTS) + " FROM R GROUP BY user_id")
+ORACLE["user_item_pivot"] = w(R) + (f"SELECT user_id, product_id // {PIVOT_WIDTH} AS product_block, " + ", ".join(
+    f"avg(CASE WHEN product_id % {PIVOT_WIDTH} = {j} THEN rating END) AS p_{j}" for j in range(PIVOT_WIDTH))
+    + f" FROM R GROUP BY user_id, product_id // {PIVOT_WIDTH}")
 ORACLE["user_rating_stats"] = w(R, M) + ("SELECT u AS user_id, round(avg(r), 6) AS mean_rating, max(r) AS max_rating, "
                                          "min(r) AS min_rating FROM m GROUP BY u")
 ORACLE["mean_rating"] = w(R, RD, PROFILE, TRAIN, VALID) + (
@@ -183,14 +184,16 @@ ORACLE["recs_for_user"] = w(R, P, M, CP, NN, REC.format(unseen=UNSEEN)) + (
     + rank("PARTITION BY u1 ORDER BY score DESC, p DESC") + f" AS k FROM rec WHERE u1 = {SERVED_USER}) x "
     "LEFT JOIN P ON P.product_id = x.p WHERE x.k <= 100")
 ORACLE["als_recs_for_user"] = w(PROFILE) + (
-    "SELECT least(50, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_rank_gaps FROM "
+    "SELECT least(50, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_rank_gaps, "
+    "CAST(0 AS BIGINT) AS n_inversions, CAST(0 AS BIGINT) AS n_better FROM "
     "(SELECT DISTINCT p_partkey FROM part WHERE p_partkey NOT IN (SELECT product_id FROM PROFILE))")
 ORACLE["rank_ordinal"] = w(R, M) + (
-    "SELECT * FROM (SELECT u AS user_id, p AS product_id, r AS rating, " + rank("PARTITION BY u ORDER BY r DESC, p")
-    + " AS rank FROM m) WHERE rank <= 10")
+    "SELECT u AS user_id, p AS product_id, r AS rating, " + rank("PARTITION BY u ORDER BY r DESC, p") + " AS rank FROM m")
 
 ORACLE["als_train"] = w(R, RD, PROFILE, TRAIN) + (
     "SELECT count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_violations FROM TRAIN")
+ORACLE["als_grid_search"] = ("SELECT CAST(2 AS BIGINT) AS n_settings, CAST(1 AS BIGINT) AS n_best, CAST(0 AS BIGINT) AS n_better, "
+                             "CAST(0 AS BIGINT) AS n_mismatch")
 ORACLE["als_predict"] = w(*_split_ctes) + f"SELECT n_covered AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM ({_covered})"
 ORACLE["rmse"] = w(R, M, Z, US, PRED) + (
     "SELECT round(sqrt(sum(power(pr.prediction - m.r, 2)) / count(pr.prediction)), 6) AS rmse, "
@@ -201,6 +204,11 @@ ORACLE["mean_baseline_rmse"] = w(*_split_ctes) + (
     "SELECT round(mu, 6) AS mean_rating, round(sqrt(avg(power(t.rating - mu, 2))), 6) AS baseline_rmse, "
     "count(*) AS n_test FROM TEST t, (SELECT avg(rating) AS mu FROM (SELECT * FROM TRAIN UNION ALL "
     "SELECT * FROM VALID)) GROUP BY mu")
+ORACLE["improvement_pct"] = w(R, M, Z, US, PRED, RD, PROFILE, TRAIN, VALID) + (
+    ", e AS (SELECT sqrt(sum(power(pr.prediction - m.r, 2)) / count(*)) AS rmse FROM m LEFT JOIN pr ON pr.u = m.u AND pr.p = m.p), "
+    "b AS (SELECT sqrt(avg(power(m.r - mu, 2))) AS base FROM m, (SELECT avg(rating) AS mu FROM (SELECT * FROM TRAIN UNION ALL "
+    "SELECT * FROM VALID))) SELECT round(rmse, 6) AS rmse, round(base, 6) AS baseline_rmse, "
+    "round((base - rmse) * 100.0 / base, 4) AS improvement_pct FROM e, b")
 ORACLE["user_insample_error"] = w(R, M, Z, US, PRED) + (
     "SELECT m.u AS user_id, count(*) AS n_rated, count(pr.prediction) AS n_predicted, "
     "round(avg(power(pr.prediction - m.r, 2)), 6) AS mse, round(sqrt(avg(power(pr.prediction - m.r, 2))), 6) AS rmse "
@@ -215,6 +223,8 @@ cp AS (SELECT a.u AS u1, b.u AS u2, sum(a.r * b.r) AS xy, sum(a.r * a.r) AS xx,
 sy AS (SELECT u1, u2, round(xy / (sqrt(xx) * sqrt(yy)), 6) AS sim, n FROM cp)
 SELECT u1 AS user_id, u2 AS neighbour_id, sim, n, k AS rank FROM (SELECT *, """ + rank(
     "PARTITION BY u1 ORDER BY sim DESC, n DESC, u2") + " AS k FROM sy) WHERE k <= 100"
+ORACLE["user_clusters"] = w(R) + ("SELECT count(DISTINCT R.user_id) AS n_users, CAST(5 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_misplaced "
+                                  "FROM R JOIN part ON part.p_partkey = R.product_id")
 ORACLE["user_interest_vector"] = w(R) + ("SELECT R.user_id, " + ", ".join(
     f"round(avg(CASE WHEN part.p_brand = '{b}' THEN R.rating END), 6) AS brand_{b.split('#')[1]}" for b in BRANDS)
     + " FROM R JOIN part ON part.p_partkey = R.product_id GROUP BY R.user_id")
