@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.session import materialize, scratch_path
 
-__all__ = ["WORD", "crc_remainder", "documents", "materialize", "null_safe", "ordered_totals", "scratch_path", "table", "temp"]
+__all__ = ["WORD", "crc_remainder", "documents", "materialize", "release", "scratch_path", "table", "temp"]
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,34 +28,17 @@ def temp(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
-def null_safe(name: str) -> list[Column]:
-    """Two columns that are equal exactly where ``name`` is equal or null in
-    both: a join on them is a hash join that also pairs nulls."""
-    return [F.col(name).isNull(), F.col(name)]
-
-
 def crc_remainder(col: str, n: int = 3) -> Column:
     """crc32 of the column as text, modulo ``n``."""
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(n))
 
 
-def ordered_totals(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
-    """``df`` plus ``<name>_part`` (a range of the order) and ``<name>``: the
-    sum of ``value`` over all rows before the row in the order.
-
-    The rows are range-partitioned and sorted, each range sums its own rows,
-    and only one total per range is summed over all ranges.  Ties of the
-    order take any place among themselves, so pass a full order.
-    """
-    part, before, mid = f"{name}_part", temp("before"), temp("mid")
-    ranged = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                         .withColumn(mid, F.monotonically_increasing_id())
-                         .withColumn(part, F.shiftright(mid, 33)), name)
-    within = Window.partitionBy(part).orderBy(mid).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy(part).agg(F.sum(value).alias(before))
-    # one row per range: the window is as small as the number of partitions
-    across = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(part, F.coalesce(F.sum(before).over(across), F.lit(0)).alias(before))
-    return (ranged.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
-            .join(F.broadcast(offsets), part)
-            .withColumn(name, F.col(name) + F.col(before)).drop(before, mid))
+def release(*tables: DataFrame) -> None:
+    """Delete materialized tables that no later step reads, and let Spark's
+    cleaner drop the shuffle files of the steps that made them: it acts on
+    what the driver's JVM has collected as garbage."""
+    for t in tables:
+        for path in {f.rpartition("/")[0] for f in t.inputFiles()[:1]}:
+            where = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        t.sparkSession.sparkContext._jvm.System.gc()

@@ -12,8 +12,10 @@ input per round, so the ranks are kept for chosen positions only:
    the doubled length.  Cores with a rank of their own are unique and leave.
 3. The remaining blocks are reranked by their whole extent, past the
    threshold: blocks that share that rank repeat entirely.
-4. A block that shares only its core is on the edge of a repeat.  Its single
-   strings are ranked at the full length, against one block for each extent.
+4. A block that shares only its core is on the edge of a repeat.  It is cut
+   into blocks of a few strings, with longer cores, which are reranked in the
+   same way (one block for each extent that repeats takes part); only the
+   strings at the very edge are then ranked one by one at the full length.
 
 Ranks are grouped counts, never collected groups, and a hot string is one
 row of a count per task.
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize, temp
+from tastegraph.llm.common import materialize, release, temp
 from tastegraph.llm.hashing import U64, RangeHash, chunks, constants, mix
 
 LENGTH = 400
@@ -46,78 +48,105 @@ def _slide_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - rest], x[rest:]) if rest else x
 
 
-class Blocks:
-    """The blocks of strings of all texts of a buffer (arrays, one entry per
-    block): text, first (start of its first string within the text), strings
-    (how many, at consecutive starts), core and extent (hashes)."""
-
-    def __init__(self, texts: list[bytes], length: int):
-        block = max(1, length // 4)
-        gram = min(32, block)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        ends = np.cumsum([len(t) for t in texts])
-        begins = ends - [len(t) for t in texts]
-        hashes = RangeHash(data)
-        at = np.arange(len(data) - gram + 1)
-        bits = U64(len(data).bit_length())
-        grams = (hashes(at, at + gram) >> bits << bits) | at.astype(U64)
-        anchor = (_slide_least(grams, length - gram + 1) & ((U64(1) << bits) - U64(1))).astype(np.int64)
-        starts = np.arange(len(anchor))
-        # strings that lie within one text
-        fits = np.zeros(len(anchor) + 1, np.int32)
-        whole = ends - begins >= length
-        np.add.at(fits, begins[whole], 1)
-        np.add.at(fits, ends[whole] - length + 1, -1)
-        starts = starts[np.cumsum(fits[:-1]) > 0]
-        anchor = anchor[starts]
-        number = (anchor - starts) // block
-        new = np.flatnonzero(np.diff(anchor * (length + 1) + number, prepend=-1))
-        last = np.append(new[1:], len(starts)) - 1
-        anchor, number, lo, hi = anchor[new], number[new], starts[new], starts[last]
-        core = anchor - number * block
-        size = length - block + 1
-        half = (size + 1) // 2
-        pair = constants(43, 2)
-        self.core = mix(hashes(core, core + half) * pair[0] + hashes(core + size - half, core + size) * pair[1])
-        self.extent = hashes(lo, hi + length)
-        self.text = np.searchsorted(ends, lo, "right")
-        self.first = lo - begins[self.text] if len(lo) else lo
-        self.strings = hi - lo + 1
+#: Strings of a block of the second round.
+FINE = 16
+_BLOCK = [("first", T.IntegerType()), ("strings", T.ShortType()), ("place", T.ShortType()), ("core", T.LongType()), ("extent", T.LongType())]
+
+
+def anchors(data: np.ndarray, hashes: RangeHash, length: int) -> np.ndarray:
+    """For every start of a ``length``-byte string, the place of its anchor;
+    ties of the hash go to the first."""
+    gram = min(32, max(1, length // 4))
+    at = np.arange(len(data) - gram + 1)
+    bits = U64(len(data).bit_length())
+    grams = (hashes(at, at + gram) >> bits << bits) | at.astype(U64)
+    return (_slide_least(grams, length - gram + 1) & ((U64(1) << bits) - U64(1))).astype(np.int64)
+
+
+def blocks_of(hashes: RangeHash, starts: np.ndarray, anchor: np.ndarray, length: int, width: int):
+    """Runs of consecutive strings of one anchor whose distance to it falls
+    into the same block of ``width``: (first start, strings, distance of the
+    first, core, extent).  The core is what all strings of the block, present
+    or not, have in common; its rank is the pair of its halves' ranks."""
+    number = (anchor - starts) // width
+    new = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(number, prepend=-1) != 0) | (np.diff(starts, prepend=-2) != 1))
+    lo, hi = starts[new], starts[np.append(new[1:], len(starts)) - 1]
+    core, size = anchor[new] - number[new] * width, length - width + 1
+    half = (size + 1) // 2
+    pair = constants(43, 2)
+    ranks = mix(hashes(core, core + half) * pair[0] + hashes(core + size - half, core + size) * pair[1])
+    return new, lo, hi - lo + 1, anchor[new] - lo, ranks, hashes(lo, hi + length)
 
 
 def _blocks(length: int, id_type: T.DataType):
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("digest", T.LongType()), T.StructField("first", T.IntegerType()),
-                           T.StructField("strings", T.IntegerType()), T.StructField("core", T.LongType()), T.StructField("extent", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("digest", T.LongType()), *(T.StructField(*f) for f in _BLOCK)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [(i, t) for i, t in enumerate(x.encode() if x else b"" for x in b.column(2).to_pylist()) if len(t) >= length]
             for part in chunks(texts, [len(t) for _, t in texts], _CHUNK_BYTES):
-                found = Blocks([t for _, t in part], length)
-                whose = pa.array(np.array([i for i, _ in part])[found.text])
-                yield pa.record_batch([b.column(0).take(whose), b.column(1).take(whose), pa.array(found.first, pa.int32()),
-                                       pa.array(found.strings, pa.int32()), pa.array(found.core.view(np.int64)), pa.array(found.extent.view(np.int64))],
-                                      names=schema.names)
+                data = np.frombuffer(b"".join(t for _, t in part), np.uint8)
+                hashes = RangeHash(data)
+                ends = np.cumsum([len(t) for _, t in part])
+                begins = np.append(0, ends[:-1])
+                anchor = anchors(data, hashes, length)
+                inside = np.zeros(len(anchor) + 1, np.int32)  # strings that lie within one text
+                inside[begins] += 1
+                inside[ends - length + 1] -= 1
+                starts = np.flatnonzero(np.cumsum(inside[:-1]))
+                _, lo, n, place, core, extent = blocks_of(hashes, starts, anchor[starts], length, max(1, length // 4))
+                text = np.searchsorted(ends, lo, "right")
+                whose = pa.array(np.array([i for i, _ in part])[text])
+                yield pa.record_batch([b.column(0).take(whose), b.column(1).take(whose), pa.array(lo - begins[text], pa.int32()),
+                                       pa.array(n, pa.int16()), pa.array(place, pa.int16()), pa.array(core.view(np.int64)),
+                                       pa.array(extent.view(np.int64))], names=schema.names)
 
     return run, schema
 
 
-def _strings(length: int, id_type: T.DataType):
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("digest", T.LongType()), T.StructField("first", T.IntegerType()),
-                           T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+def _fine_blocks(length: int, id_type: T.DataType):
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("digest", T.LongType()), *(T.StructField(*f) for f in _BLOCK),
+                           T.StructField("each", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, (text, runs) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                data = np.frombuffer(text.encode(), np.uint8)
-                at = np.unique(np.concatenate([np.arange(r["first"], r["first"] + r["strings"]) for r in runs]))
-                keys = [pa.array(RangeHash(data, seed)(at, at + length).view(np.int64)) for seed in (11, 13)]
-                whose = pa.array(np.full(len(at), i))
-                yield pa.record_batch([b.column(0).take(whose), b.column(1).take(whose), pa.array(at, pa.int32()), *keys], names=schema.names)
+                hashes = RangeHash(np.frombuffer(text.encode(), np.uint8))
+                first, n, place = (np.array([r[k] for r in runs], np.int64) for k in ("first", "strings", "place"))
+                order = np.argsort(first)
+                first, n, place = first[order], n[order], place[order]
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                starts = np.repeat(first, n) + step
+                new, lo, count, near, core, extent = blocks_of(hashes, starts, np.repeat(first + place, n), length, min(FINE, max(1, length // 8)))
+                each = pa.ListArray.from_arrays(pa.array(np.append(new, len(starts)), pa.int32()),
+                                                pa.array(hashes(starts, starts + length).view(np.int64)))
+                whose = pa.array(np.full(len(lo), i))
+                yield pa.record_batch([b.column(0).take(whose), b.column(1).take(whose), pa.array(lo, pa.int32()), pa.array(count, pa.int16()),
+                                       pa.array(near, pa.int16()), pa.array(core.view(np.int64)), pa.array(extent.view(np.int64)), each],
+                                      names=schema.names)
 
     return run, schema
 
 
+_OWN = ["doc_id", "digest"]
+
+
+def rerank(blocks: DataFrame) -> DataFrame:
+    """The blocks whose core is shared, with ``whole`` (their extent is, too)
+    and ``edge`` (their core has several extents; true for one block of each
+    extent).  Releases ``blocks``."""
+    cores = blocks.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    shared = materialize(blocks.join(cores, "core"), "shared-blocks")
+    release(blocks)
+    extents = materialize(shared.groupBy("core", "extent").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_OWN, "first")).alias("one")), "extents")
+    several = extents.groupBy("core").agg((F.count(F.lit(1)) > 1).alias("mixed"))
+    ranked = shared.join(extents.join(several, "core"), ["core", "extent"])
+    ranked = ranked.withColumn("whole", F.col("n") > 1).withColumn("edge", F.col("mixed") & (F.struct(*_OWN, "first") == F.col("one")))
+    ranked = materialize(ranked.filter("whole or edge").drop("n", "one", "mixed"), "ranked-blocks")
+    release(shared, extents)
+    return ranked
+
+
 def merge_spans(firsts: np.ndarray, strings: np.ndarray, length: int) -> np.ndarray:
     """Union of [first, first + strings - 1 + length) as rows (start, end)."""
     order = np.argsort(firsts, kind="stable")
@@ -164,31 +193,35 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     table gives no rows.
     """
     id_type = docs.schema["doc_id"].dataType
-    digest = F.xxhash64("text").alias("digest")
-    own = ["doc_id", "digest"]
+    digest, span = F.xxhash64("text").alias("digest"), [*_OWN, "first", "strings"]
     run, schema = _blocks(length, id_type)
-    blocks = materialize(docs.select("doc_id", digest, "text").mapInArrow(run, schema), "blocks")
-    cores = blocks.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared = materialize(blocks.join(cores, "core"), "shared-blocks")
-    extents = shared.groupBy("core", "extent").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*own, "first", "strings")).alias("one"))
-    extents = materialize(extents, "extents")
-    whole = shared.join(extents.filter("n > 1").select("core", "extent"), ["core", "extent"], "left_semi").select(*own, "first", "strings")
-    # edges of repeats: cores with several extents, one block for each
-    mixed = extents.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    edge = (extents.join(mixed, "core", "left_semi").groupBy(F.col("one.doc_id").alias("doc_id"), F.col("one.digest").alias("digest"))
-            .agg(F.collect_list(F.struct("one.first", "one.strings")).alias("runs")))
-    run, schema = _strings(length, id_type)
-    edge = edge.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "runs")
+    coarse = rerank(materialize(docs.select("doc_id", digest, "text").mapInArrow(run, schema), "blocks"))
+    edges = (coarse.filter("edge").groupBy(*_OWN).agg(F.collect_list(F.struct("first", "strings", "place")).alias("runs"))
+             .toDF("_id", "_digest", "runs"))
     texts = docs.select("doc_id", digest, "text").filter(F.octet_length("text") >= length)
     here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    strings = materialize(texts.join(edge, here).select(*own, "text", "runs").mapInArrow(run, schema), "edge-strings")
-    twice = strings.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    single = strings.join(twice, ["a", "b"], "left_semi").select(*own, "first", F.lit(1).alias("strings"))
-    spans = (whole.unionByName(single).groupBy(*own).agg(F.collect_set(F.struct("first", "strings")).alias("runs"))
-             .select(*own, "runs"))
+    run, schema = _fine_blocks(length, id_type)
+    fine = rerank(materialize(texts.join(edges, here).select(*_OWN, "text", "runs").mapInArrow(run, schema), "fine-blocks"))
+    each = fine.filter("edge").select(*_OWN, "core", "first", F.posexplode("each").alias("at", "string"))
+    twice = each.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    single = each.join(twice, ["core", "string"]).select(*_OWN, (F.col("first") + F.col("at")).alias("first"), F.lit(1).cast("short").alias("strings"))
+    spans = coarse.filter("whole").select(*span).unionByName(fine.filter("whole").select(*span)).unionByName(single)
+    spans = spans.groupBy(*_OWN).agg(F.collect_set(F.struct("first", "strings")).alias("runs"))
     other = [c for c in docs.columns if c not in ("text", "kept", "spans")]
     run, schema = _cut(length, [docs.schema[c] for c in other])
     kept_id, kept_digest, runs = temp("id"), temp("digest"), temp("runs")
     spans = spans.toDF(kept_id, kept_digest, runs)
     joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col(kept_id)) & (F.xxhash64(docs["text"]) == F.col(kept_digest)), "left")
     return joined.select(*other, "text", runs).mapInArrow(run, schema)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The columns of ``docs`` with the repeats taken out of text (and n_chars,
+    if there is one, counted anew).  Characters cut apart go whole; texts of
+    which nothing remains go, empty and null ones stay."""
+    cut = remove_repeats(docs, length).withColumn("_cut", F.size("spans") > 0)
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    cut = cut.withColumn("text", F.when(F.col("_cut"), F.regexp_replace(text, "\ufffd", "")).otherwise(text))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.filter(~F.col("_cut") | (F.col("text") != "")).select(*docs.columns)
