@@ -182,3 +182,12 @@ def identify(docs: DataFrame, learn: Column | None = None, per_language: int = P
 
     marked = docs.withColumn("held_out", held_out()).withColumn(lettered, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     return marked.mapInArrow(run, schema)
+
+
+def in_known_language(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
+    """The rows of ``docs`` whose language is determined with a score of at
+    least ``least``."""
+    clash = {c: temp(c) for c in ("held_out", "lang_pred", "score") if c in docs.columns}
+    found = identify(docs.withColumnsRenamed(clash), **options)
+    found = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).drop("held_out", "lang_pred", "score")
+    return found.withColumnsRenamed({v: k for k, v in clash.items()}).select(*docs.columns)

@@ -24,11 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize
+from tastegraph.llm.common import materialize, temp
 from tastegraph.llm.graph import UnionFind, components
 from tastegraph.llm.hashing import U64, chunks, constants, mix, shingle_sets
 
@@ -93,19 +93,19 @@ _CHUNK_BYTES = 1 << 20
 
 def _signed(words: int, places: int, rows: int, id_type: T.DataType):
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", id_type),
-                           T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
-                           T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("digest", T.LongType()), T.StructField("n_shingles", T.LongType()),
+                           T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t.encode() if t else b"" for t in b.column(2).to_pylist()]
+            texts = [t.encode() if t else b"" for t in b.column(3).to_pylist()]
             at = 0
             for part in chunks(texts, [len(t) for t in texts], _CHUNK_BYTES):
                 sets = shingle_sets(part, words)
                 bands = band_keys(super_minhash(sets, places), rows)
                 n = np.array([len(s) for s in sets])
                 ends = np.cumsum([0, *np.where(n > 0, bands.shape[1], 0)]).astype(np.int32)
-                yield pa.record_batch([b.column(0).slice(at, len(part)), b.column(1).slice(at, len(part)), pa.array(n),
+                yield pa.record_batch([*(b.column(i).slice(at, len(part)) for i in range(3)), pa.array(n),
                                        pa.array([set_key(s) for s in sets], pa.binary()),
                                        pa.ListArray.from_arrays(ends, pa.array(bands[n > 0].reshape(-1)))], names=schema.names)
                 at += len(part)
@@ -173,8 +173,8 @@ def _confirm(words: int, percent: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places: int = PLACES,
                     rows_per_band: int = ROWS_PER_BAND, block: int = BLOCK) -> DataFrame:
-    """One row per input row: row (a number of its own), doc_id, n_shingles,
-    component_id (the least doc_id of its group of rows linked by a Jaccard
+    """One row per input row: row (a number of its own), doc_id, digest (of
+    the text), n_shingles, component_id (the least doc_id of its group of rows linked by a Jaccard
     similarity of at least ``percent``/100 of their word-shingle sets) and
     representative (exactly one row of each group: the least doc_id, then
     the least row).
@@ -187,8 +187,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     table gives no rows.
     """
     run, schema = _signed(words, places, rows_per_band, docs.schema["doc_id"].dataType)
-    base = materialize(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, schema),
-                       "signatures")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("digest"), "text")
+    base = materialize(numbered.mapInArrow(run, schema), "signatures")
     filled = base.filter("n_shingles > 0")
     classes = materialize(filled.groupBy("set_key").agg(F.min("row").alias("node"), F.min(F.struct("doc_id", "row")).alias("least"),
                                                         F.any_value("bands").alias("bands")), "classes")
@@ -213,7 +213,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     joined = found.join(least, "root").select("node", "first")
     whose = classes.join(joined, "node", "left").select("set_key", F.coalesce("first", "least").alias("first"))
     own = F.struct("doc_id", "row")
-    linked = filled.join(whose, "set_key").select("row", "doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"),
+    linked = filled.join(whose, "set_key").select("row", "doc_id", "digest", "n_shingles", F.col("first.doc_id").alias("component_id"),
                                                   (own == F.col("first")).alias("representative"))
     return linked.unionByName(base.filter("n_shingles = 0").select(
-        "row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("representative")))
+        "row", "doc_id", "digest", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("representative")))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that represent their group.  Of rows that are
+    equal in doc_id and text one stays."""
+    chosen = near_duplicates(docs, **options).filter("representative").select("doc_id", "digest").distinct()
+    key, digest, number = temp("id"), temp("digest"), temp("number")
+    chosen = chosen.toDF(key, digest)
+    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col(key)) & (F.xxhash64(docs["text"]) == F.col(digest)))
+    first = Window.partitionBy(key, digest).orderBy(*[F.col(c) for c in docs.columns if c != "text"])
+    return kept.withColumn(number, F.row_number().over(first)).filter(F.col(number) == 1).select(*docs.columns)

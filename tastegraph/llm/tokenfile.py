@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize, scratch_path
+from tastegraph.llm.common import materialize, scratch_path, slices
 from tastegraph.llm.tokens import Encoder
 
 SEQUENCE, ROWS = 2048, 64
@@ -95,9 +95,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.arrows"
         tokens = writer = index = None
         count = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             if writer is None:
                 writer, tokens = _ShardWriter(path, kind, sequence, rows, end_id), 0
                 fs, where = _open(f"{path}.docs")
