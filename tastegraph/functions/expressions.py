@@ -52,7 +52,7 @@ def parse_delimited(line, sep: str, names: list[str], types: list[str]) -> list[
     ignored).  ``try_cast`` turns a malformed field into NULL instead of failing
     the whole job under ANSI mode."""
     parts = F.split(F.trim(_c(line)), sep_pattern(sep))
-    return [F.trim(parts.getItem(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
+    return [F.trim(F.get(parts, F.lit(i))).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
 
 
 def sep_pattern(sep: str) -> str:

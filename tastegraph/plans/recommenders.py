@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.functions import ascii_only
 from tastegraph.operators import als as A
 from tastegraph.operators import encode as L
 from tastegraph.operators import evaluate as E
@@ -29,7 +30,7 @@ from tastegraph.session import materialize
 
 
 def corated_recommendations(ratings: DataFrame, products: DataFrame, user_ids: DataFrame | None = None,
-                            k_neighbours: int = 100, k: int = 100, cap: int | None = 500, seed: int = 42,
+                            k_neighbours: int = 100, k: int = 100, cap: int | None = None, seed: int = 42,
                             unseen: bool = True) -> DataFrame:
     """Co-rated cosine recommender.  With ``user_ids`` only those users'
     pairs are formed (R8); without, every user is served (R6/R7)."""
@@ -41,35 +42,45 @@ def corated_recommendations(ratings: DataFrame, products: DataFrame, user_ids: D
     return NB.title_lookup(recs, products)
 
 
-def centred_cosine_report(ratings: DataFrame, user_id: int, product_id: int,
-                          user_id_cap: int | None = None) -> dict[str, DataFrame]:
-    """Centred-cosine report for one user and one product."""
+def centred_cosine_report(ratings: DataFrame, user_id, product_id, user_id_cap: int | None = None) -> dict[str, DataFrame]:
+    """Centred-cosine report for one user and one product (R1–R4, E4); ids of
+    any type.  Only the pairs of the served user and product are formed, once,
+    and every part of the report reads them."""
     m = materialize(RT.user_item_mean(RT.filter_user_id_cap(ratings, user_id_cap)), "user_item_mean")
-    z = SIM.user_center_scale(m)
-    users = NB.top_similar_users(SIM.user_cosine(z), 10)
+    z = materialize(SIM.user_center_scale(m), "centred")
+    near = materialize(SIM.cosine_for(z, USER, PRODUCT, [user_id]), "user-cosine")
+    items = SIM.cosine_for(z, PRODUCT, USER, [product_id])
+    users = NB.top_similar_users(near, 10, directed=True)
     mine = m.filter(F.col(USER) == user_id)
-    pred = NB.predict_rating(mine, SIM.user_cosine(z), m)
+    pred = NB.predict_rating(mine, near, m, directed=True)
     return {
-        "similar_products": NB.top_similar_products(SIM.item_cosine(z), 10).filter(F.col(PRODUCT) == product_id),
-        "similar_users": users.filter(F.col(USER) == user_id),
-        "similar_user_recs": NB.similar_user_recs(users.filter(F.col(USER) == user_id), z, 5),
+        "similar_products": NB.top_similar_products(items, 10, directed=True),
+        "similar_users": users,
+        "similar_user_recs": NB.similar_user_recs(users, z, 5),
         "predictions": pred,
         "insample_error": E.user_insample_error(pred, mine),
     }
 
 
 def als_recommender(ratings: DataFrame, products: DataFrame, profile: DataFrame, user_id: int,
-                    ranks=(12,), reg_params=(0.01, 0.1), iterations=(20,), seed: int = 42, k: int = 50
-                    ) -> dict[str, DataFrame]:
-    """The ALS program: summary, split, grid search, evaluation, top-k."""
+                    ranks=(12,), reg_params=(0.01, 0.1), iterations=(20,), seed: int = 42, k: int = 50,
+                    serve_as: int | None = None) -> dict[str, DataFrame]:
+    """The ALS program: summary, split, grid search, evaluation, top-k.
+
+    The served user's id must not occur anywhere in the ratings, in training
+    or not.  ``serve_as`` gives the profile another id for the run, so that a
+    profile written for id 0 can be served next to ids that start at 0."""
     spark = ratings.sparkSession
     r = materialize(ratings.select(USER, PRODUCT, RATING, "ts"), "ratings")
-    profile = profile.filter(F.col(RATING) > 0)
-    train = RT.add_profile(RT.split_train(r), profile)
+    profile = profile.filter((F.col(RATING) > 0) & (F.col(USER) == user_id))
+    if serve_as is not None:
+        profile, user_id = profile.withColumn(USER, F.lit(serve_as).cast("long")), serve_as
+    RT.add_profile(r, profile)  # raises if the id is taken
+    train = RT.split_train(r, profile)
     validation, test = RT.split_validation(r), RT.split_test(r)
     grid, models, best = A.als_grid_search(train, validation, ranks, reg_params, iterations, seed)
     model = models[best]
-    test_rmse = E.rmse(A.als_predict(model, test), test)
+    test_rmse = E.rmse_of_scored(A.als_predict(model, test), test)
     base = E.mean_baseline_rmse(RT.union_all_ratings(train, validation), test)
     tr = test_rmse.first()
     bs = base.first()
@@ -87,7 +98,7 @@ def als_recommender(ratings: DataFrame, products: DataFrame, profile: DataFrame,
         "grid": grid,
         "metrics": metrics,
         "recommendations": A.als_recs_for_user(model, products, profile, user_id, k)
-        .withColumn("title_ascii", F.regexp_replace(TITLE, r"[^\x00-\x7F]", "")),
+        .withColumn("title_ascii", ascii_only(TITLE)),
     }
 
 

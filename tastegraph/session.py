@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,10 +69,31 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Scope of a program: the tables that :func:`materialize` writes within
+    it are deleted when it ends, so consume lazy results before."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in _SCOPES.pop():
+            where = hadoop.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: Open scopes of scratch tables, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
     base = shared_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def materialize(df, name: str):

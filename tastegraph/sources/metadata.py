@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegraph.schema import METADATA, METADATA_DROPPED, PRODUCT
+from tastegraph.session import materialize
 
 CORRUPT = "_corrupt_record"
 
@@ -44,22 +45,26 @@ def read_metadata_json(spark: SparkSession, path: str, schema: T.StructType = ME
     UDF evaluates every row of its input, so the rejected rows are split off
     first rather than guarded by ``when``.  Lines that still fail keep their
     text in ``_corrupt_record`` with NULL fields: :func:`metadata_rejects`
-    lists them, :func:`metadata_records` returns the rest.
+    lists them, :func:`metadata_records` returns the rest.  Both parsers take
+    the same schema and options, so a value that does not fit its column makes
+    a reject on either branch.  The first parse is written once, after dealing
+    out the lines of an unsplittable gzip file, and both branches read it.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "true",
             "allowBackslashEscapingAnyCharacter": "true"}
     names = [f.name for f in schema.fields]
-    parsed = (spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-              .select("value", F.from_json("value", full, opts).alias("_rec")))
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    lines = lines.repartition(spark.sparkContext.defaultParallelism) if path.endswith(".gz") else lines
+    parsed = materialize(lines.select("value", F.from_json("value", full, opts).alias("_rec")), "metadata")
     rejected = F.col("_rec").isNull() | F.col("_rec." + CORRUPT).isNotNull()
     good = parsed.filter(~rejected).select(*[F.col("_rec." + n).alias(n) for n in names],
                                            F.lit(None).cast("string").alias(CORRUPT))
     fixed = (parsed.filter(rejected).select("value")
              .withColumn("_json", _literal_to_json(F.col("value")))
-             .withColumn("_fix", F.from_json("_json", schema))
-             .select(*[F.col("_fix." + n).alias(n) for n in names],
-                     F.when(F.col("_json").isNull(), F.col("value")).alias(CORRUPT)))
+             .withColumn("_fix", F.from_json("_json", full, opts)))
+    failed = F.col("_json").isNull() | F.col("_fix." + CORRUPT).isNotNull()
+    fixed = fixed.select(*[F.when(~failed, F.col("_fix." + n)).alias(n) for n in names], F.when(failed, F.col("value")).alias(CORRUPT))
     return good.unionByName(fixed)
 
 

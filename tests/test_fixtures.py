@@ -306,3 +306,33 @@ def test_rating_summary_approx_close_to_exact(ratings):
     assert exact.n_ratings == approx.n_ratings
     assert abs(approx.n_users - exact.n_users) <= 0.05 * exact.n_users
     assert abs(approx.n_products - exact.n_products) <= 0.05 * exact.n_products
+
+
+def test_readers_keep_rejects_and_fail_fast(spark, tmp_path):
+    from tastegraph.sources import metadata as MD
+    p = str(tmp_path / "r.txt")
+    with open(p, "w") as f:
+        f.write("1|2|3.0|4\nx|2|3.0|4\n5|6|7.5\n")
+    assert D.read_ratings_delimited(spark, p).count() == 1
+    assert sorted(r.line for r in D.rating_rejects(spark, p).collect()) == ["5|6|7.5", "x|2|3.0|4"]
+    for read in (lambda df: df.count(), lambda df: df.select("product_id").collect()):
+        with pytest.raises(Exception, match="malformed rating line"):
+            read(D.read_ratings_delimited(spark, p, mode="FAILFAST"))
+    assert D.read_ratings_delimited(spark, p, id_type="string").count() == 2
+    t = str(tmp_path / "t.txt")
+    with open(t, "w") as f:
+        f.write("1#One\nB2#Two\n")
+    assert D.read_product_titles(spark, t).count() == 1 and D.title_rejects(spark, t).first().line == "B2#Two"
+    with pytest.raises(Exception, match="malformed title line"):
+        D.read_product_titles(spark, t, mode="FAILFAST", dedup=False).count()
+    c = str(tmp_path / "c.csv")
+    with open(c, "w") as f:
+        f.write("user_id,product_id,rating,ts\n1,2,3.5,4\n1,zz,3.5,4\n")
+    assert D.read_ratings_csv_header(spark, c).count() == 1
+    assert D.csv_rating_rejects(spark, c).count() == 1
+    j = str(tmp_path / "m.json")
+    with open(j, "w") as f:
+        f.write("{'asin': 'A', 'price': 1.5}\n{'asin': 'B', 'price': 'abc', 'x': None}\n{'asin': 'C', 'price': None}\n")
+    df = MD.read_metadata_json(spark, j)
+    assert sorted(r.asin for r in MD.metadata_records(df).collect()) == ["A", "C"]
+    assert "'B'" in MD.metadata_rejects(df).first()[0]

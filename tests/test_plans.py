@@ -21,8 +21,7 @@ def test_filter_and_columns_reach_the_scan(spark):
 def test_topk_is_limited_before_the_shuffle(spark):
     p = plan(entry.queries()["nearest_neighbours"](spark, SF))
     assert "WindowGroupLimit" in p and "Partial" in p
-    # rater cap and top-100 both limited map-side
-    assert len(re.findall(r"WindowGroupLimit .*Partial", p)) >= 2
+    assert len(re.findall(r"WindowGroupLimit .*Partial", p)) == 1  # top-100; no rater cap
 
 
 def test_mirroring_does_not_union(spark):
@@ -33,7 +32,7 @@ def test_mirroring_does_not_union(spark):
 def test_served_user_restricts_the_pair_join(spark):
     from tastegraph.operators import neighbours as NB
     from tastegraph.plans.catalog import Mm
-    p = plan(entry.queries()["recs_for_user"](spark, SF))
+    p = plan(NB.nearest_neighbours(Mm(spark, SF), only_users=[1]))
     # the served id reaches the scan of the ratings table as a pushed predicate
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(user_id,1\)", p) or \
         re.search(r"PushedFilters: \[[^\]]*In\(user_id, \[1\]", p), p
@@ -42,9 +41,23 @@ def test_served_user_restricts_the_pair_join(spark):
     assert "LeftSemi" in p2
 
 
-def test_hot_groups_are_split(spark):
-    p = plan(entry.queries()["co_rater_pairs"](spark, SF))
+def test_only_hot_groups_are_split(spark):
+    from tastegraph.operators import similarity as SIM
+    from tastegraph.plans.catalog import Mm
+    m = Mm(spark, SF)
+    p = plan(SIM.co_rater_pairs(m, hot_threshold=10))
     assert "sequence" in p and "xxhash64" in p
+    p = plan(SIM.co_rater_pairs(m))
+    assert "sequence" not in p and "REPARTITION_BY_NUM" not in p
+
+
+def test_served_ids_reach_the_scan_of_centred_pairs(spark):
+    from tastegraph.operators import similarity as SIM
+    from tastegraph.plans.catalog import Mm
+    from tastegraph.session import materialize
+    z = materialize(SIM.user_center_scale(Mm(spark, SF)), "z")
+    p = plan(SIM.cosine_for(z, "user_id", "product_id", [1]))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(user_id,1\)|PushedFilters: \[[^\]]*In\(user_id, \[1\]", p), p
 
 
 def test_only_bounded_explicit_broadcasts(spark):

@@ -57,3 +57,97 @@ def test_grid_search_parallel_same_choice(spark):
     a = sorted((r.reg_param, round(r.validation_rmse, 9)) for r in seq.collect())
     b = sorted((r.reg_param, round(r.validation_rmse, 9)) for r in par.collect())
     assert a == b
+
+
+def test_one_popular_product_keeps_all_its_raters(spark):
+    """700 raters of one product: neighbours equal the uncapped SQL, with the
+    product split into blocks and without."""
+    import duckdb
+
+    from tastegraph.operators import neighbours as NB
+    rows = [(u, 1, float(1 + u % 5)) for u in range(700)] + [(u, 2 + u % 40, float(1 + u % 3)) for u in range(700)]
+    m = spark.createDataFrame(rows, "user_id long, product_id long, rating double")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE m (u BIGINT, p BIGINT, r DOUBLE)")
+    con.executemany("INSERT INTO m VALUES (?, ?, ?)", rows)
+    from tastegraph.plans.oracle import CP, NN
+    want = con.sql(f"WITH {CP}, {NN} SELECT u1, u2, sim, n, k FROM nn ORDER BY u1, k").fetchall()
+    for threshold in (50, 2000):
+        got = NB.nearest_neighbours(m, k=100, hot_threshold=threshold).orderBy("user_id", "rank").collect()
+        assert [tuple(r) for r in got] == want
+    served = NB.nearest_neighbours(m, k=100, only_users=[5]).orderBy("rank").collect()
+    assert [tuple(r) for r in served] == [w for w in want if w[0] == 5]
+
+
+def test_errors_count_every_row_once(spark):
+    from tastegraph.operators import evaluate as E
+    actual = spark.createDataFrame([(1, 1, 4.0), (1, 1, 2.0), (2, 1, 3.0)], "user_id long, product_id long, rating double")
+    pred = spark.createDataFrame([(1, 1, 3.0), (1, 1, 3.0)], "user_id long, product_id long, prediction double")
+    r = E.rmse(pred, actual).first()
+    assert (r.n_rows, r.n_predicted) == (3, 2) and abs(r.rmse - 1.0) < 1e-12
+    scored = actual.filter("user_id = 1").selectExpr("*", "3.0D AS prediction")
+    assert E.rmse_of_scored(scored, actual).first() == r
+    big = spark.createDataFrame([(1e8 + x,) for x in (0.0, 2.0, 4.0)], "rating double")
+    base = E.mean_baseline_rmse(big, big).first()
+    assert abs(base.baseline_rmse - (8 / 3) ** 0.5) < 1e-6
+
+
+def test_als_evaluation_counts_the_split(spark):
+    from tastegraph.operators import als as A
+    from tastegraph.operators import evaluate as E
+    from tastegraph.plans.catalog import splits
+    tr, va, _ = splits(spark, "/root/testdata/sf0.001")
+    model = A.als_train(tr, rank=3, max_iter=3, reg_param=0.1, seed=1)
+    assert E.rmse_of_scored(A.als_predict(model, va), va).first().n_rows == va.count()
+
+
+def test_certificates_reject_wrong_answers(spark):
+    from tastegraph.operators import als as A
+    from tastegraph.operators import neighbours as NB
+    from tastegraph.operators.interest import clusters_check, fit_clusters
+    from tastegraph.plans.catalog import splits
+    sf = "/root/testdata/sf0.001"
+    tr, _, _ = splits(spark, sf)
+    model = A.als_train(tr, rank=3, max_iter=3, reg_param=0.1, seed=1)
+    prof = profile(spark)
+    cand = NB.unseen_candidates(P(spark, sf), prof).withColumn("user_id", F.lit(PROFILE_USER))
+    scored = A.als_predict(model, cand).select("product_id", "prediction")
+    recs = A.als_recs_for_user(model, P(spark, sf), prof, PROFILE_USER, 20)
+    ok = A.als_recs_check(recs, prof, scored).first()
+    assert (ok.n_rows, ok.n_seen, ok.n_rank_gaps, ok.n_inversions, ok.n_better) == (20, 0, 0, 0, 0)
+    # the first 20 candidates by id, ranked by id
+    wrong = (scored.orderBy("product_id").limit(20).withColumn("user_id", F.lit(PROFILE_USER).cast("long"))
+             .withColumn("rank", F.expr("row_number() OVER (ORDER BY product_id)")))
+    bad = A.als_recs_check(wrong, prof, scored).first()
+    assert bad.n_inversions > 0 and bad.n_better > 0
+    vec = spark.createDataFrame([(i, float(i % 2 * 10), float(i)) for i in range(20)], "user_id long, a double, b double")
+    clusters, centres = fit_clusters(vec, 2, 1)
+    assert clusters_check(vec, clusters, centres).first().n_misplaced == 0
+    assert clusters_check(vec, clusters.withColumn("cluster", 1 - F.col("cluster")), centres).first().n_misplaced > 0
+
+
+def test_served_report_equals_the_whole(spark):
+    from tastegraph.operators import neighbours as NB
+    from tastegraph.operators import ratings as RT
+    from tastegraph.operators import similarity as SIM
+    sf = "/root/testdata/sf0.001"
+    rep = REC.centred_cosine_report(R(spark, sf), 1, 25)
+    m = RT.user_item_mean(R(spark, sf))
+    z = SIM.user_center_scale(m)
+    users = NB.top_similar_users(SIM.user_cosine(z), 10)
+    pred = NB.predict_rating(m, SIM.user_cosine(z), m)
+    whole = {
+        "similar_products": NB.top_similar_products(SIM.item_cosine(z), 10).filter("product_id = 25"),
+        "similar_users": users.filter("user_id = 1"),
+        "similar_user_recs": NB.similar_user_recs(users, z, 5).filter("user_id = 1"),
+        "predictions": pred.filter("user_id = 1"),
+    }
+    for name, df in whole.items():
+        def rows(x):
+            return sorted(tuple(round(v, 5) if isinstance(v, float) else v for v in r) for r in x.select(*df.columns).collect())
+        assert rows(rep[name]) == rows(df), name
+
+
+def test_centred_report_takes_string_products(spark):
+    r = R(spark, "/root/testdata/sf0.001").withColumn("product_id", F.concat(F.lit("B"), F.col("product_id").cast("string")))
+    assert REC.centred_cosine_report(r, 1, "B25")["similar_products"].count() == 10
