@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.session import materialize, scratch_path
 
-__all__ = ["WORD", "crc_remainder", "documents", "materialize", "release", "scratch_path", "table", "temp"]
+__all__ = ["WORD", "crc_remainder", "documents", "materialize", "release", "scratch_path", "slices", "table", "temp"]
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +30,14 @@ def temp(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into slices of few rows, so that a task turns few
+    texts at a time into Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def crc_remainder(col: str, n: int = 3) -> Column:
     """crc32 of the column as text, modulo ``n``."""
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(n))
