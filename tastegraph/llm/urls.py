@@ -44,8 +44,8 @@ def parts(url: str = "url") -> tuple[Column, Column]:
 def best_rule(rules: list[tuple[str, str, str]], host: str = "host", path: str = "path") -> Column:
     """(rule, verdict) of the longest fitting rule of (verdict, host, path),
     or null; of equally long ones the first given."""
-    out = F.lit(None)
-    for verdict, at, start in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
+    out = F.lit(None).cast("struct<rule:string,verdict:string>")
+    for verdict, at, start in sorted(reversed(rules), key=lambda r: len(r[1]) + len(r[2])):
         fits = ((F.col(host) == at) | F.col(host).endswith("." + at)) & F.col(path).startswith(start)
         out = F.when(fits, F.struct(F.lit(at + start).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
     return out
