@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import crc_remainder, temp
+from tastegraph.llm.common import crc_remainder, slices, temp
 
 DIMENSIONS, LONGEST = 1 << 12, 4
 PER_LANGUAGE = 400
@@ -137,17 +137,21 @@ def _logistic(margin: float) -> float:
 def train(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on at most ``per_language`` rows of each language among the rows
     where ``learn`` holds, lang is not null and the text has a letter."""
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(7), "doc_id"), F.xxhash64("text"))
-    rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    sample = rows.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= per_language).select("lang", "rank", "text")
+    rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", F.xxhash64(F.lit(7), "doc_id", "text").alias("draw"), "text")
+    # the largest draw that belongs to a language's sample, one row per language; only draws are ranked
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    ends = rows.select("lang", "draw").withColumn("rank", rank).filter(F.col("rank") <= per_language)
+    ends = ends.groupBy("lang").agg(F.max("draw").alias("last"))
+    sample = rows.join(F.broadcast(ends), "lang").filter(F.col("draw") <= F.col("last")).select("lang", "draw", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = [features(t).astype("<f4").tobytes() for t in b.column(2).to_pylist()]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(x, pa.binary())], names=["lang", "rank", "x"])
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(x, pa.binary())], names=["lang", "draw", "x"])
 
-    got = sample.mapInArrow(vectors, "lang string, rank int, x binary").collect()  # per_language rows of 16 KB a language
-    got.sort(key=lambda r: (r["lang"], r["rank"]))
+    got = sample.mapInArrow(vectors, "lang string, draw long, x binary").collect()  # per_language rows of 16 KB a language
+    got.sort(key=lambda r: (r["lang"], r["draw"]))
     x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float64).reshape(-1, DIMENSIONS)
     return Model.fit(x, np.array([r["lang"] for r in got], object))
 
@@ -175,7 +179,7 @@ def identify(docs: DataFrame, learn: Column | None = None, per_language: int = P
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [model.predict(t) if ok else (UNDETERMINED, 0.0) for t, ok in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
             langs, scores = zip(*found) if found else ((), ())
             yield pa.record_batch([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
