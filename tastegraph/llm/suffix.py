@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize, release, temp
+from tastegraph.llm.common import materialize, release, slices, temp
 from tastegraph.llm.hashing import U64, RangeHash, chunks, constants, mix
 
 LENGTH = 400
@@ -82,7 +82,7 @@ def _blocks(length: int, id_type: T.DataType):
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("digest", T.LongType()), *(T.StructField(*f) for f in _BLOCK)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [(i, t) for i, t in enumerate(x.encode() if x else b"" for x in b.column(2).to_pylist()) if len(t) >= length]
             for part in chunks(texts, [len(t) for _, t in texts], _CHUNK_BYTES):
                 data = np.frombuffer(b"".join(t for _, t in part), np.uint8)
@@ -109,7 +109,7 @@ def _fine_blocks(length: int, id_type: T.DataType):
                            T.StructField("each", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for i, (text, runs) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 hashes = RangeHash(np.frombuffer(text.encode(), np.uint8))
                 first, n, place = (np.array([r[k] for r in runs], np.int64) for k in ("first", "strings", "place"))
@@ -135,9 +135,10 @@ def rerank(blocks: DataFrame) -> DataFrame:
     """The blocks whose core is shared, with ``whole`` (their extent is, too)
     and ``edge`` (their core has several extents; true for one block of each
     extent).  Releases ``blocks``."""
-    cores = blocks.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # written, so that the join below is one of plain shuffles, whose hot keys Spark splits
+    cores = materialize(blocks.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "cores")
     shared = materialize(blocks.join(cores, "core"), "shared-blocks")
-    release(blocks)
+    release(blocks, cores)
     extents = materialize(shared.groupBy("core", "extent").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_OWN, "first")).alias("one")), "extents")
     several = extents.groupBy("core").agg((F.count(F.lit(1)) > 1).alias("mixed"))
     ranked = shared.join(extents.join(several, "core"), ["core", "extent"])
@@ -162,7 +163,7 @@ def _cut(length: int, fields: list[T.StructField]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in slices(batches):
             kept, spans = [], []
             for text, runs in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
                 data, gone, at = text.encode() if text else b"", [], 0
@@ -203,7 +204,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     run, schema = _fine_blocks(length, id_type)
     fine = rerank(materialize(texts.join(edges, here).select(*_OWN, "text", "runs").mapInArrow(run, schema), "fine-blocks"))
     each = fine.filter("edge").select(*_OWN, "core", "first", F.posexplode("each").alias("at", "string"))
-    twice = each.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    twice = materialize(each.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "strings")
     single = each.join(twice, ["core", "string"]).select(*_OWN, (F.col("first") + F.col("at")).alias("first"), F.lit(1).cast("short").alias("strings"))
     spans = coarse.filter("whole").select(*span).unionByName(fine.filter("whole").select(*span)).unionByName(single)
     spans = spans.groupBy(*_OWN).agg(F.collect_set(F.struct("first", "strings")).alias("runs"))
