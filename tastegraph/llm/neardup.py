@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize, temp
+from tastegraph.llm.common import materialize, slices, temp
 from tastegraph.llm.graph import UnionFind, components
 from tastegraph.llm.hashing import U64, chunks, constants, mix, shingle_sets
 
@@ -97,7 +97,7 @@ def _signed(words: int, places: int, rows: int, id_type: T.DataType):
                            T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t.encode() if t else b"" for t in b.column(3).to_pylist()]
             at = 0
             for part in chunks(texts, [len(t) for t in texts], _CHUNK_BYTES):
@@ -194,7 +194,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
                                                         F.any_value("bands").alias("bands")), "classes")
     # buckets: every member to the least
     band = classes.select("node", F.explode("bands").alias("band"))
-    leaders = band.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # written, so that the join below is one of plain shuffles, whose hot keys Spark splits
+    leaders = materialize(band.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
+                          "band-leaders")
     loose = band.join(leaders, "band").filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
     group = materialize(components(loose), "loose")
     sizes = group.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
