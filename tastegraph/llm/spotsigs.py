@@ -106,16 +106,16 @@ def edited_likeness(docs: DataFrame, least: float = 0.0) -> DataFrame:
     doc_id the one with the least text hash is the next document of others;
     a single document is its own next one; an empty table gives no rows.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # a struct of the id pairs nulls, too, and is one key for the joins and the grouping between them
+    texts = docs.select(F.struct("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     quarter = F.floor(F.char_length("text") / 4).cast("int")
-    ids = next_ids(texts.groupBy("doc_id").agg(F.max(quarter).alias("need"), F.min(F.xxhash64("text")).alias("digest")))
-    asks = ids.select(F.col("next_id").alias("_asked"), F.col("doc_id").alias("_asker"), "need")
+    ids = next_ids(texts.groupBy("key.doc_id").agg(F.max(quarter).alias("need")))
+    asks = ids.select(F.struct(F.col("next_id").alias("doc_id")).alias("key"), F.struct("doc_id").alias("asker"), "need")
     # what each document sends to the one before it
-    sent = texts.join(asks, F.col("doc_id").eqNullSafe(F.col("_asked")))
-    sent = with_spots(sent, "text", "next_spots").select("_asker", F.expr("substring(text, 1, need)").alias("head"), "next_spots",
-                                                         F.xxhash64("text").alias("h"))
-    sent = sent.groupBy("_asker").agg(F.min_by(F.struct("head", "next_spots"), "h").alias("sent"))
-    d = texts.join(sent, F.col("doc_id").eqNullSafe(F.col("_asker"))).select("doc_id", "text", "sent.head", "sent.next_spots")
+    sent = with_spots(texts.join(asks, "key"), "text", "next_spots").select(
+        F.col("asker").alias("key"), F.expr("substring(text, 1, need)").alias("head"), "next_spots", F.xxhash64("text").alias("h"))
+    sent = sent.groupBy("key").agg(F.min_by(F.struct("head", "next_spots"), "h").alias("sent"))
+    d = texts.join(sent, "key").select("key.doc_id", "text", "sent.head", "sent.next_spots")
     d = d.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("quarter", quarter)
     d = d.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - quarter)"), F.expr("substring(head, 1, quarter)")))
     d = with_spots(with_spots(d, "text", "spots"), "edited", "edited_spots")
