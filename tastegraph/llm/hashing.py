@@ -8,7 +8,6 @@ range of a buffer costs the same; a final mix spreads the bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
@@ -28,21 +27,30 @@ def constants(seed: int, n: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=U64) + U64(seed) * U64(1 << 32)) * U64(0x9E3779B97F4A7C15))
 
 
-@lru_cache(maxsize=4)
-def _lane(seed: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte values, powers and inverse powers of the base for 2^bits bytes."""
+_LANES: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
+def _lane(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte values, powers and inverse powers of the base for ``size`` bytes
+    at least; a process keeps the largest of each seed."""
+    if seed in _LANES and len(_LANES[seed][1]) >= size:
+        return _LANES[seed]
+    bits = max(16, size.bit_length())
     base = int(constants(seed, 1)[0]) & ~7 | 5
     inverse = pow(base, -1, 1 << 64)
     up, down = np.full(1 << bits, base, U64), np.full(1 << bits, inverse, U64)
     up[0] = down[0] = 1
-    return constants(seed + 1, 256), np.cumprod(up), np.cumprod(down)
+    np.cumprod(up, out=up)
+    np.cumprod(down, out=down)
+    _LANES[seed] = constants(seed + 1, 256), up, down
+    return _LANES[seed]
 
 
 class RangeHash:
     """Hashes of byte ranges of one buffer."""
 
     def __init__(self, data: np.ndarray, seed: int = 11):
-        values, up, self._down = _lane(seed, max(16, len(data).bit_length()))
+        values, up, self._down = _lane(seed, len(data) + 1)
         self._sums = np.empty(len(data) + 1, U64)
         self._sums[0] = 0
         np.cumsum(values[data] * up[:len(data)], out=self._sums[1:])

@@ -88,7 +88,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return mix(keys).view(np.int64)
 
 
-_CHUNK_BYTES = 1 << 20
+_CHUNK_BYTES = 1 << 18
 
 
 def _signed(words: int, places: int, rows: int, id_type: T.DataType):

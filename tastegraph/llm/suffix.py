@@ -35,7 +35,7 @@ from tastegraph.llm.common import materialize, release, slices, temp
 from tastegraph.llm.hashing import U64, RangeHash, chunks, constants, mix
 
 LENGTH = 400
-_CHUNK_BYTES = 1 << 20
+_CHUNK_BYTES = 1 << 18
 
 
 def _slide_least(x: np.ndarray, width: int) -> np.ndarray:

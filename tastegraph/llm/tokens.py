@@ -65,7 +65,7 @@ class Encoder:
     """``encode(text)`` gives the little-endian unsigned 32-bit ids of a text
     (null as empty) followed by ``end_id``, as ``bytes``."""
 
-    MEMO_ENTRIES = 1_000_000
+    MEMO_ENTRIES = 500_000
 
     def __init__(self, vocabulary: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
