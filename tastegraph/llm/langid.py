@@ -6,6 +6,11 @@ of languages separates the close relatives, and the language with the
 largest sum of margins wins.  Features are hashed byte n-grams of the
 lower-cased letters of the whole text.
 
+The rest that a family is learned against includes decoys, learned texts with
+their letters exchanged: words and lengths of prose, but in no language.  So a
+text that no family claims has a negative margin in all of them, and a score
+below one half.
+
 Training takes at most ``per_language`` labelled documents of each language,
 the least by a hash of their doc_id; the tasks turn them into feature
 vectors, and only these come to the driver.
@@ -27,6 +32,8 @@ from tastegraph.llm.common import crc_remainder, slices, temp
 
 DIMENSIONS, LONGEST = 1 << 12, 4
 PER_LANGUAGE = 400
+#: One learned text in so many, by its draw, and one of each language at least gives a decoy.
+DECOYS = 4
 UNDETERMINED = "und"
 
 #: ISO 639-1 codes of larger language families; any other
@@ -66,6 +73,14 @@ def features(text: str) -> np.ndarray:
     return x / np.linalg.norm(x)
 
 
+def decoy(text: str, seed: int) -> str:
+    """``text`` in lower case with its letters and a to z exchanged at random."""
+    text = text.lower()
+    letters = sorted({*"abcdefghijklmnopqrstuvwxyz", *filter(str.isalpha, text)})
+    order = np.random.default_rng(seed).permutation(len(letters))
+    return text.translate({ord(c): letters[i] for c, i in zip(letters, order)})
+
+
 def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 20) -> np.ndarray:
     """Weights (bias last) of a linear support vector machine with squared
     hinge loss, by dual coordinate descent; ``y`` is 1 or -1."""
@@ -85,22 +100,24 @@ def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 20)
 
 @dataclass
 class Model:
-    """``families``: languages by family, ``first``: a machine per family (none
-    if there is but one), ``pairs``: a machine per pair of languages of one
-    family, positive for the first."""
+    """``families``: languages by family, ``first``: a machine per family
+    against the others and the decoys (none if there is nothing to tell it
+    from), ``pairs``: a machine per pair of languages of one family, positive
+    for the first."""
 
     families: dict[str, list[str]] = field(default_factory=dict)
     first: dict[str, np.ndarray] = field(default_factory=dict)
     pairs: dict[tuple[str, str], np.ndarray] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, x: np.ndarray, langs: np.ndarray) -> "Model":
-        m = cls()
+    def fit(cls, x: np.ndarray, langs: np.ndarray, decoys: np.ndarray | None = None) -> "Model":
+        m, decoys = cls(), np.empty((0, DIMENSIONS)) if decoys is None else decoys
         for lang in sorted(set(langs.tolist())):
             m.families.setdefault(_FAMILY.get(lang, lang), []).append(lang)
         family = np.array([_FAMILY.get(lang, lang) for lang in langs.tolist()])
-        if len(m.families) > 1:
-            m.first = {f: train_svm(x, np.where(family == f, 1.0, -1.0)) for f in m.families}
+        if len(m.families) > 1 or len(m.families) and len(decoys):
+            every, none = np.vstack([x, decoys]), np.full(len(decoys), -1.0)
+            m.first = {f: train_svm(every, np.append(np.where(family == f, 1.0, -1.0), none)) for f in m.families}
         for members in m.families.values():
             for a, b in combinations(members, 2):
                 rows = (langs == a) | (langs == b)
@@ -108,8 +125,10 @@ class Model:
         return m
 
     def predict(self, text: str) -> tuple[str, float]:
-        """(language, score): the score is the smaller of the two levels'
-        logistic confidences, from 0 to 1."""
+        """(language, score): the score is the least of the logistic
+        confidences in the family's own margin, in its lead and in the
+        language's lead, from 0 to 1; under one half, no family claims the
+        text."""
         if not self.families:
             return UNDETERMINED, 0.0
         x = np.append(features(text), 1.0)
@@ -117,7 +136,7 @@ class Model:
         if self.first:
             margins = sorted((float(x @ w), f) for f, w in self.first.items())
             family = margins[-1][1]
-            sure = _logistic(margins[-1][0] - margins[-2][0])
+            sure = min(_logistic(m) for m in (margins[-1][0], *(margins[-1][0] - m for m, _ in margins[-2:-1])))
         members = self.families[family]
         if len(members) == 1:
             return members[0], sure
@@ -142,18 +161,22 @@ def train(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> M
     # the largest draw that belongs to a language's sample, one row per language; only draws are ranked
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     ends = rows.select("lang", "draw").withColumn("rank", rank).filter(F.col("rank") <= per_language)
-    ends = ends.groupBy("lang").agg(F.max("draw").alias("last"))
-    sample = rows.join(F.broadcast(ends), "lang").filter(F.col("draw") <= F.col("last")).select("lang", "draw", "text")
+    ends = ends.groupBy("lang").agg(F.max("draw").alias("last"), F.min("draw").alias("least"))
+    odd = (F.col("draw") == F.col("least")) | (F.col("draw") % DECOYS == 0)
+    sample = rows.join(F.broadcast(ends), "lang").filter(F.col("draw") <= F.col("last")).select("lang", "draw", "text", odd.alias("odd"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            x = [features(t).astype("<f4").tobytes() for t in b.column(2).to_pylist()]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(x, pa.binary())], names=["lang", "draw", "x"])
+            texts, draws = b.column(2).to_pylist(), b.column(1).to_pylist()
+            x = [features(t).astype("<f4").tobytes() for t in texts]
+            z = [features(decoy(t, d % (1 << 32))).astype("<f4").tobytes() if odd else None for t, d, odd in zip(texts, draws, b.column(3).to_pylist())]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(x, pa.binary()), pa.array(z, pa.binary())], names=["lang", "draw", "x", "z"])
 
-    got = sample.mapInArrow(vectors, "lang string, draw long, x binary").collect()  # per_language rows of 16 KB a language
+    got = sample.mapInArrow(vectors, "lang string, draw long, x binary, z binary").collect()  # per_language rows of 16 KB a language, and the decoys
     got.sort(key=lambda r: (r["lang"], r["draw"]))
-    x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float64).reshape(-1, DIMENSIONS)
-    return Model.fit(x, np.array([r["lang"] for r in got], object))
+    x, decoys = (np.array([np.frombuffer(v, "<f4") for v in vs], np.float64).reshape(-1, DIMENSIONS)
+                 for vs in ([r["x"] for r in got], [r["z"] for r in got if r["z"] is not None]))
+    return Model.fit(x, np.array([r["lang"] for r in got], object), decoys)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -190,7 +213,7 @@ def identify(docs: DataFrame, learn: Column | None = None, per_language: int = P
 
 def in_known_language(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` whose language is determined with a score of at
-    least ``least``."""
+    least ``least``: one half is a margin of 0 in the family's own machine."""
     clash = {c: temp(c) for c in ("held_out", "lang_pred", "score") if c in docs.columns}
     found = identify(docs.withColumnsRenamed(clash), **options)
     found = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).drop("held_out", "lang_pred", "score")
