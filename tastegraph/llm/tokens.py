@@ -7,7 +7,9 @@ Words repeat, so each task keeps a bounded memo of encoded pieces; a piece of
 letters, with or without one mark behind it, goes straight to the library's
 BPE model, any other piece through its whole pipeline.  Texts with other
 white space (doubled, leading, trailing, tabs) are cut by a regular
-expression only at the places where the cut is safe.
+expression only at the places where the cut is safe.  A text that holds the
+string of one of the vocabulary's added tokens, which the library cuts out of
+the text before all else, is encoded whole.
 """
 
 from __future__ import annotations
@@ -71,7 +73,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(vocabulary)
-        self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         self._model = self._tok.model
         self._letters = _byte_letters()
         self.vocab_size = self._tok.get_vocab_size()
@@ -95,6 +97,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self._end
+        if any(t in text for t in self._added):
+            return self.whole(text) + self._end
         first, rest = self._first, self._rest
         if len(first) + len(rest) > self.MEMO_ENTRIES // 2:
             first.age()

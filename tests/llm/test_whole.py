@@ -1,11 +1,15 @@
 """Work that earlier versions did in part only."""
 
 import random
+from array import array
 
 from pyspark.sql import functions as F
 
 from tastegraph.llm import langid
 from tastegraph.llm.common import documents
+from tastegraph.llm.packing import pack
+from tastegraph.llm.queries import vocabulary
+from tastegraph.llm.tokenfile import token_files
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,3 +42,18 @@ def test_one_language_is_not_every_language(spark):
     planted = spark.createDataFrame([(-1, FOREIGN["ru"], None), (-2, FOREIGN["gibberish"], None)], docs.schema)
     rows = [r.doc_id for r in langid.in_known_language(docs.unionAll(planted)).collect()]
     assert min(rows) >= 0 and len(rows) >= 0.99 * docs.filter(F.col("text").rlike(r"\p{L}")).count()
+
+
+ADDED = ["end of text <|endoftext|> next", "<|endoftext|>", "a<|endoftext|>b\n<|endoftext|> ", "  two  spaces <|endoftext|>\n\nand lines", "<|endoftext", "none here"]
+
+
+def test_added_tokens_in_texts_are_the_librarys(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(vocabulary())  # nothing switched
+    want = [tok.encode(t, add_special_tokens=False).ids + [2] for t in ADDED]
+    assert want[0][:-1] == [437, 286, 2420, 220, 50256, 1306]
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    packed = {r.doc_id: array("I", bytes(r.ids)).tolist() for r in pack(docs, vocabulary(), end_id=2, capacity=1024).collect()}
+    assert packed == dict(enumerate(want))
+    files = {r.doc_id: (r.start, r.n_tokens) for r in token_files(docs, vocabulary(), end_id=2).collect()}
+    assert files == {i: (sum(map(len, want[:i])), len(want[i])) for i in range(len(ADDED))}
