@@ -1,11 +1,13 @@
 """Work that earlier versions did in part only."""
 
 import random
+import textwrap
 from array import array
 
+import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.llm import langid
+from tastegraph.llm import langid, licenses
 from tastegraph.llm.common import documents
 from tastegraph.llm.packing import pack
 from tastegraph.llm.queries import vocabulary
@@ -57,3 +59,36 @@ def test_added_tokens_in_texts_are_the_librarys(spark):
     assert packed == dict(enumerate(want))
     files = {r.doc_id: (r.start, r.n_tokens) for r in token_files(docs, vocabulary(), end_id=2).collect()}
     assert files == {i: (sum(map(len, want[:i])), len(want[i])) for i in range(len(ADDED))}
+
+
+def test_licences_over_lines_and_within_lines(spark):
+    bodies = [(name, textwrap.fill(text, 78)) for name, text in licenses.BODIES]
+    within = [("reserved", "Copyright 2020 Foo Inc. All rights reserved."), ("Apache-2.0", "Code is licensed under the Apache License, Version 2.0, see the file."),
+              ("MIT", "Some prose before it. Released under the MIT License. Some prose after it."), (None, "Some prose, all of its rights, a licence and the MIT.")]
+    cases = [*bodies, *within, *((name, "Some prose before it.\n" * 50 + text + "\nSome prose after it." * 50) for name, text in bodies)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [found[i].license for i in range(len(cases))] == [name for name, _ in cases]
+    assert all((r.dice, r.n_notices) == (0.0, 0) if r.license is None else r.dice == 1.0 and r.n_notices >= 1 for r in found.values())
+
+
+def test_windows_equal_brute_force(spark):
+    rng = random.Random(5)
+    notices, texts = [("A", "one two three four five six"), ("B", "two three nine ten")], []
+    for _ in range(300):
+        texts.append(" ".join(rng.choice(["one two three four five six", "two three nine ten", "one", "two", "three", "four", "nine", "x", "y z", "\n"])
+                              for _ in range(rng.randint(1, 7))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.dice) for r in licenses.scan(docs, notices, 0.8, ()).collect()}
+    for i, text in enumerate(texts):
+        best = (0.0, "")
+        units = [text.split(), *map(str.split, text.split("\n"))]
+        for name, t in notices:
+            grams = set(licenses.bigrams_of(t))
+            most = licenses.size_bounds(len(grams), 0.8)[1]
+            whole = units[0]
+            spans = [whole[a:b] for a in range(len(whole)) for b in range(a + 2, len(whole) + 1) if b - a - 1 <= most + 1e-9]
+            for u in [*units, *spans]:
+                g = {f"{x} {y}" for x, y in zip(u, u[1:])}
+                best = min(best, (-2 * len(g & grams) / (len(g) + len(grams)), name)) if g else best
+        assert got[i] == ((best[1], pytest.approx(-best[0])) if best[0] <= -0.8 + 1e-12 else (None, 0.0)), text
