@@ -81,18 +81,20 @@ def mix(docs: DataFrame, size: Column, quality: Column, weights: tuple[int, ...]
                .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
                .withColumn("buckets", F.ceil(F.sqrt("n"))))
     drawn = base.join(materialize(sources, "mix-targets"), _SOURCE)
-    drawn = drawn.withColumn("bucket", F.when(F.col("key").isNotNull(), F.least(
+    keyless = drawn.filter(F.col("key").isNull())  # in no draw, so in no order either
+    drawn = drawn.filter(F.col("key").isNotNull()).withColumn("bucket", F.least(
         F.col("buckets") - 1, F.floor(F.col("buckets") * (1 - F.exp(-F.col("key") * F.col("mean_quality"))))))
-        .otherwise(F.col("buckets")))
     totals = drawn.groupBy(*_SOURCE, "bucket").agg(F.sum("size").alias("in_bucket"))
     running = Window.partitionBy(*_SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("before", F.coalesce(F.sum("in_bucket").over(running), F.lit(0))).drop("in_bucket")
-    within = (Window.partitionBy(*_SOURCE, "bucket").orderBy(F.col("key").asc_nulls_last(), "doc_id", "digest")
+    within = (Window.partitionBy(*_SOURCE, "bucket").orderBy("key", "doc_id", "digest")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = drawn.join(totals, [*_SOURCE, "bucket"]).withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     after = F.col("before") + F.col("size")
     fits = (after <= F.col("rest")) | ((F.col("before") < F.col("rest")) & (after - F.col("rest") < F.col("rest") - F.col("before")))
-    copies = F.when(F.col("size") > 0, F.col("epochs") + (fits & F.col("key").isNotNull()).cast("int")).otherwise(0)
+    copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("fits").cast("int")).otherwise(0)
+    rows = ["doc_id", "digest", "source", "size", "source_size", "target", "epochs"]
+    placed = placed.select(*rows, fits.alias("fits")).unionByName(keyless.select(*rows, F.lit(False).alias("fits")))
     return placed.select("doc_id", "digest", "source", "size", "source_size", "target", copies.cast("int").alias("copies"))
 
 

@@ -7,7 +7,7 @@ from array import array
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.llm import langid, licenses
+from tastegraph.llm import langid, licenses, mixing
 from tastegraph.llm.common import documents
 from tastegraph.llm.packing import pack
 from tastegraph.llm.queries import vocabulary
@@ -92,3 +92,15 @@ def test_windows_equal_brute_force(spark):
                 g = {f"{x} {y}" for x, y in zip(u, u[1:])}
                 best = min(best, (-2 * len(g & grams) / (len(g) + len(grams)), name)) if g else best
         assert got[i] == ((best[1], pytest.approx(-best[0])) if best[0] <= -0.8 + 1e-12 else (None, 0.0)), text
+
+
+def test_rows_without_a_key_are_in_no_window(spark):
+    docs = spark.createDataFrame([(i, "" if i % 3 else "w " * (i % 5), "s") for i in range(300)], "doc_id long, text string, source string")
+    made = mixing.mix(docs, mixing.n_words(F.col("text")), mixing.length_quality(F.col("size")))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "isnull(key" in plan and "isnotnull(key" in plan
+    rows = made.collect()
+    assert len(rows) == 300 and all(r.copies == 0 for r in rows if r.size == 0)
+    # a document of quality 0 is in no draw, but in every epoch
+    rows = mixing.mix(docs, mixing.n_words(F.col("text")), F.lit(0.0), most=3).collect()
+    assert len(rows) == 300 and {r.copies for r in rows if r.size} == {int(r.target // r.source_size) for r in rows}
