@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("digest"), "text")
     base = materialize(numbered.mapInArrow(run, schema), "signatures")
     filled = base.filter("n_shingles > 0")
-    classes = materialize(filled.groupBy("set_key").agg(F.min("row").alias("node"), F.min(F.struct("doc_id", "row")).alias("least"),
+    classes = materialize(filled.groupBy("set_key").agg(F.min("row").alias("node"), F.min(F.struct("doc_id", "row", "digest")).alias("least"),
                                                         F.any_value("bands").alias("bands")), "classes")
     # buckets: every member to the least
     band = classes.select("node", F.explode("bands").alias("band"))
@@ -201,10 +201,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     group = materialize(components(loose), "loose")
     sizes = group.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
     # cells: a pair of blocks of one loose component
-    member = (group.join(sizes, "root").join(classes.select("node", "set_key", F.col("least.doc_id").alias("doc_id")), "node")
+    member = (group.join(sizes, "root").join(classes.select("node", "set_key", "least.doc_id", "least.digest"), "node")
               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").filter(F.col("text").isNotNull())
-    member = member.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")))
+    # by text too, as many rows may share a doc_id
+    texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_digest"), "text").filter(F.col("text").isNotNull())
+    member = member.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     member = member.select(F.struct("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).alias("c"),
                            "node", "block", "set_key", "text").withColumn("cell", F.concat_ws(":", "c.root", "c.i", "c.j")).drop("c")
@@ -214,7 +215,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     least = found.join(classes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("first"))
     joined = found.join(least, "root").select("node", "first")
     whose = classes.join(joined, "node", "left").select("set_key", F.coalesce("first", "least").alias("first"))
-    own = F.struct("doc_id", "row")
+    own = F.struct("doc_id", "row", "digest")
     linked = filled.join(whose, "set_key").select("row", "doc_id", "digest", "n_shingles", F.col("first.doc_id").alias("component_id"),
                                                   (own == F.col("first")).alias("representative"))
     return linked.unionByName(base.filter("n_shingles = 0").select(

@@ -7,7 +7,7 @@ from array import array
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.llm import langid, licenses, mixing
+from tastegraph.llm import langid, licenses, mixing, neardup
 from tastegraph.llm.common import documents
 from tastegraph.llm.packing import pack
 from tastegraph.llm.queries import vocabulary
@@ -104,3 +104,25 @@ def test_rows_without_a_key_are_in_no_window(spark):
     # a document of quality 0 is in no draw, but in every epoch
     rows = mixing.mix(docs, mixing.n_words(F.col("text")), F.lit(0.0), most=3).collect()
     assert len(rows) == 300 and {r.copies for r in rows if r.size} == {int(r.target // r.source_size) for r in rows}
+
+
+def test_texts_of_a_shared_doc_id_meet_their_own_class_only(spark, monkeypatch):
+    met, confirm = spark.sparkContext.accumulator(0), neardup._confirm
+
+    def counting(words, percent):
+        inner = confirm(words, percent)
+
+        def run(batches):
+            def seen():
+                for b in batches:
+                    met.add(len(b))
+                    yield b
+            yield from inner(seen())
+        return run
+
+    monkeypatch.setattr(neardup, "_confirm", counting)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(None, " ".join([*words, f"x{i}"])) for i in range(100)], "doc_id long, text string")
+    rows = neardup.near_duplicates(docs).collect()
+    assert len(rows) == 100 and sum(r.representative for r in rows) == 1
+    assert 0 < met.value <= 200
