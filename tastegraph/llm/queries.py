@@ -77,8 +77,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+#: The vocabulary of op12: word ends marked, lower case, white space dropped.
+WORD_VOCABULARY = "word_bpe_49k.json"
+
+
+def word_vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(WORD_VOCABULARY)
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tastegraph.llm.bpe import decode, encode
+    found = decode(encode(documents(spark, sf_dir), word_vocabulary()), word_vocabulary())
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_spotsigs, op3_language_id, op4_license_scan, op5_suffix_dedup, op6_token_files,
-                                   op7_source_mix, op8_quality_rules, op9_minhash_neardup, op10_url_filter)}
+                                   op7_source_mix, op8_quality_rules, op9_minhash_neardup, op10_url_filter, op12_bpe_round_trip)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
