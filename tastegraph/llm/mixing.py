@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import WORD, materialize
+from tastegraph.llm.common import WORD, materialize, temp
 
 WEIGHTS, MOST_EPOCHS = (5, 2, 1), 3
 _SOURCE = ["no_source", "source_key"]
@@ -99,9 +99,12 @@ def mix(docs: DataFrame, size: Column, quality: Column, weights: tuple[int, ...]
 
 
 def mixed_documents(docs: DataFrame, size: Column, quality: Column, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each document as many times
-    as the mix takes it.  Rows equal in doc_id and text share a decision."""
+    """The mix itself: the columns of ``docs``, whatever their names, each
+    document as many times as the mix takes it.  Rows equal in doc_id and text
+    share a decision; rows with a null doc_id share keys, those with a null or
+    empty text are not taken, and an empty table gives no rows."""
     made = mix(docs, size, quality, **options).filter("copies > 0")
-    made = made.groupBy("doc_id", "digest").agg(F.max("copies").alias("copies")).toDF("_mix_id", "_mix_digest", "_mix_copies")
-    here = docs["doc_id"].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(docs["text"]) == F.col("_mix_digest"))
-    return docs.join(made, here).withColumn("_mix_copies", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[docs[c] for c in docs.columns])
+    its_id, digest, copies = temp("id"), temp("digest"), temp("copies")
+    made = made.groupBy("doc_id", "digest").agg(F.max("copies").alias("copies")).toDF(its_id, digest, copies)
+    here = docs["doc_id"].eqNullSafe(F.col(its_id)) & (F.xxhash64(docs["text"]) == F.col(digest))
+    return docs.join(made, here).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[docs[c] for c in docs.columns])

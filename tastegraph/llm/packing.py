@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegraph.llm.common import materialize, slices
-from tastegraph.llm.tokens import Encoder
+from tastegraph.llm.tokens import loaded
 
 CAPACITY = 1024
 
@@ -111,7 +111,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_id
     schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = Encoder(vocabulary, end_id), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        encoder, part, seen = loaded(vocabulary, end_id), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in slices(batches):
             whose, out = [], []
             for row, text in enumerate(batch.column(1).to_pylist()):

@@ -1,8 +1,9 @@
 """Operator 5: removal of long byte strings that occur more than once, by
-distributed prefix doubling over content-chosen positions.
+hash refinement at content-chosen positions.
 
-Sorting a rank for every byte position would move some thirty times the
-input per round, so the ranks are kept for chosen positions only:
+Prefix doubling would sort a rank for every byte position and so move some
+thirty times the input per round.  It is replaced: no rank is doubled, and
+hashes are grouped for chosen positions only:
 
 1. Every ``length``-byte string is charged to its anchor, the least-hashing
    short gram within it.  Equal strings have the same anchor at the same
@@ -157,14 +158,16 @@ def merge_spans(firsts: np.ndarray, strings: np.ndarray, length: int) -> np.ndar
     return np.stack([lo[new], reach[np.append(new[1:], len(lo)) - 1]], axis=1)
 
 
-def _cut(length: int, fields: list[T.StructField]):
-    schema = T.StructType([*fields, T.StructField("kept", T.BinaryType()),
-                           T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+def _cut(length: int, fields: list[T.StructField], kept_name: str, spans_name: str, text_name: str | None):
+    text_field = [T.StructField(text_name, T.StringType())] if text_name else []
+    schema = T.StructType([*fields, T.StructField(kept_name, T.BinaryType()),
+                           T.StructField(spans_name, T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+                           *text_field])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in slices(batches):
-            kept, spans = [], []
+            kept, spans, whole = [], [], []
             for text, runs in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
                 data, gone, at = text.encode() if text else b"", [], 0
                 pieces = []
@@ -174,17 +177,23 @@ def _cut(length: int, fields: list[T.StructField]):
                 for lo, hi in gone:
                     pieces.append(data[at:lo])
                     at = hi
-                kept.append(b"".join([*pieces, data[at:]]))
+                pieces.append(data[at:])
+                kept.append(b"".join(pieces))
+                if text_name:  # of a valid text, only the characters at cut edges can be partial
+                    whole.append("".join(x.decode("utf-8", "ignore") for x in pieces) if gone else text)
                 spans.append([{"start": lo, "end": hi} for lo, hi in gone])
-            yield pa.record_batch([*b.columns[:-2], pa.array(kept, pa.binary()), pa.array(spans, span)], names=schema.names)
+            yield pa.record_batch([*b.columns[:-2], pa.array(kept, pa.binary()), pa.array(spans, span),
+                                   *([pa.array(whole, pa.string())] if text_name else [])], names=schema.names)
 
     return run, schema
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, kept: str = "kept", spans: str = "spans", text: str | None = "text") -> DataFrame:
     """All columns of ``docs`` but text, then kept (binary: the text's UTF-8
-    bytes that remain) and spans (the removed [start, end) byte ranges,
-    maximal and in order).
+    bytes that remain), spans (the removed [start, end) byte ranges, maximal
+    and in order) and text (the characters that remain whole; null for null).
+    The names of the three are parameters; columns of ``docs`` that have them
+    are replaced, and ``text=None`` leaves the last one out.
 
     A byte is removed if a ``length``-byte string that covers it starts
     anywhere else as well, in this text or another; strings lie within one
@@ -194,7 +203,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     table gives no rows.
     """
     id_type = docs.schema["doc_id"].dataType
-    digest, span = F.xxhash64("text").alias("digest"), [*_OWN, "first", "strings"]
+    digest, span, names = F.xxhash64("text").alias("digest"), [*_OWN, "first", "strings"], (kept, spans, text)
     run, schema = _blocks(length, id_type)
     coarse = rerank(materialize(docs.select("doc_id", digest, "text").mapInArrow(run, schema), "blocks"))
     edges = (coarse.filter("edge").groupBy(*_OWN).agg(F.collect_list(F.struct("first", "strings", "place")).alias("runs"))
@@ -206,23 +215,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     each = fine.filter("edge").select(*_OWN, "core", "first", F.posexplode("each").alias("at", "string"))
     twice = materialize(each.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "strings")
     single = each.join(twice, ["core", "string"]).select(*_OWN, (F.col("first") + F.col("at")).alias("first"), F.lit(1).cast("short").alias("strings"))
-    spans = coarse.filter("whole").select(*span).unionByName(fine.filter("whole").select(*span)).unionByName(single)
-    spans = spans.groupBy(*_OWN).agg(F.collect_set(F.struct("first", "strings")).alias("runs"))
-    other = [c for c in docs.columns if c not in ("text", "kept", "spans")]
-    run, schema = _cut(length, [docs.schema[c] for c in other])
+    found = coarse.filter("whole").select(*span).unionByName(fine.filter("whole").select(*span)).unionByName(single)
+    found = found.groupBy(*_OWN).agg(F.collect_set(F.struct("first", "strings")).alias("runs"))
+    other = [c for c in docs.columns if c not in ("text", *names)]
+    run, schema = _cut(length, [docs.schema[c] for c in other], *names)
     kept_id, kept_digest, runs = temp("id"), temp("digest"), temp("runs")
-    spans = spans.toDF(kept_id, kept_digest, runs)
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col(kept_id)) & (F.xxhash64(docs["text"]) == F.col(kept_digest)), "left")
+    found = found.toDF(kept_id, kept_digest, runs)
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(F.col(kept_id)) & (F.xxhash64(docs["text"]) == F.col(kept_digest)), "left")
     return joined.select(*other, "text", runs).mapInArrow(run, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The columns of ``docs`` with the repeats taken out of text (and n_chars,
-    if there is one, counted anew).  Characters cut apart go whole; texts of
-    which nothing remains go, empty and null ones stay."""
-    cut = remove_repeats(docs, length).withColumn("_cut", F.size("spans") > 0)
-    text = F.make_valid_utf8(F.col("kept").cast("string"))
-    cut = cut.withColumn("text", F.when(F.col("_cut"), F.regexp_replace(text, "\ufffd", "")).otherwise(text))
+    if there is one, counted anew); no other column changes, whatever its
+    name.  Characters cut apart go whole; texts of which nothing remains go,
+    empty and null ones stay."""
+    kept, spans, text = temp("kept"), temp("spans"), temp("text")
+    cut = remove_repeats(docs, length, kept, spans, text)
+    cut = cut.filter((F.size(spans) == 0) | (F.col(text) != "")).withColumn("text", F.col(text))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.filter(~F.col("_cut") | (F.col("text") != "")).select(*docs.columns)
+    return cut.select(*docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegraph.llm.common import materialize, scratch_path, slices
-from tastegraph.llm.tokens import Encoder
+from tastegraph.llm.tokens import loaded
 
 SEQUENCE, ROWS = 2048, 64
 
@@ -89,7 +89,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     ordered = ordered.sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary, end_id)
+        encoder = loaded(vocabulary, end_id)
         kind = id_type(max(encoder.vocab_size, end_id + 1))
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.arrows"

@@ -3,7 +3,7 @@
 The vocabulary's pre-tokeniser never makes a token that spans the place
 between a non-space character and a following single space or line feed, so
 a text may be cut there and the pieces encoded one by one with the same ids.
-Words repeat, so each task keeps a bounded memo of encoded pieces; a piece of
+Words repeat, so each worker process keeps a bounded memo of encoded pieces; a piece of
 letters, with or without one mark behind it, goes straight to the library's
 BPE model, any other piece through its whole pipeline.  Texts with other
 white space (doubled, leading, trailing, tabs) are cut by a regular
@@ -109,3 +109,15 @@ class Encoder:
             return self._newline.join(lines) + self._end
         except TypeError:  # a piece that is not safe alone
             return b"".join(map(self.whole, _SAFE_CUT.split(text))) + self._end
+
+
+_LOADED: dict[tuple[str, int], Encoder] = {}
+
+
+def loaded(vocabulary: str, end_id: int) -> Encoder:
+    """The encoder of this worker process: tasks that follow one another in it
+    share the loaded vocabulary and the memo, whose bound stays the same."""
+    if (vocabulary, end_id) not in _LOADED:
+        _LOADED.clear()
+        _LOADED[vocabulary, end_id] = Encoder(vocabulary, end_id)
+    return _LOADED[vocabulary, end_id]
