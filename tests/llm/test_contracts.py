@@ -31,7 +31,6 @@ def texts(spark):
 def ids(texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(Q.vocabulary())
-    tok.encode_special_tokens = True
     return {d: tok.encode(t or "", add_special_tokens=False).ids + [2] for d, t in texts.items()}
 
 
