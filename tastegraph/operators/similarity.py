@@ -7,10 +7,14 @@ The quadratic step is the self-join of ratings on the shared key (product for
 user-user measures, user for item-item).  Its cost is the sum over groups of
 (group size)².  ``hot_threshold`` keeps it distributed at any skew: the keys
 of groups above the threshold are listed once.  Without any, the join is a
-plain one, whose shuffle AQE may still coalesce or split.  With some, only
-their rows are dealt into blocks: a group of n rows gets ⌈n / threshold⌉ hash
-buckets, and every pair of buckets is a join key of its own, so no task sees
-more than threshold² candidate pairs; the other keys keep the plain join.
+plain one, whose shuffle AQE may still coalesce or split.  With some, sums
+over shared keys (M8, N3–N5) multiply them block by block
+(:mod:`tastegraph.operators.gram`); where the pairs themselves are asked for
+(J2), only their rows are dealt into blocks: a group of n rows gets
+⌈n / threshold⌉ hash buckets, and every pair of buckets is a join key of its
+own, so no task sees more than threshold² candidate pairs; the other keys keep
+the plain join.  Lists of the k nearest need no pairs at all
+(:mod:`tastegraph.operators.topk`).
 ``cap_raters`` (N6) bounds the groups by sampling; no other operator uses it
 unless asked to.
 """
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions import safe_ratio
+from tastegraph.operators.gram import pair_sums
 from tastegraph.schema import PRODUCT, RATING, USER
 from tastegraph.session import materialize
 
@@ -157,14 +162,12 @@ def split_join(left: DataFrame, right: DataFrame, key, left_salt: str, right_sal
 # ---------------------------------------------------------------- M8, N5
 
 def pair_moments(m: DataFrame, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
-    """M8: Σx², Σy², Σxy and co-rater count per user pair.  The aggregation is
-    partial on the map side (no ``groupByKey``)."""
-    p = co_rater_pairs(m, hot_threshold)
-    return (p.groupBy("user1", "user2")
-            .agg(F.sum(F.col("rating1") * F.col("rating2")).alias("xy"),
-                 F.sum(F.col("rating1") * F.col("rating1")).alias("xx"),
-                 F.sum(F.col("rating2") * F.col("rating2")).alias("yy"),
-                 F.count(F.lit(1)).alias("n")))
+    """M8: Σx², Σy², Σxy and co-rater count per user pair.  Products with more
+    than ``hot_threshold`` raters are multiplied block by block instead of
+    joined (:mod:`tastegraph.operators.gram`); ``m`` is read several times, so
+    pass a written table."""
+    p = pair_sums(m, PRODUCT, USER, RATING, ["xy", "xx", "yy", "n"], hot_threshold)
+    return p.select(F.col("m1").alias("user1"), F.col("m2").alias("user2"), "xy", "xx", "yy", "n")
 
 
 def corated_cosine(m: DataFrame, min_overlap: int = 1, digits: int | None = 6,
@@ -187,10 +190,9 @@ def _centred_cosine(z: DataFrame, owner: str, shared: str, digits: int | None,
     w = unit_rows(z, owner).select(owner, shared, "w")
     if hot_threshold is not None:
         w = materialize(w, "unit-rows")  # read for the group sizes and by both sides of the join
-    p = self_pairs(w, shared, owner, ["w"], hot_threshold)
-    s = F.sum(F.col("w_1") * F.col("w_2"))
-    agg = p.groupBy("m1", "m2").agg((F.round(s, digits) if digits is not None else s).alias("sim"))
-    return agg.select(F.col("m1").alias(owner + "1"), F.col("m2").alias(owner + "2"), "sim")
+    p = pair_sums(w, shared, owner, "w", ["xy"], hot_threshold)
+    sim = F.round("xy", digits) if digits is not None else F.col("xy")
+    return p.select(F.col("m1").alias(owner + "1"), F.col("m2").alias(owner + "2"), sim.alias("sim"))
 
 
 def item_cosine(z: DataFrame, digits: int | None = 6,

@@ -287,7 +287,7 @@ def q_m7(spark, d):
 
 @query("pair_moments")
 def q_m8(spark, d):
-    return SIM.pair_moments(M(spark, d)).select("user1", "user2", r6("xy"), r6("xx"), r6("yy"), "n")
+    return SIM.pair_moments(Mm(spark, d)).select("user1", "user2", r6("xy"), r6("xx"), r6("yy"), "n")
 
 
 # ---------------------------------------------------------------- T*: splits and set operations
@@ -339,7 +339,7 @@ def q_j1(spark, d):
 
 @query("co_rater_pairs")
 def q_j2(spark, d):
-    return SIM.co_rater_pairs(M(spark, d))
+    return SIM.co_rater_pairs(Mm(spark, d))
 
 
 @query("title_lookup")
@@ -393,7 +393,7 @@ def q_n4(spark, d):
 
 @query("corated_cosine")
 def q_n5(spark, d):
-    return SIM.corated_cosine(M(spark, d))
+    return SIM.corated_cosine(Mm(spark, d))
 
 
 @query("cap_raters")
