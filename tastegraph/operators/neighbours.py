@@ -17,6 +17,7 @@ from tastegraph.operators.similarity import (
     split_join,
     top_k_per,
 )
+from tastegraph.operators.topk import nearest_by_corated, nearest_by_cosine
 from tastegraph.functions import safe_ratio
 from tastegraph.schema import PRODUCT, RATING, TITLE, USER
 from tastegraph.session import materialize
@@ -26,6 +27,19 @@ NEIGHBOUR = "neighbour_id"
 
 # ---------------------------------------------------------------- R1, R2 (centred cosine)
 
+def nearest_products(z: DataFrame, k: int = 10, **options) -> DataFrame:
+    """R1 without a similarity table: the k most similar other products of
+    every product, from the centred ratings ``z`` (N1)."""
+    return (nearest_by_cosine(z, PRODUCT, USER, k, **options)
+            .select(PRODUCT, F.col("other").alias("similar_product_id"), "sim", "rank"))
+
+
+def nearest_users(z: DataFrame, k: int = 10, **options) -> DataFrame:
+    """R2 without a similarity table: the k most similar other users of every
+    user, from the centred ratings ``z`` (N1)."""
+    return nearest_by_cosine(z, USER, PRODUCT, k, **options).select(USER, F.col("other").alias(NEIGHBOUR), "sim", "rank")
+
+
 def top_similar_products(item_sims: DataFrame, k: int = 10, directed: bool = False) -> DataFrame:
     """The k most similar other products of every product (``directed``:
     of every first product of ``item_sims``)."""

@@ -34,7 +34,7 @@ DEFAULT_HOT_THRESHOLD = 2000
 
 # ---------------------------------------------------------------- N1, N2
 
-def user_center_scale(m: DataFrame) -> DataFrame:
+def user_center_scale(m: DataFrame, keep_rating: bool = False) -> DataFrame:
     """N1 + N2: ``z = (r − mean_u) / (max_u − min_u)`` over the user's rated
     items; users whose ratings are all equal are dropped *before* dividing.
 
@@ -45,7 +45,7 @@ def user_center_scale(m: DataFrame) -> DataFrame:
     st = (m.groupBy(USER).agg(F.avg(RATING).alias("_mu"), (F.max(RATING) - F.min(RATING)).alias("_rg"))
           .filter(F.col("_rg") > 0))
     return (m.join(st, USER)
-            .select(USER, PRODUCT, ((F.col(RATING) - F.col("_mu")) / F.col("_rg")).alias("z")))
+            .select(USER, PRODUCT, ((F.col(RATING) - F.col("_mu")) / F.col("_rg")).alias("z"), *([RATING] if keep_rating else [])))
 
 
 def drop_constant_users(m: DataFrame) -> DataFrame:

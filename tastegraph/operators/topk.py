@@ -26,6 +26,8 @@ keys in one order, whoever of the two asks.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +43,7 @@ CELL = 2_000_000
 #: Entries of a vector that travels.
 LONG = 4_096
 DIGITS = 6
+_VECTOR = ["owner", "keys", "values", "blocks"]
 
 
 
@@ -133,6 +136,56 @@ def _of_long(entries: DataFrame, sizes: DataFrame, long: int, corated: bool, lea
     return pairs.select(F.explode(F.when(F.col("both"), F.slice(ways, 1, 1)).otherwise(ways)).alias("way"), "sim", "n").select("way.*", "sim", "n")
 
 
+@dataclass
+class Dealt:
+    """Owners' vectors, and where each key's owners meet."""
+
+    entries: DataFrame       # owner, key, value and the extra columns; written
+    sizes: DataFrame         # owner, size; written
+    any_long: bool
+    blocks: int              # blocks of the keys that are not hot
+    hot: DataFrame | None    # hot_block, key, parts; written
+    vectors: DataFrame       # of the owners that travel: owner, keys, values, blocks, hot and the extra lists; written
+
+    def cold_block(self, key: str = "key") -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.blocks)).cast("long")
+
+
+def deal(entries: DataFrame, cell: int, long: int, extra: tuple[str, ...] = ()) -> Dealt:
+    """Deal the keys of ``(owner, key, value, *extra)`` into blocks by what the
+    vectors of their owners weigh."""
+    entries = materialize(entries.select("owner", "key", F.col("value").cast("double").alias("value"), *extra).dropna(), "entries")
+    sizes = materialize(entries.groupBy("owner").agg(F.count(F.lit(1)).alias("size")), "owner-sizes")
+    any_long = sizes.filter(F.col("size") > long).limit(1).count() > 0
+    short = entries.join(sizes.filter(F.col("size") > long), "owner", "left_anti") if any_long else entries
+    loads = materialize(short.join(sizes, "owner").groupBy("key").agg(F.sum("size").alias("load")), "key-loads")
+    heat = loads.agg(F.coalesce(F.sum(F.when(F.col("load") <= cell, F.col("load"))), F.lit(0)).alias("cold"), F.max("load").alias("most")).first()
+    made = Dealt(entries, sizes, any_long, max(1, -(-heat["cold"] // cell)), None, None)
+    if (heat["most"] or 0) > cell:
+        # no more hot keys than the total load holds cells
+        made.hot = materialize(loads.filter(F.col("load") > cell).select(
+            "key", (F.lit(made.blocks) + F.row_number().over(Window.orderBy("key")) - 1).cast("long").alias("hot_block"),
+            F.ceil(F.col("load") / cell).cast("int").alias("parts")), "hot-blocks")
+        placed = short.join(made.hot.select("key", "hot_block"), "key", "left").withColumn("block", F.coalesce("hot_block", made.cold_block()))
+    else:
+        placed = short.withColumn("hot_block", F.lit(None).cast("long")).withColumn("block", made.cold_block())
+    vector = F.array_sort(F.collect_list(F.struct(F.col("hot_block").isNotNull().alias("hot"), "key", "value", "block", *extra)))
+    lists = {"keys": "key", "values": "value", "blocks": "block", "hot": "hot", **{f"{c}s": c for c in extra}}
+    made.vectors = materialize(placed.groupBy("owner").agg(vector.alias("v")).select("owner", *[F.col(f"v.{c}").alias(n) for n, c in lists.items()]), "vectors")
+    return made
+
+
+def parted(df: DataFrame, asks: bool, block: str = "hot_block") -> DataFrame:
+    """The rows of a hot block with owner and parts, sent to its cells: an
+    asking owner meets every part of the answering ones."""
+    part, every = F.pmod(F.xxhash64("owner"), F.col("parts")).cast("int"), F.sequence(F.lit(0), F.col("parts") - 1)
+    rows = df.withColumn("own_part", part).withColumn("other_part", F.explode(every))
+    i, j = ("own_part", "other_part") if asks else ("other_part", "own_part")
+    cell = F.struct(F.col(block).alias("block"), F.col(i).alias("i"), F.col(j).alias("j"))
+    return (rows.withColumn("cell", cell).withColumn("block", F.col(block)).withColumn("asks", F.lit(asks)).withColumn("answers", F.lit(not asks))
+            .drop("own_part", "other_part", "parts"))
+
+
 def nearest(entries: DataFrame, owner: str, shared: str, value: str, k: int, measure: str = "cosine", min_overlap: int = 1,
             cell: int = CELL, long: int = LONG, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """``(owner, other, sim, n, rank)``: the k most similar other owners of
@@ -145,49 +198,26 @@ def nearest(entries: DataFrame, owner: str, shared: str, value: str, k: int, mea
     with a null owner, key or value are left out; an empty table gives no rows.
     """
     corated = {"cosine": False, "corated": True}[measure]
-    entries = materialize(entries.select(F.col(owner).alias("owner"), F.col(shared).alias("key"), F.col(value).cast("double").alias("value")).dropna(), "entries")
-    sizes = materialize(entries.groupBy("owner").agg(F.count(F.lit(1)).alias("size")), "owner-sizes")
-    any_long = sizes.filter(F.col("size") > long).limit(1).count() > 0
-    short = entries.join(sizes.filter(F.col("size") > long), "owner", "left_anti") if any_long else entries
-
-    # blocks: what the vectors of a key's owners weigh decides how keys are dealt
-    loads = materialize(short.join(sizes, "owner").groupBy("key").agg(F.sum("size").alias("load")), "key-loads")
-    heat = loads.agg(F.coalesce(F.sum(F.when(F.col("load") <= cell, F.col("load"))), F.lit(0)).alias("cold"), F.max("load").alias("most")).first()
-    blocks, any_hot = max(1, -(-heat["cold"] // cell)), (heat["most"] or 0) > cell
-    cold_block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("long")
-    if any_hot:
-        # no more hot keys than the total load holds cells
-        hot = materialize(loads.filter(F.col("load") > cell).select(
-            "key", (F.lit(blocks) + F.row_number().over(Window.orderBy("key")) - 1).cast("long").alias("hot_block"),
-            F.ceil(F.col("load") / cell).cast("int").alias("parts")), "hot-blocks")
-        placed = short.join(hot.select("key", "hot_block"), "key", "left").withColumn("block", F.coalesce("hot_block", cold_block))
-    else:
-        placed = short.withColumn("hot_block", F.lit(None).cast("long")).withColumn("block", cold_block)
-    vector = F.array_sort(F.collect_list(F.struct(F.col("hot_block").isNotNull().alias("hot"), "key", "value", "block")))
-    vectors = placed.groupBy("owner").agg(vector.alias("v"))
-    vectors = materialize(vectors.select("owner", F.col("v.key").alias("keys"), F.col("v.value").alias("values"), F.col("v.block").alias("blocks"),
-                                         F.col("v.hot").alias("hot")), "vectors")
-    columns = ["owner", "keys", "values", "blocks"]
-    cold = vectors.select(*columns, F.explode(F.array_distinct(F.filter("blocks", lambda b: b < blocks))).alias("block"))
-    found = _asked(cold.select(*columns, "block", F.col("block").alias("cell"), F.lit(True).alias("asks"), F.lit(True).alias("answers")),
+    d = deal(entries.select(F.col(owner).alias("owner"), F.col(shared).alias("key"), F.col(value).alias("value")), cell, long)
+    cold = d.vectors.select(*_VECTOR, F.explode(F.array_distinct(F.filter("blocks", lambda b: b < d.blocks))).alias("block"))
+    found = _asked(cold.select(*_VECTOR, "block", F.col("block").alias("cell"), F.lit(True).alias("asks"), F.lit(True).alias("answers")),
                    k, corated, min_overlap)
-    if any_long:
-        found = found.unionByName(_of_long(entries, sizes, long, corated, min_overlap, hot_threshold))
-    if any_hot:
+    if d.any_long:
+        found = found.unionByName(_of_long(d.entries, d.sizes, long, corated, min_overlap, hot_threshold))
+    if d.hot is not None:
         found = materialize(found, "lists-of-cold-keys")
-        found = found.unionByName(_of_hot(vectors, hot, found, k, corated, min_overlap))
+        found = found.unionByName(_of_hot(d.vectors, d.hot, found, k, corated, min_overlap))
     ranked = top_k_per(found, "owner", _order(corated), k)
     return ranked.select(F.col("owner").alias(owner), "other", "sim", "n", F.col("k").alias("rank"))
 
 
 def _of_hot(vectors: DataFrame, hot: DataFrame, found: DataFrame, k: int, corated: bool, least: int) -> DataFrame:
     """The k best of each owner among pairs that share hot keys only."""
-    columns = ["owner", "keys", "values", "blocks"]
     # one row per owner and hot key, with the norm that is left from it on
     at = F.transform(F.filter(F.sequence(F.lit(0), F.size("keys") - 1), lambda i: F.get(F.col("hot"), i)), lambda i: F.struct(
         F.get(F.col("blocks"), i).alias("hot_block"),
         F.sqrt(F.aggregate(F.slice(F.col("values"), i + 1, F.size("values")), F.lit(0.0), lambda s, x: s + x * x)).alias("rest")))
-    rows = vectors.filter(F.exists("hot", lambda h: h)).select(*columns, F.explode(at).alias("at")).select(*columns, "at.*")
+    rows = vectors.filter(F.exists("hot", lambda h: h)).select(*_VECTOR, F.explode(at).alias("at")).select(*_VECTOR, "at.*")
     rows = rows.join(hot.select("hot_block", "parts"), "hot_block")
     asking = rows
     if not corated:
@@ -196,16 +226,7 @@ def _of_hot(vectors: DataFrame, hot: DataFrame, found: DataFrame, k: int, corate
         asking = rows.join(reach, "hot_block").join(kth, "owner", "left")
         # 1e-6: scores are rounded, and ties are broken by id
         asking = asking.filter(F.col("kth").isNull() | (F.col("rest") * F.col("reach") >= F.col("kth") - 10.0 ** -DIGITS)).drop("reach", "kth")
-    part, every = F.pmod(F.xxhash64("owner"), F.col("parts")).cast("int"), F.sequence(F.lit(0), F.col("parts") - 1)
-
-    def sent(df: DataFrame, asks: bool) -> DataFrame:
-        other = F.explode(every).alias("other_part")
-        pieces = df.select(*columns, F.col("hot_block").alias("block"), part.alias("own_part"), other)
-        i, j = ("own_part", "other_part") if asks else ("other_part", "own_part")
-        return pieces.select(*columns, "block", F.struct("block", F.col(i).alias("i"), F.col(j).alias("j")).alias("cell"),
-                             F.lit(asks).alias("asks"), F.lit(not asks).alias("answers"))
-
-    return _asked(sent(asking, True).unionByName(sent(rows, False)), k, corated, least)
+    return _asked(parted(asking.drop("rest"), True).unionByName(parted(rows.drop("rest"), False)), k, corated, least)
 
 
 def nearest_by_cosine(z: DataFrame, owner: str, shared: str, k: int, **options) -> DataFrame:

@@ -19,6 +19,7 @@ from tastegraph.operators import evaluate as E
 from tastegraph.operators import neighbours as NB
 from tastegraph.operators import ratings as RT
 from tastegraph.operators import similarity as SIM
+from tastegraph.operators.predict import predict
 from tastegraph.plans.oracle import BRANDS, PROFILE_ROWS, PROFILE_USER, SERVED_USER
 from tastegraph.schema import PRODUCT, RATING, TITLE, TS, USER
 from tastegraph.session import materialize, scratch_path
@@ -327,8 +328,7 @@ def q_t6(spark, d):
 
 def _predictions(spark, d):
     m = Mm(spark, d)
-    sims = materialize(SIM.user_cosine(SIM.user_center_scale(m)), "user-cosine")
-    return NB.predict_rating(m, sims, m), m
+    return predict(m), m
 
 
 @query("join_predictions_actuals")
@@ -405,18 +405,18 @@ def q_n6(spark, d):
 
 @query("top_similar_products")
 def q_r1(spark, d):
-    return NB.top_similar_products(SIM.item_cosine(Z(spark, d)), 10)
+    return NB.nearest_products(Z(spark, d), 10)
 
 
 @query("top_similar_users")
 def q_r2(spark, d):
-    return NB.top_similar_users(SIM.user_cosine(Z(spark, d)), 10)
+    return NB.nearest_users(Z(spark, d), 10)
 
 
 @query("similar_user_recs")
 def q_r3(spark, d):
     z = Z(spark, d)
-    return NB.similar_user_recs(NB.top_similar_users(SIM.user_cosine(z), 10), z, 5).select(
+    return NB.similar_user_recs(NB.nearest_users(z, 10), z, 5).select(
         USER, PRODUCT, "n_neighbours", "rank")
 
 
@@ -426,6 +426,12 @@ def q_r4(spark, d):
     return pred.select(USER, PRODUCT, F.round("prediction", 4).alias("prediction"), "n_neighbours")
 
 
+@query("predict_rating_nearest")
+def q_r4_nearest(spark, d):
+    # the 5 most similar raters of each product only
+    return predict(Mm(spark, d), k=5).select(USER, PRODUCT, F.round("prediction", 4).alias("prediction"), "n_neighbours")
+
+
 @query("nearest_neighbours")
 def q_r5(spark, d):
     return _nn(spark, d, write=False)[0]
@@ -525,17 +531,12 @@ def q_e2(spark, d):
 
 @query("improvement_pct")
 def q_e3(spark, d):
-    # the neighbourhood predictions (R4) against the constant mean of train ∪ validation (M6)
-    pred, m = _predictions(spark, d)
-    test_rmse = E.rmse(pred, m)
-    fit = RT.with_split_digit(R(spark, d)).filter(F.col(RT.DIGIT) < 8).select(USER, PRODUCT, RATING, TS)
-    base = E.mean_baseline_rmse(RT.union_all_ratings(fit, profile(spark)), m)
-    # two one-row metrics side by side: tag, union, pivot in one aggregate
-    both = (test_rmse.select(F.lit("model").alias("_k"), F.col("rmse_all_rows").alias("_v"))
-            .unionByName(base.select(F.lit("baseline").alias("_k"), F.col("baseline_rmse").alias("_v"))))
-    vals = both.agg(F.max(F.when(F.col("_k") == "model", F.col("_v"))).alias("rmse"),
-                    F.max(F.when(F.col("_k") == "baseline", F.col("_v"))).alias("baseline_rmse"))
-    return vals.select(r6("rmse"), r6("baseline_rmse"), F.round(E.improvement_pct("baseline_rmse", "rmse"), 4).alias("improvement_pct"))
+    # both sides know train ∪ validation only and are measured on test
+    tr, va, te = splits(spark, d, write=True)
+    fit = materialize(RT.union_all_ratings(tr, va), "fit-ratings")
+    m = materialize(RT.user_item_mean(fit), "fit-means")
+    found = E.improvement_on_test(predict(m, te), fit, te)
+    return found.select(r6("rmse"), r6("baseline_rmse"), F.round("improvement_pct", 4).alias("improvement_pct"), "n_test", "n_predicted")
 
 
 @query("user_insample_error")

@@ -173,6 +173,10 @@ SELECT u1 AS user_id, p AS product_id, n AS n_neighbours, k AS rank FROM (
   SELECT *, """ + rank("PARTITION BY u1 ORDER BY n DESC, p") + " AS k FROM cnt) WHERE k <= 5"
 ORACLE["predict_rating"] = w(R, M, Z, US, PRED) + (
     "SELECT u AS user_id, p AS product_id, round(prediction, 4) AS prediction, n_neighbours FROM pr")
+ORACLE["predict_rating_nearest"] = w(R, M, Z, US) + (
+    "SELECT u AS user_id, p AS product_id, round(sum(sim * r) / sum(sim), 4) AS prediction, count(*) AS n_neighbours FROM ("
+    "SELECT t.u, t.p, un.sim, n.r, row_number() OVER (PARTITION BY t.u, t.p ORDER BY un.sim DESC, un.u2) AS place "
+    "FROM m t JOIN un ON un.u1 = t.u AND un.sim > 0 JOIN m n ON n.u = un.u2 AND n.p = t.p) WHERE place <= 5 GROUP BY u, p")
 ORACLE["nearest_neighbours"] = w(R, M, CP, NN) + (
     "SELECT u1 AS user_id, u2 AS neighbour_id, sim, n, CAST(k AS INTEGER) AS rank FROM nn")
 _rec_out = ("SELECT u1 AS user_id, p AS product_id, score, k AS rank FROM (SELECT *, "
@@ -204,11 +208,16 @@ ORACLE["mean_baseline_rmse"] = w(*_split_ctes) + (
     "SELECT round(mu, 6) AS mean_rating, round(sqrt(avg(power(t.rating - mu, 2))), 6) AS baseline_rmse, "
     "count(*) AS n_test FROM TEST t, (SELECT avg(rating) AS mu FROM (SELECT * FROM TRAIN UNION ALL "
     "SELECT * FROM VALID)) GROUP BY mu")
-ORACLE["improvement_pct"] = w(R, M, Z, US, PRED, RD, PROFILE, TRAIN, VALID) + (
-    ", e AS (SELECT sqrt(sum(power(pr.prediction - m.r, 2)) / count(*)) AS rmse FROM m LEFT JOIN pr ON pr.u = m.u AND pr.p = m.p), "
-    "b AS (SELECT sqrt(avg(power(m.r - mu, 2))) AS base FROM m, (SELECT avg(rating) AS mu FROM (SELECT * FROM TRAIN UNION ALL "
-    "SELECT * FROM VALID))) SELECT round(rmse, 6) AS rmse, round(base, 6) AS baseline_rmse, "
-    "round((base - rmse) * 100.0 / base, 4) AS improvement_pct FROM e, b")
+_fit = "FIT AS (SELECT * FROM TRAIN UNION ALL SELECT * FROM VALID)"
+_fit_means = "m AS (SELECT user_id AS u, product_id AS p, avg(rating) AS r FROM FIT GROUP BY user_id, product_id)"
+_test_pairs = PRED.replace("FROM m t JOIN", "FROM (SELECT DISTINCT user_id AS u, product_id AS p FROM TEST) t JOIN")
+ORACLE["improvement_pct"] = w(*_split_ctes, _fit, _fit_means, Z, US, _test_pairs) + (
+    ", mean AS (SELECT avg(rating) AS mu FROM FIT), "
+    "e AS (SELECT sqrt(avg(power(coalesce(pr.prediction, mu) - t.rating, 2))) AS rmse, sqrt(avg(power(mu - t.rating, 2))) AS base, "
+    "count(*) AS n_test, count(pr.prediction) AS n_predicted "
+    "FROM mean, TEST t LEFT JOIN pr ON pr.u = t.user_id AND pr.p = t.product_id) "
+    "SELECT round(rmse, 6) AS rmse, round(base, 6) AS baseline_rmse, round((base - rmse) * 100.0 / base, 4) AS improvement_pct, "
+    "n_test, n_predicted FROM e")
 ORACLE["user_insample_error"] = w(R, M, Z, US, PRED) + (
     "SELECT m.u AS user_id, count(*) AS n_rated, count(pr.prediction) AS n_predicted, "
     "round(avg(power(pr.prediction - m.r, 2)), 6) AS mse, round(sqrt(avg(power(pr.prediction - m.r, 2))), 6) AS rmse "
