@@ -72,7 +72,7 @@ class _Memo(dict):
 class Bpe:
     """One vocabulary, loaded once per worker process (:func:`loaded`)."""
 
-    MEMO_ENTRIES = 400_000
+    MEMO_ENTRIES = 150_000
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
