@@ -13,7 +13,6 @@ from tastegraph.operators.similarity import (
     DEFAULT_HOT_THRESHOLD,
     both_directions,
     cap_raters,
-    corated_cosine,
     split_join,
     top_k_per,
 )
@@ -105,7 +104,8 @@ def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = None, seed:
     """Top-k neighbours per user by co-rated cosine (sim desc, co-rater
     count desc, id asc).  ``m`` is the (user, product)-unique rating table
     (M3).  ``cap`` samples at most so many raters per product first (N6);
-    without it every rating counts.
+    without it every rating counts.  All users' lists come from blocks of
+    vectors (:mod:`tastegraph.operators.topk`), no pair table is formed.
     ``only_users`` (a list of ids — pushed into the scan as a predicate — or
     a DataFrame of ids, semi-joined) restricts the *first* user of each pair
     before the pair join; ``same_group`` adds an extra equi-key (a
@@ -113,10 +113,10 @@ def nearest_neighbours(m: DataFrame, k: int = 100, cap: int | None = None, seed:
     """
     if cap is not None:
         m = cap_raters(m, cap, seed)
-    if only_users is not None or same_group is not None:
-        sims = _corated_for(m, only_users, min_overlap, same_group, hot_threshold)
-    else:
-        sims = both_directions(corated_cosine(m, min_overlap, 6, hot_threshold), "user1", "user2")
+    if only_users is None and same_group is None:
+        found = nearest_by_corated(m, USER, PRODUCT, k, min_overlap, hot_threshold=hot_threshold)
+        return found.select(USER, F.col("other").alias(NEIGHBOUR), "sim", "n", "rank")
+    sims = _corated_for(m, only_users, min_overlap, same_group, hot_threshold)
     return (top_k_per(sims, "user1", [F.desc("sim"), F.desc("n"), F.asc("user2")], k)
             .select(F.col("user1").alias(USER), F.col("user2").alias(NEIGHBOUR), "sim", "n",
                     F.col("k").alias("rank")))

@@ -22,72 +22,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.operators.similarity import DEFAULT_HOT_THRESHOLD, split_join, unit_rows, user_center_scale
-from tastegraph.operators.topk import CELL, DIGITS, LONG, _of_long, _ranges, _rounded, deal, parted
+from tastegraph.operators.topk import CELL, LONG, Cell, _of_long, _ranges, _rounded, deal, in_cells, parted
 from tastegraph.schema import PRODUCT, RATING, USER
 from tastegraph.session import materialize
 
 _COLUMNS = ["owner", "keys", "values", "blocks", "ratings"]
 
 
-def _cell(group: pa.Table, k: int | None, least: float) -> pa.Table:
+def _cell(group: pa.Table, blocks: int, k: int | None, least: float) -> pa.Table:
     """Sums of the targets of a cell: a row per (owner, key) with similar
     raters, or with ``k`` one for each of its k most similar ones."""
-    group = group.sort_by("owner")
-    block, asks, answers = group.column("block")[0].as_py(), *(group.column(c).to_numpy() for c in ("asks", "answers"))
-    lists = {c: group.column(c).combine_chunks() for c in ("keys", "values", "blocks", "ratings", "wanted")}
-    owner = group.column("owner").combine_chunks()
-    start = np.asarray(lists["keys"].offsets)[:-1].astype(np.int64)
-    size = np.diff(np.asarray(lists["keys"].offsets)).astype(np.int64)
-    name, keys = owner.dictionary_encode().indices.to_numpy(), lists["keys"].flatten()
-    coded = pa.concat_arrays([keys, lists["wanted"].flatten()]).dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64)
-    key, wanted = code[:len(keys)], code[len(keys):]
-    value, rating, blocks = (lists[c].flatten().to_numpy() for c in ("values", "ratings", "blocks"))
-    whose = np.repeat(np.arange(len(size)), size)
-    own = np.flatnonzero((blocks == block) & answers[whose])
-    own = own[np.argsort(key[own], kind="stable")]
-    many = np.bincount(key[own], minlength=len(coded.dictionary))
-    first = np.cumsum(many) - many
-    asked_at = np.append(0, np.cumsum(np.diff(np.asarray(lists["wanted"].offsets))))
-
-    has, at = np.zeros(len(coded.dictionary), bool), np.zeros(len(coded.dictionary))
-    found = []
-    for u in np.flatnonzero(asks):
-        asked = wanted[asked_at[u]:asked_at[u + 1]]
-        entry = own[_ranges(first[asked], many[asked])]  # the ratings of the products asked for
-        target = np.repeat(np.arange(len(asked)), many[asked])
-        rater = whose[entry]
-        other = name[rater] != name[u]
-        entry, target, rater = entry[other], target[other], rater[other]
-        if not len(entry):
-            continue
-        near, which = np.unique(rater, return_inverse=True)
-        mine = slice(start[u], start[u] + size[u])
-        has[key[mine]], at[key[mine]] = True, value[mine]
-        theirs = _ranges(start[near], size[near])
-        pair = np.repeat(np.arange(len(near)), size[near])
-        shared = np.flatnonzero(has[key[theirs]])
-        sim = np.bincount(pair[shared], at[key[theirs[shared]]] * value[theirs[shared]], minlength=len(near))
-        has[key[mine]] = False
-        sim = _rounded(sim)[which]
-        good = sim > least
-        sim, target, entry, rater = sim[good], target[good], entry[good], rater[good]
+    c = Cell(group, blocks, wanted=True)
+    edge = np.append(0, np.cumsum(c.wanted_size))
+    n_rows, found = len(c.size), []
+    begin, many, listed = c.own
+    for rows in c.batches(np.flatnonzero(c.asks)):
+        sums, _ = c.totals(rows, False)
+        at = _ranges(edge[rows], c.wanted_size[rows])  # the questions, and then their answers
+        key, row = c.wanted[at], np.repeat(rows, c.wanted_size[rows])
+        question = np.repeat(np.arange(len(key)), many[key])
+        entry = listed[_ranges(begin[key], many[key])]
+        place, rater = np.searchsorted(rows, row)[question], c.whose[entry]
+        code = place * n_rows + rater
+        if c.n_hot:
+            pairs = np.unique(code)
+            more = [np.zeros(len(pairs))]
+            c.add_hot(rows, pairs // n_rows, pairs % n_rows, more)
+            sums[0][pairs] += more[0]
+        sim = _rounded(sums[0][code])
+        good = (sim > least) & (c.same[rater] != c.same[rows[place]])
+        sim, question, rating, rater = sim[good], question[good], c.ratings[entry[good]], rater[good]
         if k is None:
-            n = np.bincount(target, minlength=len(asked))
+            n = np.bincount(question, minlength=len(key))
             hit = np.flatnonzero(n)
-            sums = (np.bincount(target, x, minlength=len(asked))[hit] for x in (sim * rating[entry], sim))
-            found.append((np.full(len(hit), u), asked[hit], *sums, n[hit], np.zeros(len(hit), np.int64)))
+            totals = (np.bincount(question, x, len(key))[hit].astype(np.float64) for x in (sim * rating, sim))
+            found.append((row[hit], key[hit], *totals, n[hit], row[hit]))
         else:
-            order = np.lexsort((rater, -sim, target))
-            target = target[order]
-            place = np.arange(len(target)) - np.searchsorted(target, target)
-            order = order[place < k]
-            target, one = target[place < k], np.ones(len(order), np.int64)
-            found.append((np.full(len(order), u), asked[target], sim[order] * rating[entry[order]], sim[order], one, rater[order]))
+            order = np.lexsort((rater, -sim, question))
+            question = question[order]
+            top = np.arange(len(question)) - np.searchsorted(question, question) < k
+            order, question = order[top], question[top]
+            found.append((row[question], key[question], sim[order] * rating[order], sim[order], np.ones(len(order), np.int64), rater[order]))
     none = [np.empty(0, np.int64)] * 2 + [np.empty(0)] * 2 + [np.empty(0, np.int64)] * 2
     u, p, weighted, sims, n, rater = (np.concatenate(x) for x in zip(*found)) if found else none
-    return pa.table([owner.take(pa.array(u)), coded.dictionary.take(pa.array(p)), pa.array(weighted), pa.array(sims), pa.array(n.astype(np.int64)),
-                     owner.take(pa.array(rater))], names=["owner", "key", "weighted", "sims", "n", "other"])
+    return pa.table([c.owner.take(pa.array(u)), c.names.take(pa.array(p)), pa.array(weighted), pa.array(sims), pa.array(n.astype(np.int64)),
+                     c.owner.take(pa.array(rater))], names=["owner", "key", "weighted", "sims", "n", "other"])
 
 
 def predict(m: DataFrame, targets: DataFrame | None = None, min_similarity: float = 0.0, k: int | None = None,
@@ -101,15 +80,15 @@ def predict(m: DataFrame, targets: DataFrame | None = None, min_similarity: floa
     z = unit_rows(user_center_scale(m, keep_rating=True), USER)
     d = deal(z.select(F.col(USER).alias("owner"), F.col(PRODUCT).alias("key"), F.col("w").alias("value"), F.col(RATING).alias("rating")),
              cell, long, ("rating",))
+    blocks = d.blocks
     asked = None if targets is None else materialize(targets.select(F.col(USER).alias("owner"), F.col(PRODUCT).alias("key")).dropna().distinct(), "targets")
     kinds = {c: d.entries.schema[c].dataType.simpleString() for c in ("owner", "key")}
     schema = f"owner {kinds['owner']}, key {kinds['key']}, weighted double, sims double, n long, other {kinds['owner']}"
-    nothing = F.array().cast(f"array<{kinds['key']}>").alias("wanted")
+    nothing = F.array().cast(f"array<{kinds['key']}>")
 
-    def summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("cell").applyInArrow(lambda g: _cell(g, k, min_similarity), schema)
+    def summed(rows: DataFrame, cells: int) -> DataFrame:
+        return in_cells(rows, lambda g: _cell(g, blocks, k, min_similarity), schema, cells)
 
-    cold_answers = d.vectors.select(*_COLUMNS, F.explode(F.array_distinct(F.filter("blocks", lambda b: b < d.blocks))).alias("block")).withColumn("cell", F.col("block"))
     blocked = None if asked is None else asked  # with the block of each target
     if blocked is not None:
         if d.hot is not None:
@@ -120,18 +99,20 @@ def predict(m: DataFrame, targets: DataFrame | None = None, min_similarity: floa
         asking = materialize(d.vectors.select(*_COLUMNS).join(lists, "owner"), "asking")
     if asked is None:  # each owner asks for the keys that it has
         mine = F.transform(F.filter(F.arrays_zip("keys", "blocks"), lambda x: x["blocks"] == F.col("block")), lambda x: x["keys"])
-        found = summed(cold_answers.withColumn("asks", F.lit(True)).withColumn("answers", F.lit(True)).withColumn("wanted", mine))
+        found = summed(d.cold(tuple(_COLUMNS)).withColumn("wanted", F.when(F.col("asks"), mine).otherwise(nothing)), d.blocks * d.parts)
     else:
-        ask = asking.filter("hot_block is null").select(*_COLUMNS, "block", F.col("block").alias("cell"), F.lit(True).alias("asks"), F.lit(False).alias("answers"), "wanted")
-        answer = cold_answers.select(*_COLUMNS, "block", "cell", F.lit(False).alias("asks"), F.lit(True).alias("answers"), nothing)
-        found = summed(ask.unionByName(answer))
+        own = F.pmod(F.xxhash64("owner", F.lit(7)), F.lit(d.parts)).cast("int")
+        cell = F.struct("block", own.alias("i"), F.lit(0).alias("j")).alias("cell")
+        ask = asking.filter("hot_block is null").select(*_COLUMNS, "block", cell, F.lit(True).alias("asks"), F.lit(False).alias("answers"), "wanted")
+        answer = d.cold(tuple(_COLUMNS)).withColumn("asks", F.lit(False)).withColumn("wanted", nothing)
+        found = summed(ask.unionByName(answer), d.blocks * d.parts)
     if d.hot is not None:
         hot = d.vectors.filter(F.exists("hot", lambda h: h)).select(*_COLUMNS, F.explode(F.filter("blocks", lambda b: b >= d.blocks)).alias("hot_block"))
         hot = hot.join(d.hot.withColumnRenamed("key", "hot_key"), "hot_block")
         ask = hot.withColumn("wanted", F.array("hot_key")).drop("hot_key") if asked is None else asking.filter("hot_block is not null").drop("block")
         rows = [parted(ask, True), parted(hot.drop("hot_key").withColumn("wanted", nothing), False)]
         columns = [*_COLUMNS, "block", "cell", "asks", "answers", "wanted"]
-        found = found.unionByName(summed(rows[0].select(*columns).unionByName(rows[1].select(*columns))))
+        found = found.unionByName(summed(rows[0].select(*columns).unionByName(rows[1].select(*columns)), d.hot_cells()))
     if d.any_long:
         found = found.unionByName(_with_long(d, asked, min_similarity, hot_threshold, long))
     if k is not None:

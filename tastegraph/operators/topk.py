@@ -6,10 +6,10 @@ most of them cannot enter a list of k.  Here owners' *vectors* travel instead:
 
 1. Keys are dealt into blocks whose vectors fit a task (``CELL`` entries), and
    every owner's vector goes once to each block it has a key in.
-2. In a block (:func:`_cell`) an owner's candidates come from inverted lists of
-   the block's keys, their similarity is computed whole from the two vectors,
-   and only the k best of an owner leave.  A pair that shares keys of several
-   blocks is taken in the block of its first shared key, so once.
+2. In a block (:func:`_cell`) inverted lists over its owners add up an owner's
+   similarities whole, over all their keys, and only the k best of an owner
+   leave.  A pair that shares keys of several blocks is taken in the block of
+   its first shared key, so once.
 3. A *hot* key, whose vectors exceed a block, is split into cells of owners'
    parts and comes after all others in that order: a pair is first met there
    only if it shares hot keys alone.  For the cosine such a pair scores no more
@@ -26,6 +26,8 @@ keys in one order, whoever of the two asks.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,13 +41,20 @@ from tastegraph.schema import RATING
 from tastegraph.session import materialize
 
 #: Entries of vectors in one block or cell, about.
-CELL = 2_000_000
+CELL = 4_000_000
+#: Products that one task adds up, about.
+WORK = 2_000_000
 #: Entries of a vector that travels.
 LONG = 4_096
 DIGITS = 6
+#: Places of a batch's dense tables.
+_DENSE = 1_000_000
 _VECTOR = ["owner", "keys", "values", "blocks"]
 
 
+def _order(corated: bool) -> list[Column]:
+    return [F.desc("sim"), *([F.desc("n")] if corated else []), F.asc("other")]
+
 
 def _rounded(x: np.ndarray) -> np.ndarray:
     """Half away from zero at ``DIGITS`` decimals."""
@@ -57,68 +66,136 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
-def _cell(group: pa.Table, k: int, corated: bool, least: int) -> pa.Table:
+class Cell:
+    """The rows of one block or cell: owners with their vectors, first the keys
+    that are not hot, and inverted lists of those over the owners that answer."""
+
+    def __init__(self, group: pa.Table, blocks: int, wanted: bool = False):
+        group = group.sort_by("owner")  # ties go by owner
+        self.block, self.owner = group.column("block")[0].as_py(), group.column("owner").combine_chunks()
+        self.hot = self.block >= blocks
+        self.asks, answers = (group.column(c).to_numpy() for c in ("asks", "answers"))
+        lists = {c: group.column(c).combine_chunks() for c in ("keys", "values", "blocks", *(["ratings", "wanted"] if wanted else []))}
+        offsets = np.asarray(lists["keys"].offsets).astype(np.int64)
+        self.start, size = offsets[:-1], np.diff(offsets)
+        flat = {c: x.flatten() for c, x in lists.items()}
+        coded = pa.concat_arrays([flat["keys"], flat["wanted"]]) if wanted else flat["keys"]
+        coded = coded.dictionary_encode()
+        code, self.names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        self.key, self.wanted = code[:len(flat["keys"])], code[len(flat["keys"]):]
+        if wanted:
+            self.ratings, self.wanted_size = flat["ratings"].to_numpy(), np.diff(np.asarray(lists["wanted"].offsets)).astype(np.int64)
+        self.value, self.blocks = flat["values"].to_numpy(), flat["blocks"].to_numpy()
+        self.whose = np.repeat(np.arange(len(size)), size)
+        self.same = self.owner.dictionary_encode().indices.to_numpy()  # an owner may ask in one row and answer in another
+        ordinary = self.blocks < blocks
+        self.size = np.bincount(self.whose[ordinary], minlength=len(size))  # of what is not hot; the rest of a vector comes behind
+        self.rest = size - self.size
+        self.first, self.many, self.listed = self._lists(np.flatnonzero(ordinary & answers[self.whose]))
+        self.own = (self.first, self.many, self.listed) if not self.hot else self._lists(np.flatnonzero((self.blocks == self.block) & answers[self.whose]))
+        # hot keys get numbers of their own
+        hot_keys, self.hot_key = np.unique(self.key[~ordinary]), np.zeros(len(self.names), np.int64)
+        self.hot_key[hot_keys], self.n_hot = np.arange(len(hot_keys)), len(hot_keys)
+
+    def _lists(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        entries = entries[np.argsort(self.key[entries], kind="stable")]
+        many = np.bincount(self.key[entries], minlength=len(self.names))
+        return np.cumsum(many) - many, many, entries
+
+    def batches(self, rows: np.ndarray) -> Iterator[np.ndarray]:
+        """The rows in batches whose tables stay in a processor's cache."""
+        step = max(1, _DENSE // max(1, len(self.size)))
+        for at in range(0, len(rows), step):
+            yield rows[at:at + step]
+
+    def totals(self, rows: np.ndarray, corated: bool) -> tuple[list[np.ndarray], np.ndarray]:
+        """Over the keys that are not hot, for each of ``rows`` and every row of
+        the cell: the sums (xy and, co-rated, xx, yy and the number of shared
+        keys), and the block of the first shared key (-1: none)."""
+        mine = _ranges(self.start[rows], self.size[rows])
+        many = self.many[self.key[mine]]
+        met = self.listed[_ranges(self.first[self.key[mine]], many)]
+        code = np.repeat(np.repeat(np.arange(len(rows)) * len(self.size), self.size[rows]), many) + self.whose[met]
+        n = len(rows) * len(self.size)
+        x, y = np.repeat(self.value[mine], many), self.value[met]
+        # of nothing at all, bincount gives integers
+        sums = [np.bincount(code, w, n).astype(np.float64, copy=False) for w in ((x * y, x * x, y * y) if corated else (x * y,))]
+        if corated:
+            sums.append(np.bincount(code, minlength=n))
+        first = np.full(n, -1)
+        first[code[::-1]] = self.blocks[met][::-1]  # of several writes the last one stays: the first key
+        return sums, first
+
+    def add_hot(self, rows: np.ndarray, place: np.ndarray, near: np.ndarray, sums: list[np.ndarray]) -> np.ndarray:
+        """Add what the pairs (rows[place], near) share of hot keys to their
+        sums; the block of the first shared hot key (-1: none)."""
+        first = np.full(len(near), -1)
+        if not self.n_hot or not len(near):
+            return first
+        def entries(r: np.ndarray) -> np.ndarray:
+            return _ranges(self.start[r] + self.size[r], self.rest[r])
+        mine, theirs = entries(rows), entries(near)
+        slot = np.repeat(np.arange(len(rows)) * self.n_hot, self.rest[rows]) + self.hot_key[self.key[mine]]
+        has, at = np.zeros(len(rows) * self.n_hot, bool), np.zeros(len(rows) * self.n_hot)
+        has[slot], at[slot] = True, self.value[mine]
+        slot = np.repeat(place * self.n_hot, self.rest[near]) + self.hot_key[self.key[theirs]]
+        shared = np.flatnonzero(has[slot])
+        pair = np.repeat(np.arange(len(near)), self.rest[near])[shared]
+        x, y = at[slot[shared]], self.value[theirs[shared]]
+        for total, add in zip(sums, (x * y, x * x, y * y, np.ones(len(x)))):
+            total += np.bincount(pair, add, len(near)).astype(total.dtype)
+        first[pair[::-1]] = self.blocks[theirs[shared]][::-1]
+        return first
+
+
+def _cell(group: pa.Table, blocks: int, k: int, corated: bool, least: int) -> pa.Table:
     """The k best of each asking owner among the pairs that the cell takes."""
-    group = group.sort_by("owner")  # ties go by owner
-    block, asks, answers = group.column("block")[0].as_py(), *(group.column(c).to_numpy() for c in ("asks", "answers"))
-    lists = {c: group.column(c).combine_chunks() for c in ("keys", "values", "blocks")}
-    start, flat = np.asarray(lists["keys"].offsets)[:-1].astype(np.int64), {c: x.values for c, x in lists.items()}
-    size = np.diff(np.asarray(lists["keys"].offsets)).astype(np.int64)
-    key = flat["keys"].dictionary_encode().indices.to_numpy().astype(np.int64)
-    value, blocks = flat["values"].to_numpy(), flat["blocks"].to_numpy()
-    whose = np.repeat(np.arange(len(size)), size)
-    name = group.column("owner").combine_chunks().dictionary_encode().indices.to_numpy()  # an owner may ask in one row and answer in another
-
-    # inverted lists of the cell's own keys, over the owners that answer
-    own = np.flatnonzero((blocks == block) & answers[whose])
-    own = own[np.argsort(key[own], kind="stable")]
-    n_keys = int(key.max()) + 1 if len(key) else 0
-    many = np.bincount(key[own], minlength=n_keys)
-    first = np.cumsum(many) - many
-    listed = whose[own]
-
-    has, at = np.zeros(n_keys, bool), np.zeros(n_keys)
-    found = []
-    for u in np.flatnonzero(asks):
-        mine = slice(start[u], start[u] + size[u])
-        keys = key[mine]
-        asked = keys[blocks[mine] == block]
-        near = np.unique(listed[_ranges(first[asked], many[asked])])
-        near = near[name[near] != name[u]]
-        if not len(near):
-            continue
-        has[keys], at[keys] = True, value[mine]
-        entry = _ranges(start[near], size[near])
-        shared = np.flatnonzero(has[key[entry]])
-        entry = entry[shared]
-        pair = np.repeat(np.arange(len(near)), size[near])[shared]
-        has[keys] = False
-        head = np.flatnonzero(np.diff(pair, prepend=-1))
-        taken = blocks[entry[head]] == block  # the first key that they share is of this block
-        x, y = at[key[entry]], value[entry]
-        n = np.diff(np.append(head, len(entry)))
-        sim = np.add.reduceat(x * y, head)
+    c = Cell(group, blocks)
+    n_rows, found = len(c.size), []
+    for rows in c.batches(np.flatnonzero(c.asks)):
+        sums, first = c.totals(rows, corated)
+        if c.hot:  # its key, but no ordinary one
+            begin, many, listed = c.own
+            asked = np.flatnonzero((c.blocks == c.block) & np.isin(c.whose, rows))
+            ways = np.repeat(np.searchsorted(rows, c.whose[asked]), many[c.key[asked]])
+            met = ways * n_rows + c.whose[listed[_ranges(begin[c.key[asked]], many[c.key[asked]])]]
+            met = met[first[met] < 0]
+        else:
+            met = np.flatnonzero(first == c.block)
+        place, near = met // n_rows, met % n_rows
+        other = c.same[near] != c.same[rows[place]]
+        met, place, near = met[other], place[other], near[other]
+        sums = [x[met] for x in sums]
+        first = c.add_hot(rows, place, near, sums)
         if corated:
-            norm = np.sqrt(np.add.reduceat(x * x, head)) * np.sqrt(np.add.reduceat(y * y, head))
-            sim = np.divide(sim, norm, out=np.zeros_like(sim), where=norm != 0)
-            taken &= n >= least
-        sim, n, near = _rounded(sim[taken]), n[taken], near[taken]
-        if len(near) > k:
-            best = np.lexsort((near, -n, -sim) if corated else (near, -sim))[:k]
+            norm = np.sqrt(sums[1]) * np.sqrt(sums[2])
+            sim, n = np.divide(sums[0], norm, out=np.zeros(len(norm)), where=norm != 0), sums[3]
+        else:
+            sim, n = sums[0], np.zeros(len(near), np.int64)
+        taken = n >= least if corated else np.ones(len(near), bool)
+        if c.hot:  # the first key that they share
+            taken &= first == c.block
+        sim, n, near, place = _rounded(sim[taken]), n[taken], near[taken], place[taken]
+        if len(place) and np.bincount(place).max() > k:
+            best = np.lexsort((near, -n, -sim, place) if corated else (near, -sim, place))
+            place = place[best]
+            top = np.arange(len(place)) - np.searchsorted(place, place) < k
+            best, place = best[top], place[top]
             sim, n, near = sim[best], n[best], near[best]
-        found.append((np.full(len(near), u), near, sim, n))
+        found.append((rows[place], near, sim, n))
     u, v, sim, n = (np.concatenate(x) for x in zip(*found)) if found else [np.empty(0, np.int64)] * 2 + [np.empty(0), np.empty(0, np.int64)]
-    owner = group.column("owner").combine_chunks()
-    return pa.table([owner.take(pa.array(u)), owner.take(pa.array(v)), pa.array(sim), pa.array(n.astype(np.int64))], names=["owner", "other", "sim", "n"])
+    return pa.table([c.owner.take(pa.array(u)), c.owner.take(pa.array(v)), pa.array(sim), pa.array(n.astype(np.int64))], names=["owner", "other", "sim", "n"])
 
 
-def _order(corated: bool) -> list[Column]:
-    return [F.desc("sim"), *([F.desc("n")] if corated else []), F.asc("other")]
+def in_cells(rows: DataFrame, made: Callable[[pa.Table], pa.Table], schema: str, cells: int) -> DataFrame:
+    """``made`` of each cell.  Cells are few bytes but much work, so they get
+    partitions of their own, which Spark does not coalesce."""
+    return rows.repartition(min(2 * cells, 20_000), "cell").groupBy("cell").applyInArrow(made, schema)
 
 
-def _asked(rows: DataFrame, k: int, corated: bool, least: int) -> DataFrame:
-    kind = rows.schema["owner"].dataType.simpleString()
-    return rows.groupBy("cell").applyInArrow(lambda g: _cell(g, k, corated, least), f"owner {kind}, other {kind}, sim double, n long")
+def _asked(rows: DataFrame, d: "Dealt", cells: int, k: int, corated: bool, least: int) -> DataFrame:
+    kind, blocks = rows.schema["owner"].dataType.simpleString(), d.blocks
+    return in_cells(rows, lambda g: _cell(g, blocks, k, corated, least), f"owner {kind}, other {kind}, sim double, n long", cells)
 
 
 def _of_long(entries: DataFrame, sizes: DataFrame, long: int, corated: bool, least: int, hot_threshold: int | None) -> DataFrame:
@@ -130,12 +207,29 @@ def _of_long(entries: DataFrame, sizes: DataFrame, long: int, corated: bool, lea
     sums = met.groupBy("a", "b", "both").agg(F.sum(F.col("x") * F.col("y")).alias("xy"), F.sum(F.col("x") * F.col("x")).alias("xx"),
                                              F.sum(F.col("y") * F.col("y")).alias("yy"), F.count(F.lit(1)).alias("n"))
     sim = safe_ratio(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")) if corated else F.col("xy")
-    pairs = sums.filter(F.col("n") >= (least if corated else 1)).select("a", "b", "both", F.round(sim, DIGITS).alias("sim"), "n")
+    pairs = sums.filter(F.col("n") >= (least if corated else 1)).select("a", "b", "both", F.round(sim, DIGITS).alias("sim"),
+                                                                        (F.col("n") if corated else F.lit(0).cast("long")).alias("n"))
     ways = F.array(F.struct(F.col("a").alias("owner"), F.col("b").alias("other")), F.struct(F.col("b").alias("owner"), F.col("a").alias("other")))
     # two long owners meet in both orders already
     return pairs.select(F.explode(F.when(F.col("both"), F.slice(ways, 1, 1)).otherwise(ways)).alias("way"), "sim", "n").select("way.*", "sim", "n")
 
 
+def _blocks(sizes: list, cell: int) -> int:
+    """The least number of blocks for which a block holds ``cell`` entries of
+    vectors at most: an owner of n keys goes to it with 1 − (1 − 1/blocks)ⁿ."""
+    def held(blocks: int) -> float:
+        return sum(r["count"] * r["size"] * (1 - (1 - 1 / blocks) ** r["size"]) for r in sizes)
+
+    most = 1
+    while held(most) > cell:
+        most *= 2
+    least = most // 2 + 1
+    while least < most:
+        middle = (least + most) // 2
+        least, most = (middle + 1, most) if held(middle) > cell else (least, middle)
+    return most
+
+
 @dataclass
 class Dealt:
     """Owners' vectors, and where each key's owners meet."""
@@ -144,9 +238,22 @@ class Dealt:
     sizes: DataFrame         # owner, size; written
     any_long: bool
     blocks: int              # blocks of the keys that are not hot
+    parts: int               # of the asking owners of such a block
     hot: DataFrame | None    # hot_block, key, parts; written
     vectors: DataFrame       # of the owners that travel: owner, keys, values, blocks, hot and the extra lists; written
 
+    def cold(self, columns: tuple[str, ...] = tuple(_VECTOR)) -> DataFrame:
+        """Vectors in the cells of the blocks: an owner answers in all parts of
+        a block, and asks in one."""
+        rows = self.vectors.select(*columns, F.explode(F.array_distinct(F.filter("blocks", lambda b: b < self.blocks))).alias("block"))
+        own = F.pmod(F.xxhash64("owner", F.lit(7)), F.lit(self.parts)).cast("int")
+        rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))))
+        return rows.select(*columns, "block", F.struct("block", F.col("part").alias("i"), F.lit(0).alias("j")).alias("cell"),
+                           (F.col("part") == own).alias("asks"), F.lit(True).alias("answers"))
+
+    def hot_cells(self) -> int:
+        return self.hot.agg(F.sum(F.col("parts").cast("long") * F.col("parts"))).first()[0]
+
     def cold_block(self, key: str = "key") -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.blocks)).cast("long")
 
@@ -158,9 +265,12 @@ def deal(entries: DataFrame, cell: int, long: int, extra: tuple[str, ...] = ())
     sizes = materialize(entries.groupBy("owner").agg(F.count(F.lit(1)).alias("size")), "owner-sizes")
     any_long = sizes.filter(F.col("size") > long).limit(1).count() > 0
     short = entries.join(sizes.filter(F.col("size") > long), "owner", "left_anti") if any_long else entries
-    loads = materialize(short.join(sizes, "owner").groupBy("key").agg(F.sum("size").alias("load")), "key-loads")
-    heat = loads.agg(F.coalesce(F.sum(F.when(F.col("load") <= cell, F.col("load"))), F.lit(0)).alias("cold"), F.max("load").alias("most")).first()
-    made = Dealt(entries, sizes, any_long, max(1, -(-heat["cold"] // cell)), None, None)
+    loads = materialize(short.join(sizes, "owner").groupBy("key").agg(F.sum("size").alias("load"), F.count(F.lit(1)).alias("n")), "key-loads")
+    products = F.when(F.col("load") <= cell, F.col("n").cast("double") * F.col("n"))
+    heat = loads.agg(F.coalesce(F.sum(products), F.lit(0.0)).alias("products"), F.max("load").alias("most")).first()
+    blocks = _blocks(sizes.filter(F.col("size") <= long).groupBy("size").count().collect(), cell)  # at most ``long`` rows
+    parts = min(max(1, math.ceil(heat["products"] / blocks / WORK)), max(1, math.ceil(cell / 1000)))
+    made = Dealt(entries, sizes, any_long, blocks, parts, None, None)
     if (heat["most"] or 0) > cell:
         # no more hot keys than the total load holds cells
         made.hot = materialize(loads.filter(F.col("load") > cell).select(
@@ -189,7 +299,8 @@ def parted(df: DataFrame, asks: bool, block: str = "hot_block") -> DataFrame:
 def nearest(entries: DataFrame, owner: str, shared: str, value: str, k: int, measure: str = "cosine", min_overlap: int = 1,
             cell: int = CELL, long: int = LONG, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """``(owner, other, sim, n, rank)``: the k most similar other owners of
-    every owner, among those that share a key with it.
+    every owner, among those that share a key with it (n: the number of shared
+    keys if co-rated, else 0).
 
     ``entries`` has one row per (owner, shared).  ``measure`` "cosine" takes
     unit vectors and ranks by the rounded dot product, then id; "corated" is
@@ -199,26 +310,24 @@ def nearest(entries: DataFrame, owner: str, shared: str, value: str, k: int, mea
     """
     corated = {"cosine": False, "corated": True}[measure]
     d = deal(entries.select(F.col(owner).alias("owner"), F.col(shared).alias("key"), F.col(value).alias("value")), cell, long)
-    cold = d.vectors.select(*_VECTOR, F.explode(F.array_distinct(F.filter("blocks", lambda b: b < d.blocks))).alias("block"))
-    found = _asked(cold.select(*_VECTOR, "block", F.col("block").alias("cell"), F.lit(True).alias("asks"), F.lit(True).alias("answers")),
-                   k, corated, min_overlap)
+    found = _asked(d.cold(), d, d.blocks * d.parts, k, corated, min_overlap)
     if d.any_long:
         found = found.unionByName(_of_long(d.entries, d.sizes, long, corated, min_overlap, hot_threshold))
     if d.hot is not None:
         found = materialize(found, "lists-of-cold-keys")
-        found = found.unionByName(_of_hot(d.vectors, d.hot, found, k, corated, min_overlap))
+        found = found.unionByName(_of_hot(d, found, k, corated, min_overlap))
     ranked = top_k_per(found, "owner", _order(corated), k)
     return ranked.select(F.col("owner").alias(owner), "other", "sim", "n", F.col("k").alias("rank"))
 
 
-def _of_hot(vectors: DataFrame, hot: DataFrame, found: DataFrame, k: int, corated: bool, least: int) -> DataFrame:
+def _of_hot(d: Dealt, found: DataFrame, k: int, corated: bool, least: int) -> DataFrame:
     """The k best of each owner among pairs that share hot keys only."""
     # one row per owner and hot key, with the norm that is left from it on
     at = F.transform(F.filter(F.sequence(F.lit(0), F.size("keys") - 1), lambda i: F.get(F.col("hot"), i)), lambda i: F.struct(
         F.get(F.col("blocks"), i).alias("hot_block"),
         F.sqrt(F.aggregate(F.slice(F.col("values"), i + 1, F.size("values")), F.lit(0.0), lambda s, x: s + x * x)).alias("rest")))
-    rows = vectors.filter(F.exists("hot", lambda h: h)).select(*_VECTOR, F.explode(at).alias("at")).select(*_VECTOR, "at.*")
-    rows = rows.join(hot.select("hot_block", "parts"), "hot_block")
+    rows = d.vectors.filter(F.exists("hot", lambda h: h)).select(*_VECTOR, F.explode(at).alias("at")).select(*_VECTOR, "at.*")
+    rows = rows.join(d.hot.select("hot_block", "parts"), "hot_block")
     asking = rows
     if not corated:
         reach = rows.groupBy("hot_block").agg(F.max("rest").alias("reach"))
@@ -226,7 +335,7 @@ def _of_hot(vectors: DataFrame, hot: DataFrame, found: DataFrame, k: int, corate
         asking = rows.join(reach, "hot_block").join(kth, "owner", "left")
         # 1e-6: scores are rounded, and ties are broken by id
         asking = asking.filter(F.col("kth").isNull() | (F.col("rest") * F.col("reach") >= F.col("kth") - 10.0 ** -DIGITS)).drop("reach", "kth")
-    return _asked(parted(asking.drop("rest"), True).unionByName(parted(rows.drop("rest"), False)), k, corated, least)
+    return _asked(parted(asking.drop("rest"), True).unionByName(parted(rows.drop("rest"), False)), d, d.hot_cells(), k, corated, least)
 
 
 def nearest_by_cosine(z: DataFrame, owner: str, shared: str, k: int, **options) -> DataFrame:

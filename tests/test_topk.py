@@ -15,6 +15,11 @@ from tastegraph.operators import topk as T
 COLD = {"cell": 10 ** 9}
 
 
+@pytest.fixture(autouse=True)
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(T, "WORK", 300)  # so that blocks have several parts of asking owners
+
+
 def brute(rows, measure, k, least=1):
     """{owner: [(other, sim, n) …]} of (owner, key, value) rows."""
     vec = {}
@@ -32,8 +37,8 @@ def brute(rows, measure, k, least=1):
             if measure == "corated":
                 norm = math.sqrt(sum(x[d] ** 2 for d in shared)) * math.sqrt(sum(y[d] ** 2 for d in shared))
                 sim = xy / norm if norm else 0.0
-            found.append((p, math.copysign(math.floor(abs(sim) * 1e6 + 0.5), sim) / 1e6 + 0.0, len(shared)))
-        found.sort(key=lambda t: (-t[1], -t[2] if measure == "corated" else 0, t[0]))
+            found.append((p, math.copysign(math.floor(abs(sim) * 1e6 + 0.5), sim) / 1e6 + 0.0, len(shared) if measure == "corated" else 0))
+        found.sort(key=lambda t: (-t[1], -t[2], t[0]))
         if found:
             out[o] = found[:k]
     return out
@@ -76,6 +81,7 @@ def test_least_overlap_string_ids_nulls_and_no_rows(spark):
 def test_hot_cells_and_remaining_norms_are_used(spark, monkeypatch):
     """With a strong cold neighbour, an owner whose hot part is weak does not ask the hot key."""
     rows = [(o, o // 2, 1.0) for o in range(200)] + [(o, 500, 0.01 if o < 190 else 0.9) for o in range(200)]
+    monkeypatch.setattr(T, "WORK", 10 ** 9)
     seen = []
     original = T._asked
     monkeypatch.setattr(T, "_asked", lambda df, *a: seen.append(df.filter("asks").select("owner", "cell").distinct().count()) or original(df, *a))
@@ -92,7 +98,7 @@ def test_registered_lists_form_fewer_rows_than_pairs(spark):
     z = SIM.user_center_scale(Mm(spark, sf))
     w = SIM.unit_rows(z, "user_id")
     n = w.groupBy("product_id").count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
-    assert T._asked(_one_cell(w), 10, False, 1).count() <= n / 2
+    assert T._asked(_one_cell(w), T.Dealt(None, None, False, 1, 1, None, None), 1, 10, False, 1).count() <= n / 2
     want = {tuple(r) for r in NB.top_similar_users(SIM.user_cosine(z), 10).collect()}
     assert {tuple(r) for r in T.nearest_by_cosine(z, "user_id", "product_id", 10).select("user_id", "other", "sim", "rank").collect()} == want
 
