@@ -16,6 +16,7 @@ from tastegraph.operators.similarity import (
     split_join,
     top_k_per,
 )
+from tastegraph.operators.recommend import weighted_sums
 from tastegraph.operators.topk import nearest_by_corated, nearest_by_cosine
 from tastegraph.functions import safe_ratio
 from tastegraph.schema import PRODUCT, RATING, TITLE, USER
@@ -177,6 +178,12 @@ def weighted_sum_recs(nn: DataFrame, m: DataFrame, k: int = 100, unseen: bool =
     return top_k_per(s, USER, [F.desc("score"), F.desc(PRODUCT)], k).withColumnRenamed("k", "rank")
 
 
+def weighted_sum_recs_for_all(nn: DataFrame, m: DataFrame, k: int = 100, unseen: bool = False, **options) -> DataFrame:
+    """R6 / R7 for the lists of very many users: the same rows, from blocks of
+    users (:mod:`tastegraph.operators.recommend`)."""
+    return weighted_sums(nn, m, k, unseen, lambda lists: weighted_sum_recs(lists, m, k, unseen), **options)
+
+
 def recs_for_user(m: DataFrame, products: DataFrame, user_ids, k_neighbours: int = 100, k: int = 100,
                   cap: int | None = None, seed: int = 42, unseen: bool = True) -> DataFrame:
     """R6/R7 for the served users only (a list of ids or a DataFrame),

@@ -440,13 +440,13 @@ def q_r5(spark, d):
 @query("weighted_sum_recs")
 def q_r6(spark, d):
     nn, m = _nn(spark, d)
-    return NB.weighted_sum_recs(nn, m, 100, unseen=False)
+    return NB.weighted_sum_recs_for_all(nn, m, 100, unseen=False)
 
 
 @query("weighted_sum_recs_unseen")
 def q_r7(spark, d):
     nn, m = _nn(spark, d)
-    return NB.weighted_sum_recs(nn, m, 100, unseen=True)
+    return NB.weighted_sum_recs_for_all(nn, m, 100, unseen=True)
 
 
 @query("recs_for_user")
