@@ -74,13 +74,16 @@ def _run(spark, args, ap):
     if args.program == "corated":
         r = D.read_ratings_delimited(spark, args.ratings, sep=args.sep)
         p = D.read_product_titles(spark, args.titles)
-        users = (spark.createDataFrame([(args.user_id,)], "user_id long") if args.user_id is not None else None)
+        users = [args.user_id] if args.user_id is not None else None  # a listed id is a predicate of the scan
         _emit("recommendations", REC.corated_recommendations(r, p, users, cap=args.cap), args)
+        _emit("rating_rejects", D.rating_rejects(spark, args.ratings, sep=args.sep), args)
+        _emit("title_rejects", D.title_rejects(spark, args.titles), args)
     elif args.program == "centred":
         r = spark.read.option("header", True).option("sep", args.sep).schema(
             "user_id long, product_id string, rating double, ts long").csv(args.ratings)
         for k, v in REC.centred_cosine_report(r, args.user_id, args.product_id, args.user_id_cap).items():
             _emit(k, v, args)
+        _emit("rating_rejects", D.csv_rating_rejects(spark, args.ratings, sep=args.sep, id_type="string"), args)
     elif args.program == "als":
         r = D.read_ratings_delimited(spark, args.ratings, sep=args.sep)
         p = D.read_product_titles(spark, args.titles, sep=args.titles_sep)
@@ -96,6 +99,8 @@ def _run(spark, args, ap):
                                   tuple(int(x) for x in args.iterations.split(",")), serve_as=args.serve_as)
         for k, v in res.items():
             _emit(k, v, args)
+        _emit("rating_rejects", D.rating_rejects(spark, args.ratings, sep=args.sep), args)
+        _emit("title_rejects", D.title_rejects(spark, args.titles, sep=args.titles_sep), args)
     elif args.program == "encode":
         raw = spark.read.option("header", True).schema(
             "user_id string, product_id string, rating double, ts long").csv(args.ratings)
@@ -105,6 +110,7 @@ def _run(spark, args, ap):
         made = REC.encode_ratings(raw, meta)
         for k, v in made.items():
             _emit(k, v, args)
+        _emit("rating_rejects", D.csv_rating_rejects(spark, args.ratings, id_type="string"), args)
         if args.out:  # the text that the other programs read
             D.write_ratings_delimited(made["ratings"], f"{args.out.rstrip('/')}/ratings.txt", sep="|")
             if "titles" in made:

@@ -29,16 +29,17 @@ from tastegraph.schema import PRODUCT, RATING, TITLE, USER
 from tastegraph.session import materialize
 
 
-def corated_recommendations(ratings: DataFrame, products: DataFrame, user_ids: DataFrame | None = None,
+def corated_recommendations(ratings: DataFrame, products: DataFrame, user_ids: list | DataFrame | None = None,
                             k_neighbours: int = 100, k: int = 100, cap: int | None = None, seed: int = 42,
                             unseen: bool = True) -> DataFrame:
     """Co-rated cosine recommender.  With ``user_ids`` only those users'
-    pairs are formed (R8); without, every user is served (R6/R7)."""
+    pairs are formed (R8; listed ids are a predicate of the ratings scan);
+    without, every user is served, from blocks of users (R6/R7)."""
     m = materialize(RT.user_item_mean(ratings), "user_item_mean")
     if user_ids is not None:
         return NB.recs_for_user(m, products, user_ids, k_neighbours, k, cap, seed, unseen)
     nn = materialize(NB.nearest_neighbours(m, k_neighbours, cap, seed), "neighbours")
-    recs = NB.weighted_sum_recs(nn, m, k, unseen)
+    recs = NB.weighted_sum_recs_for_all(nn, m, k, unseen)
     return NB.title_lookup(recs, products)
 
 

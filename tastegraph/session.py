@@ -54,19 +54,31 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
     context).  Only when neither is set *and* the master is local (tests) do we
     make our own temporary folder; on a cluster a machine-local folder would
-    not survive executor loss, so we refuse instead.
+    not survive executor loss, so we refuse instead, also a ``file:`` one
+    unless the setting :data:`MOUNTED` says that all machines mount it.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        if not sc.master.startswith("local"):
+    local = sc.master.startswith("local")
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = tempfile.mkdtemp(prefix="tastegraph-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        folder = tempfile.mkdtemp(prefix="tastegraph-ckpt-")
+    if not local and spark.conf.get(MOUNTED, "false") != "true" and _scheme(spark, folder) == "file":
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}, on a file system of each machine; choose a shared one, or set {MOUNTED}=true if "
+                           "the same folder is mounted on all of them")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
+
+
+#: Says that a ``file:`` checkpoint folder is one that all machines mount.
+MOUNTED = "spark.tastegraph.fileFolderIsShared"
+
+
+def _scheme(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
 @contextmanager

@@ -15,6 +15,7 @@ def test_cli_corated_and_metadata():
     rows = [(u, p, 1 + (u * 7 + p * 3) % 5) for u in range(12) for p in range(10) if (u + p) % 3]
     with open(ratings, "w") as f:
         f.writelines(f"{u}|{p}|{r}|{1400000000 + u}\n" for u, p, r in rows)
+        f.write("x|1|5|1400000000\n")  # no user of that name
     with open(titles, "w") as f:
         f.writelines(f"{p}#Product {p}\n" for p in range(10))
     out = os.path.join(d, "out")
@@ -28,6 +29,8 @@ def test_cli_corated_and_metadata():
     assert t and all(r["user_id"] == 1 for r in t)
     seen = {p for u, p, _ in rows if u == 1}
     assert not seen & {r["product_id"] for r in t}
+    assert pq.read_table(os.path.join(out, "rating_rejects")).num_rows == 1
+    assert pq.read_table(os.path.join(out, "title_rejects")).num_rows == 0
 
 
 def test_cli_encode_then_als_serves_id_0():
