@@ -515,6 +515,13 @@ def q_r9(spark, d):
     return A.als_recs_check(recs, prof, A.als_predict(_model(spark, d), candidates).select(PRODUCT, "prediction"))
 
 
+@query("als_fold_in")
+def q_r9_fold_in(spark, d):
+    tr, _, _ = splits(spark, d)
+    _, models, best = _grid(spark, d)
+    return A.als_fold_in_check(models[best], tr, best[1])
+
+
 @query("rmse")
 def q_e1(spark, d):
     pred, m = _predictions(spark, d)

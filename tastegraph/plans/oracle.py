@@ -196,6 +196,8 @@ ORACLE["rank_ordinal"] = w(R, M) + (
 
 ORACLE["als_train"] = w(R, RD, PROFILE, TRAIN) + (
     "SELECT count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_violations FROM TRAIN")
+ORACLE["als_fold_in"] = w(R, RD, PROFILE, TRAIN) + (
+    "SELECT count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_off FROM TRAIN")
 ORACLE["als_grid_search"] = ("SELECT CAST(2 AS BIGINT) AS n_settings, CAST(1 AS BIGINT) AS n_best, CAST(0 AS BIGINT) AS n_better, "
                              "CAST(0 AS BIGINT) AS n_mismatch")
 ORACLE["als_predict"] = w(*_split_ctes) + f"SELECT n_covered AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM ({_covered})"

@@ -1,0 +1,44 @@
+"""Serving a profile from fixed item factors."""
+
+import pytest
+
+from tastegraph.operators import als as A
+from tastegraph.plans.catalog import P, splits
+from tastegraph.plans.oracle import PROFILE_USER
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    train, _, _ = splits(spark, SF, write=True)
+    return A.als_train(train, rank=5, max_iter=4, reg_param=0.2, seed=1), train
+
+
+def test_folded_factors_are_the_last_half_step(fitted):
+    model, train = fitted
+    ok = A.als_fold_in_check(model, train, 0.2).first()
+    assert ok.n_off == 0 and ok.n_users == train.select("user_id").distinct().count()
+    assert A.als_fold_in_check(model, train, 0.4).first().n_off > ok.n_users / 2  # another λ is told apart
+
+
+def test_a_profile_is_served_as_if_it_had_been_fitted(spark, fitted):
+    model, train = fitted
+    mine = train.filter(f"user_id = {PROFILE_USER}")
+    fit = [tuple(r) for r in A.als_recs_for_user(model, P(spark, SF), mine, PROFILE_USER, 20).orderBy("rank").collect()]
+    new = [tuple(r) for r in A.als_recs_for_profile(model, P(spark, SF), mine.withColumn("user_id", mine.user_id * 0 + 7), 7, 0.2, 20).orderBy("rank").collect()]
+    assert len(new) == 20 and {r[0] for r in new} == {7}
+    assert [r[3] for r in new] == pytest.approx([r[3] for r in fit], abs=1e-4)
+    assert len({r[2] for r in fit} & {r[2] for r in new}) >= 19  # products on a tie may change places
+
+
+def test_unknown_products_nulls_and_repeated_ratings(spark, fitted):
+    model, _ = fitted
+    known = model.itemFactors.select("id").first()["id"]
+    rows = [("a", known, 4.0), ("a", 10 ** 8, 1.0), ("b", 10 ** 8, 3.0), ("c", known, None), (None, known, 2.0), ("d", known, 4.0), ("d", known, 4.0)]
+    got = {r.user_id: r for r in A.als_fold_in(model, spark.createDataFrame(rows, "user_id string, product_id long, rating double"), 0.2).collect()}
+    assert {u: r.n_known for u, r in got.items()} == {"a": 1, "d": 2}
+    assert len(got["a"].features) == 5 and got["a"].features == pytest.approx(got["d"].features)  # λ grows with the ratings
+    none = spark.createDataFrame([], "user_id long, product_id long, rating double")
+    assert A.als_fold_in(model, none, 0.2).collect() == []
+    assert A.als_recs_for_profile(model, P(spark, SF), none, 7, 0.2).collect() == []
