@@ -11,7 +11,7 @@ the global code.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tastegraph.schema import PRODUCT, USER
@@ -76,3 +76,56 @@ def encode_joint(r: DataFrame, meta: DataFrame) -> DataFrame:
     """L4: one product dictionary over ratings ∪ metadata, so a title and the
     ratings of the same product always share a code."""
     return build_dictionary(r.select(PRODUCT).unionByName(meta.select(PRODUCT)), PRODUCT)
+
+
+# ---------------------------------------------------------------- append-only dictionaries
+
+VERSION = "version"
+
+
+def dictionary_versions(spark: SparkSession, folder: str) -> list[int]:
+    """The complete versions of a stored dictionary, in order.  A version
+    counts once its write has committed (``_SUCCESS``); what a lost job left
+    behind is not one, and the next append writes over it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    found = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{VERSION}="))
+    return [v for v in found if fs.exists(hadoop.Path(f"{folder}/{VERSION}={v}/_SUCCESS"))]
+
+
+def stored_dictionary(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """``(value, code, version)`` of a stored dictionary as of a version (the
+    last unless given).  ``version`` says when a value came in."""
+    parts = [v for v in dictionary_versions(spark, folder) if version is None or v <= version]
+    if not parts or (version is not None and parts[-1] != version):
+        raise ValueError(f"{folder} has no version {'' if version is None else version}".rstrip())
+    return spark.read.option("basePath", folder).parquet(*[f"{folder}/{VERSION}={v}" for v in parts])
+
+
+def append_to_dictionary(values: DataFrame, col: str, folder: str) -> DataFrame:
+    """L1–L4 over time: give the values of ``col`` that the stored dictionary
+    in ``folder`` lacks the next codes, in value order, as a new version, and
+    return the whole dictionary.
+
+    Old codes never move and all codes together are 0 … n−1, so what was
+    encoded earlier stays right.  Only new values are sorted (by range, as in
+    :func:`build_dictionary`) and written; the old ones are read for one
+    anti-join.  Nulls have no code; repeated values one; a version may be
+    empty.  One job may append at a time.
+    """
+    spark = values.sparkSession
+    done = dictionary_versions(spark, folder)
+    fresh, first = values.select(col).filter(F.col(col).isNotNull()).distinct(), 0
+    if done:
+        old = stored_dictionary(spark, folder)
+        if old.schema[col].dataType != values.schema[col].dataType:
+            raise ValueError(f"{col} is {values.schema[col].dataType.simpleString()}, the dictionary's {old.schema[col].dataType.simpleString()}")
+        fresh = fresh.join(old.select(col), col, "left_anti")
+        first = old.agg(F.coalesce(F.max(CODE) + 1, F.lit(0)).alias("first")).first()["first"]
+    numbered = positions(fresh, [F.col(col)], CODE).select(col, (F.col(CODE) + first).alias(CODE))
+    numbered.write.mode("overwrite").parquet(f"{folder}/{VERSION}={done[-1] + 1 if done else 1}")
+    return stored_dictionary(spark, folder)

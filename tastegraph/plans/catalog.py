@@ -19,8 +19,9 @@ from tastegraph.operators import evaluate as E
 from tastegraph.operators import neighbours as NB
 from tastegraph.operators import ratings as RT
 from tastegraph.operators import similarity as SIM
+from tastegraph.operators.factors import als_recs_for_users, als_recs_for_users_check
 from tastegraph.operators.predict import predict
-from tastegraph.plans.oracle import BRANDS, PROFILE_ROWS, PROFILE_USER, SERVED_USER
+from tastegraph.plans.oracle import BRANDS, FIRST_YEAR_ENDS, PROFILE_ROWS, PROFILE_USER, SERVED_USER
 from tastegraph.schema import PRODUCT, RATING, TITLE, TS, USER
 from tastegraph.session import materialize, scratch_path
 from tastegraph.sources import delimited as D
@@ -241,6 +242,14 @@ def q_l4(spark, d):
     return L.encode_joint(_named(spark, d), _named_titles(spark, d))
 
 
+@query("encode_append")
+def q_l1_append(spark, d):
+    # the users of the first year, then all: new ones come after
+    named, folder = _named(spark, d), scratch_path(spark, "user-dictionary")
+    L.append_to_dictionary(named.filter(F.col(TS) < FIRST_YEAR_ENDS), USER, folder)
+    return L.append_to_dictionary(named, USER, folder)
+
+
 @query("decode_ids")
 def q_l5(spark, d):
     enc, dic = L.encode_products(_named(spark, d))
@@ -522,6 +531,13 @@ def q_r9_fold_in(spark, d):
     return A.als_fold_in_check(models[best], tr, best[1])
 
 
+@query("als_recs_for_all")
+def q_r9_for_all(spark, d):
+    tr, _, _ = splits(spark, d, write=True)
+    recs = materialize(als_recs_for_users(_model(spark, d), P(spark, d), tr, 50), "all-recs")
+    return als_recs_for_users_check(_model(spark, d), recs, tr)
+
+
 @query("rmse")
 def q_e1(spark, d):
     pred, m = _predictions(spark, d)

@@ -16,6 +16,8 @@ PROFILE_ROWS = [(PROFILE_USER, 525, 5.0, 1400000000), (PROFILE_USER, 625, 3.0, 1
                 (PROFILE_USER, 744, 2.5, 1400000000), (PROFILE_USER, 1219, 4.5, 1400000000)]
 SERVED_USER = 1
 PIVOT_WIDTH = 16
+#: 1993-01-01 in epoch seconds.
+FIRST_YEAR_ENDS = 725846400
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 R = """R AS (SELECT o_custkey AS user_id, l_partkey AS product_id,
@@ -103,6 +105,9 @@ ORACLE["encode_metadata_products"] = ("SELECT CAST(dense_rank() OVER (ORDER BY '
 ORACLE["encode_joint"] = w(R, _names) + (
     "SELECT product_id, CAST(dense_rank() OVER (ORDER BY product_id) - 1 AS BIGINT) AS code FROM "
     "(SELECT product_id FROM N UNION SELECT 'P' || CAST(p_partkey AS VARCHAR) FROM part)")
+ORACLE["encode_append"] = w(R, _names) + (
+    "SELECT user_id, dense_rank() OVER (ORDER BY version, user_id) - 1 AS code, version FROM (SELECT user_id, "
+    f"CASE WHEN min(ts) < {FIRST_YEAR_ENDS} THEN 1 ELSE 2 END AS version FROM N GROUP BY user_id)")
 ORACLE["decode_ids"] = w(R, _names) + "SELECT user_id, product_id, rating, ts FROM N"
 
 ORACLE["rating_summary"] = w(R) + ("SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, "
@@ -198,6 +203,12 @@ ORACLE["als_train"] = w(R, RD, PROFILE, TRAIN) + (
     "SELECT count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_violations FROM TRAIN")
 ORACLE["als_fold_in"] = w(R, RD, PROFILE, TRAIN) + (
     "SELECT count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_off FROM TRAIN")
+ORACLE["als_recs_for_all"] = w(R, RD, PROFILE, TRAIN) + (
+    ", pr AS (SELECT DISTINCT user_id, product_id FROM TRAIN), known AS (SELECT DISTINCT product_id FROM pr JOIN part ON p_partkey = product_id), "
+    "e AS (SELECT pr.user_id, least(50, (SELECT count(*) FROM known) - count(known.product_id)) AS n FROM pr LEFT JOIN known "
+    "ON known.product_id = pr.product_id GROUP BY pr.user_id) SELECT count(*) AS n_users, CAST(sum(n) AS BIGINT) AS n_rows, "
+    "CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_rank_gaps, CAST(0 AS BIGINT) AS n_inversions, CAST(0 AS BIGINT) AS n_off "
+    "FROM e WHERE n > 0")
 ORACLE["als_grid_search"] = ("SELECT CAST(2 AS BIGINT) AS n_settings, CAST(1 AS BIGINT) AS n_best, CAST(0 AS BIGINT) AS n_better, "
                              "CAST(0 AS BIGINT) AS n_mismatch")
 ORACLE["als_predict"] = w(*_split_ctes) + f"SELECT n_covered AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM ({_covered})"
