@@ -4,6 +4,7 @@ users — proposed by the reference's documents (no code there)."""
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,30 @@ def user_interest_vector(r: DataFrame, category: str, values: list[str], digits:
     return wide.select(USER, *cols)
 
 
+def user_interests(r: DataFrame, category: str, digits: int | None = None) -> DataFrame:
+    """X3 over an open category list: ``(user_id, <category>, interest,
+    n_ratings)``, one row per user and category that the user rated.  No list of
+    values is needed and a user without ratings in a category costs nothing;
+    a null category is one of its own."""
+    mean = F.avg(RATING)
+    return r.groupBy(USER, category).agg((F.round(mean, digits) if digits is not None else mean).alias("interest"), F.count(F.lit(1)).alias("n_ratings"))
+
+
+def choose_clusters(vectors: DataFrame, ks, seed: int = 42, max_iter: int = 20) -> tuple[int, dict[int, float]]:
+    """The number of clusters among ``ks`` with the highest mean silhouette
+    (squared Euclidean; the smallest on ties), and the silhouettes.  The
+    silhouette is one aggregation per k over sums per cluster, not over pairs of
+    users.  ``vectors`` is read once per k: pass a written table."""
+    feats = [c for c in vectors.columns if c != USER]
+    filled = VectorAssembler(inputCols=feats, outputCol="_features").transform(vectors.fillna(0.0, subset=feats))
+    score = ClusteringEvaluator(featuresCol="_features", predictionCol="cluster")
+    found = {}
+    for k in sorted(ks):
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cluster").fit(filled)
+        found[k] = score.evaluate(model.transform(filled))
+    return max(found, key=lambda k: (found[k], -k)), found
+
+
 def user_clusters(vectors: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20) -> DataFrame:
     """K-means over the interest vectors (missing categories count as 0).
     Returns ``(user_id, cluster)``."""

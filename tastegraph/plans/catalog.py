@@ -17,6 +17,7 @@ from tastegraph.operators import als as A
 from tastegraph.operators import encode as L
 from tastegraph.operators import evaluate as E
 from tastegraph.operators import neighbours as NB
+from tastegraph.operators import profile as PR
 from tastegraph.operators import ratings as RT
 from tastegraph.operators import similarity as SIM
 from tastegraph.operators.factors import als_recs_for_users, als_recs_for_users_check
@@ -263,6 +264,36 @@ def q_m1(spark, d):
     return RT.rating_summary(R(spark, d))
 
 
+def _profile(spark, d, r):
+    """Ratings by year, the earlier years first; 1994 comes twice."""
+    r, folder = r.withColumn("year", F.year(F.timestamp_seconds(TS))), scratch_path(spark, "rating-profile")
+    PR.add_to_profile(r.filter("year <= 1994"), "year", folder)
+    PR.add_to_profile(r.filter("year >= 1994"), "year", folder)
+    return spark.read.parquet(folder)
+
+
+@query("rating_profile")
+def q_m1_profile(spark, d):
+    # three standard errors of the exact distinct counts
+    r = R(spark, d)
+    exact = RT.with_split_digit(r).groupBy(RT.split_label().alias("split")).agg(F.count_distinct(USER).alias("u"), F.count_distinct(PRODUCT).alias("p"))
+    near = [(F.abs(F.col(n) / F.col(e) - 1) <= 3 * PR.DISTINCT_ERROR).alias(f"{n}_near") for n, e in (("n_users", "u"), ("n_products", "p"))]
+    return PR.profile_totals(_profile(spark, d, r), "split").join(exact, "split").select("split", "n_ratings", *near)
+
+
+@query("frequent_products")
+def q_m7_profile(spark, d):
+    r = R(spark, d)
+    listed = PR.frequent_products(_profile(spark, d, r), 20).withColumnRenamed("n_ratings", "estimate")
+    exact = r.groupBy(PRODUCT).agg(F.count(F.lit(1)).alias("n"))
+    exact = exact.withColumn("error", F.lit(PR.count_error(1)) * r.count())
+    j = exact.join(listed, PRODUCT, "left")
+    least = F.min("estimate")
+    j = j.agg(F.count("estimate").alias("n_listed"), F.count_if(F.abs(F.col("estimate") - F.col("n")) > F.col("error")).alias("n_off"), least.alias("least"),
+              F.max(F.when(F.col("estimate").isNull(), F.col("n"))).alias("most_left_out"), F.max("error").alias("error"))
+    return j.select("n_listed", "n_off", (F.coalesce("most_left_out", F.lit(0)) <= F.col("least") + 2 * F.col("error")).alias("none_missed"))
+
+
 @query("split_counts")
 def q_m2(spark, d):
     return RT.split_counts(R(spark, d))
@@ -587,6 +618,13 @@ def q_x3(spark, d):
     return user_interest_vector(_brand_ratings(spark, d), "p_brand", BRANDS, digits=6)
 
 
+@query("user_interests")
+def q_x3_open(spark, d):
+    from tastegraph.operators.interest import user_interests
+    part = TB.load_table(spark, d, "part").select(F.col("p_partkey").alias(PRODUCT), F.col("p_type").alias("category"))
+    return user_interests(R(spark, d).join(part, PRODUCT), "category", digits=6)
+
+
 @query("user_clusters")
 def q_x1(spark, d):
     from tastegraph.operators.interest import clusters_check, fit_clusters, user_interest_vector

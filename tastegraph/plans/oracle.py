@@ -112,6 +112,11 @@ ORACLE["decode_ids"] = w(R, _names) + "SELECT user_id, product_id, rating, ts FR
 
 ORACLE["rating_summary"] = w(R) + ("SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, "
                                    "count(DISTINCT product_id) AS n_products FROM R")
+ORACLE["rating_profile"] = w(R, RD) + (
+    "SELECT CASE WHEN split_digit < 6 THEN 'train' WHEN split_digit < 8 THEN 'validation' ELSE 'test' END AS split, "
+    "count(*) AS n_ratings, true AS n_users_near, true AS n_products_near FROM RD GROUP BY 1")
+ORACLE["frequent_products"] = w(R) + (
+    "SELECT least(20, count(DISTINCT product_id)) AS n_listed, CAST(0 AS BIGINT) AS n_off, true AS none_missed FROM R")
 ORACLE["split_counts"] = w(R, RD) + ("SELECT CASE WHEN split_digit < 6 THEN 'train' WHEN split_digit < 8 THEN 'validation' "
                                      "ELSE 'test' END AS split, count(*) AS n FROM RD GROUP BY 1")
 ORACLE["user_item_mean"] = w(R) + ("SELECT user_id, product_id, avg(rating) AS rating FROM R "
@@ -245,6 +250,9 @@ cp AS (SELECT a.u AS u1, b.u AS u2, sum(a.r * b.r) AS xy, sum(a.r * a.r) AS xx,
 sy AS (SELECT u1, u2, round(xy / (sqrt(xx) * sqrt(yy)), 6) AS sim, n FROM cp)
 SELECT u1 AS user_id, u2 AS neighbour_id, sim, n, k AS rank FROM (SELECT *, """ + rank(
     "PARTITION BY u1 ORDER BY sim DESC, n DESC, u2") + " AS k FROM sy) WHERE k <= 100"
+ORACLE["user_interests"] = w(R) + (
+    "SELECT R.user_id, part.p_type AS category, round(avg(R.rating), 6) AS interest, count(*) AS n_ratings "
+    "FROM R JOIN part ON part.p_partkey = R.product_id GROUP BY R.user_id, part.p_type")
 ORACLE["user_clusters"] = w(R) + ("SELECT count(DISTINCT R.user_id) AS n_users, CAST(5 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_misplaced "
                                   "FROM R JOIN part ON part.p_partkey = R.product_id")
 ORACLE["user_interest_vector"] = w(R) + ("SELECT R.user_id, " + ", ".join(
