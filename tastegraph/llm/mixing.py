@@ -6,9 +6,12 @@ weight.  Within a source, ascending keys are a weighted sample without
 replacement, so the documents whose sizes add up to the budget come first.
 A target above the source's size first takes whole epochs of it.
 
-The order within a source is not sorted in one task: keys fall into about
-sqrt(n) buckets of equal expected size for a source of n documents, the
+The order within a source is not sorted in one task: keys of a source of n
+documents fall into buckets of their logarithm, 4 / sqrt(n) octaves wide, the
 buckets' sizes are summed in order, and each bucket sorts its own documents.
+The logarithm of an exponential variable has a density of at most 1 / e, at
+any scale, so whatever the mixture of quality weights a bucket expects about
+sqrt(n) documents at most, and there are some ten times sqrt(n) buckets.
 DataFrame functions only.
 """
 
@@ -52,7 +55,12 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     s = s.withColumn("unit", (F.sum("source_size").over(everything) - F.col("capped")) / F.col("open"))
     s = s.withColumn("unit", F.min(F.when(F.col("ratio") >= F.col("unit"), F.struct("ratio", "unit"))).over(everything)["unit"])
     return s.withColumn("target", F.when(F.col("ratio") < F.col("unit"), F.col("cap").cast("double"))
-                        .otherwise(F.col("unit") * F.col("weight"))).select(*_SOURCE, "source_size", "n", "mean_quality", "target")
+                        .otherwise(F.col("unit") * F.col("weight"))).select(*_SOURCE, "source_size", "n", "target")
+
+
+def bucket(key: str, n: str) -> Column:
+    """The bucket of a key among n documents; buckets ascend with the keys."""
+    return F.floor(F.log2(key) * F.sqrt(n) / 4)
 
 
 def mix(docs: DataFrame, size: Column, quality: Column, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS,
@@ -75,15 +83,12 @@ def mix(docs: DataFrame, size: Column, quality: Column, weights: tuple[int, ...]
     # -ln(unit) is exponential; the quality weight scales it
     base = base.withColumn("key", F.when((F.col("size") > 0) & (F.col("quality") > 0), -F.log("unit") / F.col("quality"))).drop("unit")
     base = materialize(base, "mix-sizes")
-    sources = targets(base.groupBy(*_SOURCE).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"),
-                                                 F.avg("quality").alias("mean_quality")), weights, most)
+    sources = targets(base.groupBy(*_SOURCE).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), weights, most)
     sources = (sources.withColumn("epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)))
-               .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-               .withColumn("buckets", F.ceil(F.sqrt("n"))))
+               .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
     drawn = base.join(materialize(sources, "mix-targets"), _SOURCE)
     keyless = drawn.filter(F.col("key").isNull())  # in no draw, so in no order either
-    drawn = drawn.filter(F.col("key").isNotNull()).withColumn("bucket", F.least(
-        F.col("buckets") - 1, F.floor(F.col("buckets") * (1 - F.exp(-F.col("key") * F.col("mean_quality"))))))
+    drawn = drawn.filter(F.col("key").isNotNull()).withColumn("bucket", bucket("key", "n"))
     totals = drawn.groupBy(*_SOURCE, "bucket").agg(F.sum("size").alias("in_bucket"))
     running = Window.partitionBy(*_SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("before", F.coalesce(F.sum("in_bucket").over(running), F.lit(0))).drop("in_bucket")

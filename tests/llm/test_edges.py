@@ -119,8 +119,8 @@ def test_mix_takes_near_its_targets(spark):
 
 
 def test_targets_stop_at_three_times_the_size(spark):
-    s = spark.createDataFrame([(False, "a", 10, 1, 1.0), (False, "b", 1000, 1, 1.0), (False, "c", 30, 1, 1.0), (True, "", 0, 1, 1.0)],
-                              "no_source boolean, source_key string, source_size long, n long, mean_quality double")
+    s = spark.createDataFrame([(False, "a", 10, 1), (False, "b", 1000, 1), (False, "c", 30, 1), (True, "", 0, 1)],
+                              "no_source boolean, source_key string, source_size long, n long")
     got = {r.source_key: r.target for r in mixing.targets(s).collect()}
     assert got == {"a": 30.0, "b": 920.0, "c": 90.0, "": 0.0}
 

@@ -106,6 +106,16 @@ def test_rows_without_a_key_are_in_no_window(spark):
     assert len(rows) == 300 and {r.copies for r in rows if r.size} == {int(r.target // r.source_size) for r in rows}
 
 
+@pytest.mark.parametrize("quality", [(0.02, 0.9), (1e-6, 0.5), (0.5, 0.5)])
+def test_buckets_of_keys_are_small_whatever_the_qualities(spark, quality):
+    n = 40_000
+    keys = spark.range(n).select((-F.log((F.pmod(F.xxhash64("id"), F.lit(1 << 40)) + 0.5) / float(1 << 40)) / F.when(F.col("id") % 2 == 0, quality[0]).otherwise(quality[1])).alias("key"),
+                                 F.lit(n).alias("n"))
+    rows = keys.groupBy(mixing.bucket("key", "n").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("b").collect()
+    assert max(r.n for r in rows) <= 1.25 * n ** 0.5 and len(rows) <= 15 * n ** 0.5
+    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
+
+
 def test_texts_of_a_shared_doc_id_meet_their_own_class_only(spark, monkeypatch):
     met, confirm = spark.sparkContext.accumulator(0), neardup._confirm
 
