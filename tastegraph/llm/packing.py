@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegraph.llm.common import materialize, slices
-from tastegraph.llm.tokens import Encoder
+from tastegraph.llm.tokens import Encoder, loaded
 
 CAPACITY = 1024
 
@@ -99,7 +99,7 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_ids: bool) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_ids: bool, keep_encoder: bool) -> DataFrame:
     """Token pieces of every text (null: empty).  Texts of more than
     ``capacity`` tokens are cut so that only their first piece is shorter.
     ``part`` and ``rank`` number the pieces of a length within a task."""
@@ -111,7 +111,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_id
     schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = Encoder(vocabulary, end_id), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        encoder = loaded(vocabulary, end_id) if keep_encoder else Encoder(vocabulary, end_id)
+        part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in slices(batches):
             whose, out = [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
@@ -132,16 +133,19 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_id
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY, keep_ids: bool = True,
+         keep_encoder: bool = False) -> DataFrame:
     """Pack all texts into sequences of at most ``capacity`` tokens.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset and, with ``keep_ids``, the ids themselves (little-endian unsigned
     32-bit).  A null text counts as empty (one piece: the end id), a null
     doc_id is kept, repeated rows are packed each for itself, other columns
-    are ignored, and an empty table gives no rows.
+    are ignored, and an empty table gives no rows.  With ``keep_encoder``
+    tasks that follow one another in a worker process share an encoder and its
+    memo, which is faster and holds their memory between tasks.
     """
-    cut = materialize(pieces(docs, vocabulary, end_id, capacity, keep_ids), "pieces")
+    cut = materialize(pieces(docs, vocabulary, end_id, capacity, keep_ids, keep_encoder), "pieces")
     counts = cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

@@ -4,8 +4,8 @@ The vocabulary's pre-tokeniser never makes a token that spans the place
 between a non-space character and a following single space or line feed, so
 a text may be cut there and the pieces encoded one by one with the same ids.
 Words repeat, so each worker process keeps a bounded memo of encoded pieces; a piece of
-letters, with or without one mark behind it, goes straight to the library's
-BPE model, any other piece through its whole pipeline.  Texts with other
+letters goes straight to the library's BPE model, marks behind it are a piece
+of their own, and any other piece goes through its whole pipeline.  Texts with other
 white space (doubled, leading, trailing, tabs) are cut by a regular
 expression only at the places where the cut is safe.  A text that holds the
 string of one of the vocabulary's added tokens, which the library cuts out of
@@ -20,7 +20,7 @@ from array import array
 from itertools import islice
 
 _SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_MARKS = frozenset(".,;:!?\"'()[]{}-|*#$%&<>=+_/\\@~^`")
+_MARKS = ".,;:!?\"'()[]{}-|*#$%&<>=+_/\\@~^`"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,8 +53,8 @@ class _Memo(dict):
             ids = self._old[w]
         elif w.isalpha():
             ids = e.word(self._lead + w)
-        elif w[-1:] in e.marks and w[:-1].isalpha():
-            ids = self[w[:-1]] + e.marks[w[-1]]
+        elif (letters := w.rstrip(_MARKS)).isalpha():
+            ids = self[letters] + e.marks(w[len(letters):])
         elif w and not w[0].isspace() and not w[-1].isspace():
             ids = e.whole(self._lead + w)
         else:
@@ -68,8 +68,10 @@ class Encoder:
     (null as empty) followed by ``end_id``, as ``bytes``."""
 
     MEMO_ENTRIES = 500_000
+    MARK_RUNS = 10_000
 
-    def __init__(self, vocabulary: str, end_id: int):
+    def __init__(self, vocabulary: str, end_id: int, memo_entries: int = MEMO_ENTRIES):
+        self.memo_entries = memo_entries
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(vocabulary)
@@ -79,7 +81,7 @@ class Encoder:
         self.vocab_size = self._tok.get_vocab_size()
         self._end = _packed([end_id])
         self._newline = self.whole("\n")
-        self.marks = {m: self.whole(m) for m in _MARKS}
+        self._marks: dict[str, bytes] = {}
         self._first = _Memo(self, "")  # words that start a line
         self._rest = _Memo(self, " ")  # words after a space
 
@@ -94,13 +96,22 @@ class Encoder:
             word = self._letters[32] + word[1:]
         return _packed([t.id for t in self._model.tokenize(word)])
 
+    def marks(self, run: str) -> bytes:
+        """Ids of a run of marks, of which the pre-tokeniser makes one piece
+        wherever it ends a word."""
+        if run not in self._marks:
+            if len(self._marks) >= self.MARK_RUNS:
+                self._marks.clear()
+            self._marks[run] = self.whole(run)
+        return self._marks[run]
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self._end
         if any(t in text for t in self._added):
             return self.whole(text) + self._end
         first, rest = self._first, self._rest
-        if len(first) + len(rest) > self.MEMO_ENTRIES // 2:
+        if len(first) + len(rest) > self.memo_entries // 2:
             first.age()
             rest.age()
         try:
@@ -116,8 +127,8 @@ _LOADED: dict[tuple[str, int], Encoder] = {}
 
 def loaded(vocabulary: str, end_id: int) -> Encoder:
     """The encoder of this worker process: tasks that follow one another in it
-    share the loaded vocabulary and the memo, whose bound stays the same."""
+    share the loaded vocabulary and the memo, of twice the entries."""
     if (vocabulary, end_id) not in _LOADED:
         _LOADED.clear()
-        _LOADED[vocabulary, end_id] = Encoder(vocabulary, end_id)
+        _LOADED[vocabulary, end_id] = Encoder(vocabulary, end_id, 2 * Encoder.MEMO_ENTRIES)
     return _LOADED[vocabulary, end_id]
