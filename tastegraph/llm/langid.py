@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import crc_remainder, slices, temp
+from tastegraph.llm.common import crc_remainder, lean, slices, temp
 
 DIMENSIONS, LONGEST = 1 << 12, 4
 PER_LANGUAGE = 400
@@ -172,7 +172,7 @@ def train(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> M
             z = [features(decoy(t, d % (1 << 32))).astype("<f4").tobytes() if odd else None for t, d, odd in zip(texts, draws, b.column(3).to_pylist())]
             yield pa.record_batch([b.column(0), b.column(1), pa.array(x, pa.binary()), pa.array(z, pa.binary())], names=["lang", "draw", "x", "z"])
 
-    got = sample.mapInArrow(vectors, "lang string, draw long, x binary, z binary").collect()  # per_language rows of 16 KB a language, and the decoys
+    got = sample.mapInArrow(lean(vectors), "lang string, draw long, x binary, z binary").collect()  # per_language rows of 16 KB a language, and the decoys
     got.sort(key=lambda r: (r["lang"], r["draw"]))
     x, decoys = (np.array([np.frombuffer(v, "<f4") for v in vs], np.float64).reshape(-1, DIMENSIONS)
                  for vs in ([r["x"] for r in got], [r["z"] for r in got if r["z"] is not None]))
@@ -208,7 +208,7 @@ def identify(docs: DataFrame, learn: Column | None = None, per_language: int = P
             yield pa.record_batch([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     marked = docs.withColumn("held_out", held_out()).withColumn(lettered, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return marked.mapInArrow(run, schema)
+    return marked.mapInArrow(lean(run), schema)
 
 
 def in_known_language(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:

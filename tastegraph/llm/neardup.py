@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize, slices, temp
+from tastegraph.llm.common import lean, materialize, slices, temp
 from tastegraph.llm.graph import UnionFind, components
 from tastegraph.llm.hashing import U64, chunks, constants, mix, shingle_sets
 
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     """
     run, schema = _signed(words, places, rows_per_band, docs.schema["doc_id"].dataType)
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("digest"), "text")
-    base = materialize(numbered.mapInArrow(run, schema), "signatures")
+    base = materialize(numbered.mapInArrow(lean(run), schema), "signatures")
     filled = base.filter("n_shingles > 0")
     classes = materialize(filled.groupBy("set_key").agg(F.min("row").alias("node"), F.min(F.struct("doc_id", "row", "digest")).alias("least"),
                                                         F.any_value("bands").alias("bands")), "classes")
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, places:
     member = member.select(F.struct("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).alias("c"),
                            "node", "block", "set_key", "text").withColumn("cell", F.concat_ws(":", "c.root", "c.i", "c.j")).drop("c")
     links = (member.repartition("cell").sortWithinPartitions("cell")
-             .mapInPandas(_confirm(words, percent), "u long, v long"))
+             .mapInPandas(lean(_confirm(words, percent)), "u long, v long"))
     found = materialize(components(links), "components")
     least = found.join(classes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("first"))
     joined = found.join(least, "root").select("node", "first")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import materialize, slices
+from tastegraph.llm.common import lean, materialize, slices
 from tastegraph.llm.tokens import Encoder, loaded
 
 CAPACITY = 1024
@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_id
                 columns = [pa.array(v, t) for v, t in zip(zip(*out), kinds)]
                 yield pa.record_batch([batch.column(0).take(pa.array(whose)), *columns], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), schema)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY, keep_ids: bool = True,
@@ -167,4 +167,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPA
             yield pa.record_batch([*b.columns[:-1], *found], names=schema.names)
 
     placed = cut.join(offsets, ["length", "part"]).withColumn("index", F.col("before") + F.col("rank"))
-    return placed.select(*schema.names[:-2], "index").mapInArrow(place, schema)
+    return placed.select(*schema.names[:-2], "index").mapInArrow(lean(place), schema)
