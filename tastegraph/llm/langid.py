@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.common import crc_remainder, lean, slices, temp
+from tastegraph.llm.common import crc_remainder, give_back, lean, slices, temp
 
 DIMENSIONS, LONGEST = 1 << 12, 4
 PER_LANGUAGE = 400
@@ -83,17 +83,21 @@ def decoy(text: str, seed: int) -> str:
 
 def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 20) -> np.ndarray:
     """Weights (bias last) of a linear support vector machine with squared
-    hinge loss, by dual coordinate descent; ``y`` is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x * x).sum(axis=1) + 0.5 / cost
+    hinge loss, by dual coordinate descent; ``y`` is 1 or -1.  It computes in
+    double precision a row at a time, so ``x`` is never copied."""
+    row = np.ones(x.shape[1] + 1)
+    w, alpha, diagonal = np.zeros(len(row)), np.zeros(len(x)), np.empty(len(x))
+    for i in range(len(x)):
+        row[:-1] = x[i]
+        diagonal[i] = (row * row).sum() + 0.5 / cost
     order = np.random.default_rng(0)
     for _ in range(rounds):
         for i in order.permutation(len(x)):
-            slope = y[i] * (x[i] @ w) - 1 + alpha[i] * 0.5 / cost
+            row[:-1] = x[i]
+            slope = y[i] * (row @ w) - 1 + alpha[i] * 0.5 / cost
             new = max(alpha[i] - slope / diagonal[i], 0.0)
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += (new - alpha[i]) * y[i] * row
                 alpha[i] = new
     return w
 
@@ -110,17 +114,18 @@ class Model:
     pairs: dict[tuple[str, str], np.ndarray] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, x: np.ndarray, langs: np.ndarray, decoys: np.ndarray | None = None) -> "Model":
-        m, decoys = cls(), np.empty((0, DIMENSIONS)) if decoys is None else decoys
+    def fit(cls, x: np.ndarray, langs: np.ndarray) -> "Model":
+        """``x``: a row per text of ``langs``, then the decoys."""
+        m, decoys = cls(), len(x) - len(langs)
         for lang in sorted(set(langs.tolist())):
             m.families.setdefault(_FAMILY.get(lang, lang), []).append(lang)
         family = np.array([_FAMILY.get(lang, lang) for lang in langs.tolist()])
-        if len(m.families) > 1 or len(m.families) and len(decoys):
-            every, none = np.vstack([x, decoys]), np.full(len(decoys), -1.0)
-            m.first = {f: train_svm(every, np.append(np.where(family == f, 1.0, -1.0), none)) for f in m.families}
+        if len(m.families) > 1 or len(m.families) and decoys:
+            none = np.full(decoys, -1.0)
+            m.first = {f: train_svm(x, np.append(np.where(family == f, 1.0, -1.0), none)) for f in m.families}
         for members in m.families.values():
             for a, b in combinations(members, 2):
-                rows = (langs == a) | (langs == b)
+                rows = np.flatnonzero((langs == a) | (langs == b))
                 m.pairs[a, b] = train_svm(x[rows], np.where(langs[rows] == a, 1.0, -1.0))
         return m
 
@@ -174,9 +179,13 @@ def train(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> M
 
     got = sample.mapInArrow(lean(vectors), "lang string, draw long, x binary, z binary").collect()  # per_language rows of 16 KB a language, and the decoys
     got.sort(key=lambda r: (r["lang"], r["draw"]))
-    x, decoys = (np.array([np.frombuffer(v, "<f4") for v in vs], np.float64).reshape(-1, DIMENSIONS)
-                 for vs in ([r["x"] for r in got], [r["z"] for r in got if r["z"] is not None]))
-    return Model.fit(x, np.array([r["lang"] for r in got], object), decoys)
+    langs, vecs = np.array([r["lang"] for r in got], object), [r["x"] for r in got] + [r["z"] for r in got if r["z"] is not None]
+    x = np.empty((len(vecs), DIMENSIONS), np.float32)
+    for i, v in enumerate(vecs):
+        x[i] = np.frombuffer(v, "<f4")
+    got = vecs = v = None
+    give_back()  # the driver keeps one copy of the vectors while it fits
+    return Model.fit(x, langs)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -1,11 +1,13 @@
-"""What a worker process keeps of the memory of a task that has ended."""
+"""What a worker process keeps of the memory of a task that has ended, and what the driver takes to fit a model."""
 
 import platform
 import re
+import tracemalloc
 from pathlib import Path
 
 import pytest
 
+from tastegraph.llm import langid
 from tastegraph.llm.common import documents, lean
 from tastegraph.llm.packing import pieces
 from tastegraph.llm.queries import vocabulary
@@ -40,3 +42,22 @@ def test_packing_ends_its_tasks_that_way(spark, monkeypatch):
     monkeypatch.setattr(P, "lean", lambda run: wrapped.append(run.__name__) or lean(run))
     docs = documents(spark, "/root/testdata/sf0.001")
     assert pieces(docs, vocabulary(), 2, 1024, False, False).count() >= docs.count() and wrapped == ["run"]
+
+
+def test_the_driver_fits_the_languages_on_one_copy_of_the_vectors(spark, monkeypatch):
+    fit, rows = langid.Model.fit, []
+
+    def counted(*args):
+        rows.append(sum(len(a) for a in args if a.ndim == 2))
+        return fit(*args)
+
+    monkeypatch.setattr(langid.Model, "fit", counted)
+    docs = documents(spark, "/root/testdata/sf0.01")
+    tracemalloc.start()
+    try:
+        model = langid.train(docs, ~langid.held_out())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # the rows as they came, and the array made of them; twice as wide and copied three times before
+    assert model.first and rows[0] > 400 and peak < 3 * rows[0] * langid.DIMENSIONS * 4
