@@ -30,3 +30,13 @@ def test_a_setting_that_denies_it_and_a_missing_folder_still_refuse(spark, tmp_p
         query(on_cluster(spark, f"file://{tmp_path}", **{MOUNTED: "false"}), "t")
     with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
         query(on_cluster(spark, None), "t")
+
+
+@pytest.mark.parametrize("name", ["filter_user_id_cap", "distinct_ids", "drop_constant_users", "cap_raters", "encode_users", "encode_products", "encode_metadata_products",
+                                  "encode_joint", "encode_append", "decode_ids", "frequent_products", "co_rater_pairs", "join_predictions_actuals"])
+def test_a_registered_query_gives_rows_there(spark, monkeypatch, name):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")  # the folder of the tests is a file: one
+    try:
+        assert entry.queries()[name](spark, entry.SMOKE_DIR).limit(1).count() == 1
+    finally:
+        spark.conf.unset(MOUNTED)
