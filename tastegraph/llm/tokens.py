@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+import weakref
 from array import array
 from itertools import islice
 
@@ -37,11 +38,13 @@ def _packed(ids: list[int]) -> bytes:
 
 class _Memo(dict):
     """word -> its ids, or None if the word is not safe to encode alone.  Two
-    generations bound it: words used since the last ``age()`` stay."""
+    generations bound it: words used since the last ``age()`` stay.  It holds
+    no reference to its encoder, so both are freed with the encoder's last one
+    and do not wait for the collector of cycles."""
 
     def __init__(self, encoder: "Encoder", lead: str):
         super().__init__()
-        self._encoder, self._lead, self._old = encoder, lead, {}
+        self._encoder, self._lead, self._old = weakref.proxy(encoder), lead, {}
 
     def age(self) -> None:
         self._old = dict(self)
@@ -67,7 +70,7 @@ class Encoder:
     """``encode(text)`` gives the little-endian unsigned 32-bit ids of a text
     (null as empty) followed by ``end_id``, as ``bytes``."""
 
-    MEMO_ENTRIES = 500_000
+    MEMO_ENTRIES = 300_000
     MARK_RUNS = 10_000
 
     def __init__(self, vocabulary: str, end_id: int, memo_entries: int = MEMO_ENTRIES):
@@ -123,12 +126,13 @@ class Encoder:
 
 
 _LOADED: dict[tuple[str, int], Encoder] = {}
+SHARED_ENTRIES = 1_000_000
 
 
 def loaded(vocabulary: str, end_id: int) -> Encoder:
     """The encoder of this worker process: tasks that follow one another in it
-    share the loaded vocabulary and the memo, of twice the entries."""
+    share the loaded vocabulary and the memo, of more entries."""
     if (vocabulary, end_id) not in _LOADED:
         _LOADED.clear()
-        _LOADED[vocabulary, end_id] = Encoder(vocabulary, end_id, 2 * Encoder.MEMO_ENTRIES)
+        _LOADED[vocabulary, end_id] = Encoder(vocabulary, end_id, SHARED_ENTRIES)
     return _LOADED[vocabulary, end_id]

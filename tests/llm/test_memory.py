@@ -1,16 +1,20 @@
 """What a worker process keeps of the memory of a task that has ended, and what the driver takes to fit a model."""
 
+import gc
 import platform
 import re
 import tracemalloc
+import weakref
 from pathlib import Path
 
 import pytest
 
+import corpus_pipeline
 from tastegraph.llm import langid
 from tastegraph.llm.common import documents, lean
 from tastegraph.llm.packing import pieces
 from tastegraph.llm.queries import vocabulary
+from tastegraph.llm.tokens import Encoder
 
 
 def anonymous_mb() -> float:
@@ -44,6 +48,38 @@ def test_packing_ends_its_tasks_that_way(spark, monkeypatch):
     assert pieces(docs, vocabulary(), 2, 1024, False, False).count() >= docs.count() and wrapped == ["run"]
 
 
+def test_an_encoder_goes_with_its_last_reference():
+    gc.disable()
+    try:
+        encoder = Encoder(vocabulary(), 2)
+        encoder.encode("Some words, some marks!!")
+        gone = weakref.ref(encoder)
+        del encoder
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
+@pytest.mark.parametrize("stage", [f for name, f in corpus_pipeline.STAGES if name != "mixing sources"], ids=lambda f: f.__name__)
+def test_a_stage_sends_few_texts_at_once_to_python(spark, stage):
+    setting, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def rows(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows])], names=["n"])
+
+    try:
+        stage(spark, documents(spark, "/root/testdata/sf0.001"), "/root/testdata/sf0.001")
+        sent = [r["n"] for r in spark.range(0, 2500, 1, 1).mapInArrow(rows, "n long").collect()]
+        assert sum(sent) == 2500 and max(sent) <= 1000
+        spark.conf.set(setting, 100)
+        stage(spark, documents(spark, "/root/testdata/sf0.001"), "/root/testdata/sf0.001")
+        assert spark.conf.get(setting) == "100"  # a smaller one stays
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_the_driver_fits_the_languages_on_one_copy_of_the_vectors(spark, monkeypatch):
     fit, rows = langid.Model.fit, []
 
