@@ -40,3 +40,12 @@ def test_a_registered_query_gives_rows_there(spark, monkeypatch, name):
         assert entry.queries()[name](spark, entry.SMOKE_DIR).limit(1).count() == 1
     finally:
         spark.conf.unset(MOUNTED)
+
+
+@pytest.mark.parametrize("name", ["corated_cosine", "item_cosine", "improvement_pct"])
+def test_a_query_of_pairs_gives_rows_there(spark, monkeypatch, name):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")  # the folder of the tests is a file: one
+    try:
+        assert entry.queries()[name](spark, entry.SMOKE_DIR).limit(1).count() == 1
+    finally:
+        spark.conf.unset(MOUNTED)
