@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.operators.ratings import SPLIT, split_label, with_split_digit
 from tastegraph.schema import PRODUCT, USER
+from tastegraph.session import materialize
 
 #: 2^14 registers a sketch: 16 KB, and a relative standard error of 1.04 / 2^7.
 LOG_REGISTERS = 14
@@ -52,11 +53,23 @@ def profile_totals(profile: DataFrame, *keys: str) -> DataFrame:
     return profile.groupBy(*keys).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_ratings"), _distinct("users").alias("n_users"), _distinct("products").alias("n_products"))
 
 
-def frequent_products(profile: DataFrame, k: int, tracked: int = TRACKED) -> DataFrame:
+def frequent_products(profile: DataFrame, k: int, tracked: int = TRACKED, ratings: DataFrame | None = None) -> DataFrame:
     """M7 for the products rated most: ``(product_id, n_ratings)``, the k of
     largest estimate, each within :func:`count_error`.  At most ``tracked``
-    counters leave a task, whatever the number of products."""
+    counters leave a task, whatever the number of products.
+
+    A sketch lists only products that stand out from its error, so few or none
+    of very many products rated alike.  Given the ``ratings`` of the profile,
+    the products of most ratings, counted exactly, take the places left open."""
     # grouped by a constant, as an empty profile then has no group instead of an empty sketch, which Spark cannot read
     merged = profile.groupBy(F.lit(0).alias("all")).agg(F.call_function("approx_top_k_combine", F.col("frequent"), F.lit(tracked)).alias("frequent"))
     found = merged.select(F.explode(F.call_function("approx_top_k_estimate", F.col("frequent"), F.lit(k))).alias("x"))
-    return found.select(F.col("x.item").alias(PRODUCT), F.col("x.count").alias("n_ratings")).dropna()
+    found = found.select(F.col("x.item").alias(PRODUCT), F.col("x.count").alias("n_ratings")).dropna()
+    if ratings is None:
+        return found
+    found = materialize(found, "frequent")  # k rows
+    left_open = k - found.count()
+    if not left_open:
+        return found
+    counted = ratings.dropna(subset=[PRODUCT]).groupBy(PRODUCT).agg(F.count(F.lit(1)).alias("n_ratings"))
+    return found.unionByName(counted.join(found, PRODUCT, "left_anti").orderBy(F.desc("n_ratings"), F.asc(PRODUCT)).limit(left_open))

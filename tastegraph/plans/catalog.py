@@ -284,7 +284,7 @@ def q_m1_profile(spark, d):
 @query("frequent_products")
 def q_m7_profile(spark, d):
     r = R(spark, d)
-    listed = PR.frequent_products(_profile(spark, d, r), 20).withColumnRenamed("n_ratings", "estimate")
+    listed = PR.frequent_products(_profile(spark, d, r), 20, ratings=r).withColumnRenamed("n_ratings", "estimate")
     exact = r.groupBy(PRODUCT).agg(F.count(F.lit(1)).alias("n"))
     exact = exact.withColumn("error", F.lit(PR.count_error(1)) * r.count())
     j = exact.join(listed, PRODUCT, "left")
