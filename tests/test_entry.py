@@ -49,3 +49,12 @@ def test_a_query_of_pairs_gives_rows_there(spark, monkeypatch, name):
         assert entry.queries()[name](spark, entry.SMOKE_DIR).limit(1).count() == 1
     finally:
         spark.conf.unset(MOUNTED)
+
+
+@pytest.mark.parametrize("name", ["als_fold_in"])
+def test_a_query_of_fitted_models_gives_its_row_there(spark, monkeypatch, name):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")  # the folder of the tests is a file: one
+    try:
+        assert len(entry.queries()[name](spark, entry.SMOKE_DIR).collect()) == 1
+    finally:
+        spark.conf.unset(MOUNTED)
