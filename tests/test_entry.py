@@ -51,7 +51,7 @@ def test_a_query_of_pairs_gives_rows_there(spark, monkeypatch, name):
         spark.conf.unset(MOUNTED)
 
 
-@pytest.mark.parametrize("name", ["als_fold_in", "als_grid_search", "als_predict", "als_train", "als_recs_for_user"])
+@pytest.mark.parametrize("name", ["als_fold_in", "als_grid_search", "als_predict", "als_train", "als_recs_for_user", "als_recs_for_all"])
 def test_a_query_of_fitted_models_gives_its_row_there(spark, monkeypatch, name):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")  # the folder of the tests is a file: one
     try:
