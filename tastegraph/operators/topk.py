@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tastegraph.functions import safe_ratio
 from tastegraph.operators.similarity import DEFAULT_HOT_THRESHOLD, split_join, top_k_per, unit_rows
 from tastegraph.schema import RATING
-from tastegraph.session import materialize
+from tastegraph.session import give_back, materialize
 
 #: Entries of vectors in one block or cell, about.
 CELL = 4_000_000
@@ -189,8 +189,15 @@ def _cell(group: pa.Table, blocks: int, k: int, corated: bool, least: int) -> pa
 
 def in_cells(rows: DataFrame, made: Callable[[pa.Table], pa.Table], schema: str, cells: int) -> DataFrame:
     """``made`` of each cell.  Cells are few bytes but much work, so they get
-    partitions of their own, which Spark does not coalesce."""
-    return rows.repartition(min(2 * cells, 20_000), "cell").groupBy("cell").applyInArrow(made, schema)
+    partitions of their own, which Spark does not coalesce.  A worker returns
+    what a cell has freed before it takes the next one."""
+    def lean(group: pa.Table) -> pa.Table:
+        try:
+            return made(group)
+        finally:
+            give_back()
+
+    return rows.repartition(min(2 * cells, 20_000), "cell").groupBy("cell").applyInArrow(lean, schema)
 
 
 def _asked(rows: DataFrame, d: "Dealt", cells: int, k: int, corated: bool, least: int) -> DataFrame:

@@ -1,12 +1,17 @@
 """Predictions without a similarity table against the join and a plain loop."""
 
+import platform
 import random
+import re
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
 from tastegraph.operators import neighbours as NB
 from tastegraph.operators import similarity as SIM
 from tastegraph.operators.predict import predict
+from tastegraph.operators.topk import in_cells
 
 PLAIN = {"cell": 10 ** 9}
 
@@ -70,3 +75,23 @@ def test_similarities_are_never_exchanged(spark, m):
     plan = predict(m)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
     assert plan.count("FlatMapGroupsInArrow") == 1
+
+
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="malloc_trim is glibc's")
+def test_a_worker_returns_what_a_cell_has_freed():
+    pins = []
+
+    def made(group):
+        held = []
+        for _ in range(50_000):
+            held.append(bytes(2000))
+        pins.append(bytes(2000))  # stays above the others: the heap's end cannot go down
+        return group
+
+    def anonymous_mb():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+    rows = SimpleNamespace(repartition=lambda *a: rows, groupBy=lambda *a: rows, applyInArrow=lambda run, schema: run)
+    run, before = in_cells(rows, made, "x long", 1), anonymous_mb()
+    assert made(1) == 1 and anonymous_mb() - before > 80
+    assert run(2) == 2 and anonymous_mb() - before < 20
