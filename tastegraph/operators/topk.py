@@ -9,7 +9,9 @@ most of them cannot enter a list of k.  Here owners' *vectors* travel instead:
 2. In a block (:func:`_cell`) inverted lists over its owners add up an owner's
    similarities whole, over all their keys, and only the k best of an owner
    leave.  A pair that shares keys of several blocks is taken in the block of
-   its first shared key, so once.
+   its first shared key, so once.  Blocks take turns, so that no more than
+   ``ROUND_SHARE`` times the entries are in shuffle files at once; the lists so
+   far are merged with each turn's.
 3. A *hot* key, whose vectors exceed a block, is split into cells of owners'
    parts and comes after all others in that order: a pair is first met there
    only if it shares hot keys alone.  For the cosine such a pair scores no more
@@ -38,17 +40,21 @@ from pyspark.sql import functions as F
 from tastegraph.functions import safe_ratio
 from tastegraph.operators.similarity import DEFAULT_HOT_THRESHOLD, split_join, top_k_per, unit_rows
 from tastegraph.schema import RATING
-from tastegraph.session import give_back, materialize
+from tastegraph.session import give_back, materialize, release
 
 #: Entries of vectors in one block or cell, about.
 CELL = 4_000_000
-#: Products that one task adds up, about.
-WORK = 2_000_000
+#: Products that one task adds up, about.  Each part of a block's asking owners
+#: gets all of its vectors, so parts cost disk.
+WORK = 8_000_000
+#: Entries of vectors that are sent to blocks at a time, at least, and as a
+#: multiple of all entries.
+ROUND, ROUND_SHARE = 32_000_000, 3
 #: Entries of a vector that travels.
 LONG = 4_096
 DIGITS = 6
-#: Places of a batch's dense tables.
-_DENSE = 1_000_000
+#: Products of a batch, about.
+_BATCH = 250_000
 _VECTOR = ["owner", "keys", "values", "blocks"]
 
 
@@ -73,7 +79,7 @@ class Cell:
     def __init__(self, group: pa.Table, blocks: int, wanted: bool = False):
         group = group.sort_by("owner")  # ties go by owner
         self.block, self.owner = group.column("block")[0].as_py(), group.column("owner").combine_chunks()
-        self.hot = self.block >= blocks
+        self.hot, self.first_hot = self.block >= blocks, blocks
         self.asks, answers = (group.column(c).to_numpy() for c in ("asks", "answers"))
         lists = {c: group.column(c).combine_chunks() for c in ("keys", "values", "blocks", *(["ratings", "wanted"] if wanted else []))}
         offsets = np.asarray(lists["keys"].offsets).astype(np.int64)
@@ -103,20 +109,33 @@ class Cell:
         return np.cumsum(many) - many, many, entries
 
     def batches(self, rows: np.ndarray) -> Iterator[np.ndarray]:
-        """The rows in batches whose tables stay in a processor's cache."""
-        step = max(1, _DENSE // max(1, len(self.size)))
-        for at in range(0, len(rows), step):
-            yield rows[at:at + step]
-
-    def totals(self, rows: np.ndarray, corated: bool) -> tuple[list[np.ndarray], np.ndarray]:
-        """Over the keys that are not hot, for each of ``rows`` and every row of
-        the cell: the sums (xy and, co-rated, xx, yy and the number of shared
-        keys), and the block of the first shared key (-1: none)."""
+        """The rows in batches of few products."""
+        ordinary, own = self.blocks < self.first_hot, self.own[1]
+        work = np.bincount(self.whose[ordinary], self.many[self.key[ordinary]], len(self.size))
+        if self.hot:
+            mine = self.blocks == self.block
+            work = work + np.bincount(self.whose[mine], own[self.key[mine]], len(self.size))
+        if len(self.wanted):
+            work = work + np.bincount(np.repeat(np.arange(len(self.size)), self.wanted_size), own[self.wanted], len(self.size))
+        edge, at = np.cumsum(work[rows] + 1), 0
+        while at < len(rows):
+            end = max(at + 1, int(np.searchsorted(edge, (edge[at - 1] if at else 0) + _BATCH, "right")))
+            yield rows[at:end]
+            at = end
+
+    def totals(self, rows: np.ndarray, corated: bool) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """The pairs that share a key which is not hot, one of them of ``rows``
+        (place in ``rows`` times the rows of the cell, plus the other row; in
+        order), their sums over such keys (xy and, co-rated, xx, yy and the
+        number of shared keys), and the block of their first shared key."""
         mine = _ranges(self.start[rows], self.size[rows])
         many = self.many[self.key[mine]]
         met = self.listed[_ranges(self.first[self.key[mine]], many)]
         code = np.repeat(np.repeat(np.arange(len(rows)) * len(self.size), self.size[rows]), many) + self.whose[met]
-        n = len(rows) * len(self.size)
+        n, dense = len(rows) * len(self.size), len(rows) * len(self.size) <= 4 * len(code)
+        if not dense:  # most pairs share nothing
+            pairs, code = np.unique(code, return_inverse=True)
+            n = len(pairs)
         x, y = np.repeat(self.value[mine], many), self.value[met]
         # of nothing at all, bincount gives integers
         sums = [np.bincount(code, w, n).astype(np.float64, copy=False) for w in ((x * y, x * x, y * y) if corated else (x * y,))]
@@ -124,7 +143,10 @@ class Cell:
             sums.append(np.bincount(code, minlength=n))
         first = np.full(n, -1)
         first[code[::-1]] = self.blocks[met][::-1]  # of several writes the last one stays: the first key
-        return sums, first
+        if dense:
+            pairs = np.flatnonzero(first >= 0)
+            sums, first = [s[pairs] for s in sums], first[pairs]
+        return pairs, sums, first
 
     def add_hot(self, rows: np.ndarray, place: np.ndarray, near: np.ndarray, sums: list[np.ndarray]) -> np.ndarray:
         """Add what the pairs (rows[place], near) share of hot keys to their
@@ -153,19 +175,20 @@ def _cell(group: pa.Table, blocks: int, k: int, corated: bool, least: int) -> pa
     c = Cell(group, blocks)
     n_rows, found = len(c.size), []
     for rows in c.batches(np.flatnonzero(c.asks)):
-        sums, first = c.totals(rows, corated)
+        pairs, sums, first = c.totals(rows, corated)
         if c.hot:  # its key, but no ordinary one
             begin, many, listed = c.own
             asked = np.flatnonzero((c.blocks == c.block) & np.isin(c.whose, rows))
             ways = np.repeat(np.searchsorted(rows, c.whose[asked]), many[c.key[asked]])
             met = ways * n_rows + c.whose[listed[_ranges(begin[c.key[asked]], many[c.key[asked]])]]
-            met = met[first[met] < 0]
+            met = met[~np.isin(met, pairs)]
+            sums = [np.zeros(len(met), s.dtype) for s in sums]
         else:
-            met = np.flatnonzero(first == c.block)
+            here = first == c.block
+            met, sums = pairs[here], [s[here] for s in sums]
         place, near = met // n_rows, met % n_rows
         other = c.same[near] != c.same[rows[place]]
-        met, place, near = met[other], place[other], near[other]
-        sums = [x[met] for x in sums]
+        place, near, sums = place[other], near[other], [s[other] for s in sums]
         first = c.add_hot(rows, place, near, sums)
         if corated:
             norm = np.sqrt(sums[1]) * np.sqrt(sums[2])
@@ -221,19 +244,21 @@ def _of_long(entries: DataFrame, sizes: DataFrame, long: int, corated: bool, lea
     return pairs.select(F.explode(F.when(F.col("both"), F.slice(ways, 1, 1)).otherwise(ways)).alias("way"), "sim", "n").select("way.*", "sim", "n")
 
 
+def _held(sizes: list, blocks: int) -> float:
+    """Entries of vectors that one of ``blocks`` gets, about."""
+    return sum(r["count"] * r["size"] * (1 - (1 - 1 / blocks) ** r["size"]) for r in sizes)
+
+
 def _blocks(sizes: list, cell: int) -> int:
     """The least number of blocks for which a block holds ``cell`` entries of
     vectors at most: an owner of n keys goes to it with 1 − (1 − 1/blocks)ⁿ."""
-    def held(blocks: int) -> float:
-        return sum(r["count"] * r["size"] * (1 - (1 - 1 / blocks) ** r["size"]) for r in sizes)
-
     most = 1
-    while held(most) > cell:
+    while _held(sizes, most) > cell:
         most *= 2
     least = most // 2 + 1
     while least < most:
         middle = (least + most) // 2
-        least, most = (middle + 1, most) if held(middle) > cell else (least, middle)
+        least, most = (middle + 1, most) if _held(sizes, middle) > cell else (least, middle)
     return most
 
 
@@ -248,16 +273,22 @@ class Dealt:
     parts: int               # of the asking owners of such a block
     hot: DataFrame | None    # hot_block, key, parts; written
     vectors: DataFrame       # of the owners that travel: owner, keys, values, blocks, hot and the extra lists; written
+    rounds: int = 1          # in which blocks that are not hot take turns
 
-    def cold(self, columns: tuple[str, ...] = tuple(_VECTOR)) -> DataFrame:
-        """Vectors in the cells of the blocks: an owner answers in all parts of
-        a block, and asks in one."""
-        rows = self.vectors.select(*columns, F.explode(F.array_distinct(F.filter("blocks", lambda b: b < self.blocks))).alias("block"))
+    def cold(self, columns: tuple[str, ...] = tuple(_VECTOR), turn: int = 0) -> DataFrame:
+        """Vectors in the cells of the blocks of a turn: an owner answers in all
+        parts of a block, and asks in one."""
+        rows = self.vectors.select(*columns, F.explode(F.array_distinct(F.filter("blocks", lambda b: self.now(b, turn)))).alias("block"))
         own = F.pmod(F.xxhash64("owner", F.lit(7)), F.lit(self.parts)).cast("int")
         rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))))
         return rows.select(*columns, "block", F.struct("block", F.col("part").alias("i"), F.lit(0).alias("j")).alias("cell"),
                            (F.col("part") == own).alias("asks"), F.lit(True).alias("answers"))
 
+    def now(self, block: Column, turn: int) -> Column:
+        """Whether a block is one of the turn's, and not hot."""
+        cold = block < self.blocks
+        return cold & (F.pmod(block, F.lit(self.rounds)) == turn) if self.rounds > 1 else cold
+
     def hot_cells(self) -> int:
         return self.hot.agg(F.sum(F.col("parts").cast("long") * F.col("parts"))).first()[0]
 
@@ -275,9 +306,11 @@ def deal(entries: DataFrame, cell: int, long: int, extra: tuple[str, ...] = ())
     loads = materialize(short.join(sizes, "owner").groupBy("key").agg(F.sum("size").alias("load"), F.count(F.lit(1)).alias("n")), "key-loads")
     products = F.when(F.col("load") <= cell, F.col("n").cast("double") * F.col("n"))
     heat = loads.agg(F.coalesce(F.sum(products), F.lit(0.0)).alias("products"), F.max("load").alias("most")).first()
-    blocks = _blocks(sizes.filter(F.col("size") <= long).groupBy("size").count().collect(), cell)  # at most ``long`` rows
+    counts = sizes.filter(F.col("size") <= long).groupBy("size").count().collect()  # at most ``long`` rows
+    blocks = _blocks(counts, cell)
     parts = min(max(1, math.ceil(heat["products"] / blocks / WORK)), max(1, math.ceil(cell / 1000)))
-    made = Dealt(entries, sizes, any_long, blocks, parts, None, None)
+    sent, kept = parts * blocks * _held(counts, blocks), sum(r["count"] * r["size"] for r in counts)
+    made = Dealt(entries, sizes, any_long, blocks, parts, None, None, min(blocks, max(1, math.ceil(sent / max(ROUND, ROUND_SHARE * kept)))))
     if (heat["most"] or 0) > cell:
         # no more hot keys than the total load holds cells
         made.hot = materialize(loads.filter(F.col("load") > cell).select(
@@ -289,6 +322,7 @@ def deal(entries: DataFrame, cell: int, long: int, extra: tuple[str, ...] = ())
     vector = F.array_sort(F.collect_list(F.struct(F.col("hot_block").isNotNull().alias("hot"), "key", "value", "block", *extra)))
     lists = {"keys": "key", "values": "value", "blocks": "block", "hot": "hot", **{f"{c}s": c for c in extra}}
     made.vectors = materialize(placed.groupBy("owner").agg(vector.alias("v")).select("owner", *[F.col(f"v.{c}").alias(n) for n, c in lists.items()]), "vectors")
+    release(loads, *([] if any_long else [entries]))
     return made
 
 
@@ -317,7 +351,14 @@ def nearest(entries: DataFrame, owner: str, shared: str, value: str, k: int, mea
     """
     corated = {"cosine": False, "corated": True}[measure]
     d = deal(entries.select(F.col(owner).alias("owner"), F.col(shared).alias("key"), F.col(value).alias("value")), cell, long)
-    found = _asked(d.cold(), d, d.blocks * d.parts, k, corated, min_overlap)
+    best = None
+    for turn in range(d.rounds):
+        found = _asked(d.cold(turn=turn), d, -(-d.blocks // d.rounds) * d.parts, k, corated, min_overlap)
+        if d.rounds > 1:
+            every = found if best is None else best.unionByName(found)
+            before, best = best, materialize(top_k_per(every, "owner", _order(corated), k).drop("k"), "lists-so-far")
+            found = best
+            release(*([before] if before is not None else []))
     if d.any_long:
         found = found.unionByName(_of_long(d.entries, d.sizes, long, corated, min_overlap, hot_threshold))
     if d.hot is not None:

@@ -10,6 +10,8 @@ import pytest
 
 from tastegraph.operators import neighbours as NB
 from tastegraph.operators import similarity as SIM
+from tastegraph.operators import predict as predict_module
+from tastegraph.operators import topk
 from tastegraph.operators.predict import predict
 from tastegraph.operators.topk import in_cells
 
@@ -64,6 +66,21 @@ def test_any_targets_and_the_nearest_raters(spark, m, options, k):
     assert got(predict(m, df, k=k, **options)) == brute(m, pairs, k)
 
 
+@pytest.mark.parametrize("k", [None, 2])
+@pytest.mark.parametrize("hot", [False, True])
+def test_blocks_in_turns_give_the_same_predictions(spark, m, monkeypatch, k, hot):
+    for name in ("ROUND", "ROUND_SHARE"):
+        monkeypatch.setattr(topk, name, 1)
+    few = m if hot else m.filter("product_id < 100")
+    pairs = [(r.user_id, r.product_id) for r in few.collect()]
+    some = [(u, p) for u in (0, 3, 7, 41) for p in (1, 5, 100, 999)]
+    written = []
+    monkeypatch.setattr(predict_module, "materialize", lambda df, name, original=predict_module.materialize: written.append(name) or original(df, name))
+    assert got(predict(few, k=k, cell=200)) == brute(few, pairs, k)
+    assert written.count("sums-of-turn") > 1
+    assert got(predict(few, spark.createDataFrame(some, "user_id long, product_id long"), k=k, cell=200)) == brute(few, some, k)
+
+
 def test_least_similarity_and_no_rows(spark, m):
     pairs = [(r.user_id, r.product_id) for r in m.collect()]
     assert got(predict(m, min_similarity=0.2, cell=600)) == brute(m, pairs, None, 0.2)

@@ -3,6 +3,8 @@ plain loops over all pairs."""
 
 import math
 import random
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +73,36 @@ def test_lists_equal_all_pairs(spark, options, measure):
         assert lists(T.nearest(df, "o", "d", "v", k, measure, **options)) == brute(rows, measure, k)
 
 
+@pytest.mark.parametrize("measure", ["cosine", "corated"])
+def test_blocks_in_turns_give_the_same_lists(spark, monkeypatch, measure):
+    monkeypatch.setattr(T, "ROUND", 1)
+    monkeypatch.setattr(T, "ROUND_SHARE", 1)
+    monkeypatch.setattr(T, "_BATCH", 50)
+    asked, original = [], T._asked
+    monkeypatch.setattr(T, "_asked", lambda df, *a: asked.append({r[0] for r in df.select("block").distinct().collect()}) or original(df, *a))
+    rows = some_rows(9)
+    df = spark.createDataFrame(rows, "o int, d int, v double").repartition(4)
+    assert lists(T.nearest(df, "o", "d", "v", 4, measure, cell=250)) == brute(rows, measure, 4)
+    turns = asked[:-1]  # the last ones are hot
+    assert len(turns) > 2 and all(len(t) < len(set.union(*turns)) for t in turns) and not set.intersection(*turns)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from tastegraph.session import materialize
+    folders = [Path(x) for x in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+
+    def data():
+        return {f for d in folders for f in d.rglob("shuffle_*.data")}
+
+    before = data()
+    assert materialize(spark.range(1000).repartition(3, "id"), "numbers").count() == 1000
+    for _ in range(50):
+        if not data() - before:
+            break
+        time.sleep(0.1)
+    assert not data() - before
+
+
 def test_least_overlap_string_ids_nulls_and_no_rows(spark):
     rows = [(f"o{o}", f"é{d}", v) for o, d, v in some_rows(8)]
     df = spark.createDataFrame(rows + [(None, "x", 1.0), ("o1", None, 1.0), ("o2", "x", None)], "o string, d string, v double")
