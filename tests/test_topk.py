@@ -3,6 +3,7 @@ plain loops over all pairs."""
 
 import math
 import random
+import re
 import time
 from pathlib import Path
 
@@ -166,6 +167,19 @@ def test_gram_blocks_equal_the_join(spark, monkeypatch, threshold, members):
     assert {(r.m1, r.m2): (round(r.xy, 9), round(r.xx, 9), round(r.yy, 9), r.n) for r in got} == sums(rows)
 
 
+@pytest.mark.parametrize("threshold", [1000, 6])
+def test_pairs_are_never_exchanged_and_busy_members_are_split(spark, monkeypatch, threshold):
+    rows = some_rows(11)
+    df = spark.createDataFrame(rows, "o int, d int, v double").repartition(3)
+    monkeypatch.setattr(G, "PAIRS", 200)
+    made, original = [], G._joined
+    monkeypatch.setattr(G, "_joined", lambda *a: made.append((a[4], out := original(*a))) or out)
+    got = G.pair_sums(df, "d", "o", "v", ["xy", "xx", "yy", "n"], threshold, 7).collect()
+    assert {(r.m1, r.m2): (round(r.xy, 9), round(r.xx, 9), round(r.yy, 9), r.n) for r in got} == sums(rows) and len(got) == len(sums(rows))
+    (parts, joined), = made
+    assert parts > 1 and not re.search(r"hashpartitioning\(m1#\d+, m2", joined._jdf.queryExecution().executedPlan().toString())
+
+
 def test_one_product_of_all_users(spark, ratings, monkeypatch):
     rng = random.Random(2)
     rows = [(u, 1, float(rng.randint(1, 5))) for u in range(150)] + [(u, 10 + rng.randrange(30), float(rng.randint(1, 5))) for u in range(150) for _ in range(4)]
