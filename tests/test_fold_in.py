@@ -1,5 +1,8 @@
 """Serving a profile from fixed item factors."""
 
+import time
+from pathlib import Path
+
 import pytest
 
 from tastegraph.operators import als as A
@@ -42,3 +45,37 @@ def test_unknown_products_nulls_and_repeated_ratings(spark, fitted):
     none = spark.createDataFrame([], "user_id long, product_id long, rating double")
     assert A.als_fold_in(model, none, 0.2).collect() == []
     assert A.als_recs_for_profile(model, P(spark, SF), none, 7, 0.2).collect() == []
+
+
+def test_sums_are_not_sent_for_each_rating(fitted):
+    """What is exchanged by user are ratings with their items' factors, not partial sums."""
+    model, train = fitted
+    lines = A.als_fold_in(model, train, 0.2)._jdf.queryExecution().executedPlan().toString().split("\n")
+    sent = [below for above, below in zip(lines, lines[1:]) if "Exchange hashpartitioning(user_id" in above]
+    assert sent and not any("Aggregate" in x for x in sent)
+
+
+def test_users_of_very_many_ratings_have_the_same_factors(fitted, monkeypatch):
+    model, train = fitted
+    few = {r.user_id: r for r in A.als_fold_in(model, train, 0.2).collect()}
+    monkeypatch.setattr(A, "HEAVY", 8)
+    got = {r.user_id: r for r in A.als_fold_in(model, train, 0.2).collect()}
+    assert got.keys() == few.keys() and min(r.n_known for r in few.values()) <= 8 < max(r.n_known for r in few.values())
+    assert all(got[u].n_known == r.n_known and got[u].features == pytest.approx(r.features) for u, r in few.items())
+
+
+def test_a_fit_keeps_no_shuffle_files(spark, fitted):
+    _, train = fitted
+    folders = [Path(x) for x in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+
+    def data():
+        return {f for d in folders for f in d.rglob("shuffle_*.data")}
+
+    before = data()
+    model = A.als_train(train, rank=3, max_iter=6, reg_param=0.2, seed=1)
+    assert "Scan parquet" in model.userFactors._jdf.queryExecution().executedPlan().toString().replace("FileScan", "Scan")
+    for _ in range(100):
+        if not data() - before:
+            break
+        time.sleep(0.1)
+    assert not data() - before
