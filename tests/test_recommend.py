@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tastegraph.operators import neighbours as NB
+from tastegraph.operators import recommend, topk
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,35 @@ def test_blocks_equal_the_join(inputs, unseen, k, cell):
     assert sorted(got) == sorted(want) and got
 
 
+@pytest.mark.parametrize("unseen", [False, True])
+def test_blocks_in_turns_equal_the_join(inputs, monkeypatch, unseen):
+    for name in ("ROUND", "ROUND_SHARE"):
+        monkeypatch.setattr(topk, name, 1)
+    written, original = [], recommend.materialize
+    monkeypatch.setattr(recommend, "materialize", lambda df, name: written.append(name) or original(df, name))
+    nn, m = inputs
+    got = [tuple(r) for r in NB.weighted_sum_recs_for_all(nn, m, 5, unseen, cell=150).select("user_id", "product_id", "score", "rank").collect()]
+    want = [tuple(r) for r in NB.weighted_sum_recs(nn, m, 5, unseen).select("user_id", "product_id", "score", "rank").collect()]
+    assert sorted(got) == sorted(want) and written.count("scores-of-turn") > 2
+
+
+@pytest.mark.parametrize("cell", [10 ** 9, 150, 1])
+def test_all_sums_by_blocks_equal_the_join(spark, inputs, cell):
+    nn, m = inputs
+
+    def rows(df):
+        return sorted((r.user_id, r.product_id, round(r.sum_sim_rating, 8), round(r.sum_sim, 8), r.n_neighbours) for r in df.collect())
+
+    want, made = rows(NB.neighbour_ratings(nn, m)), NB.neighbour_ratings_for_all(nn, m, cell=cell)
+    assert rows(made) == want
+    if cell > 1:
+        assert "FlatMapCoGroupsInArrow" in made._jdf.queryExecution().executedPlan().toString()
+    missing = m.unionByName(spark.createDataFrame([(0, 99, None), (1, None, 2.0)], m.schema))
+    key = ["user_id", "product_id"]
+    assert NB.neighbour_ratings_for_all(nn, missing).orderBy(*key).collect() == NB.neighbour_ratings(nn, missing).orderBy(*key).collect()
+    assert NB.neighbour_ratings_for_all(nn.limit(0), m).collect() == [] == NB.neighbour_ratings_for_all(nn, m.limit(0)).collect()
+
+
 def test_no_rows(inputs):
     nn, m = inputs
     assert NB.weighted_sum_recs_for_all(nn.limit(0), m, 5, True).collect() == []
